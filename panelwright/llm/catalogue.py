@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from .licenses import op3_license_scans
+from .lm import op10_lm_scoring
 from .quality import op2_quality_rules
+from .urls import OP4_SQL, op4_url_filters
 
 
 def queries() -> dict:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op3_license_scans": op3_license_scans,
+        "op4_url_filters": op4_url_filters,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op4_url_filters": OP4_SQL}
