@@ -87,3 +87,43 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     # a star: every node links to its root alone
     members = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return members.unionByName(members.select(F.col("root").alias("node"), "root").distinct())
+
+
+def grouped(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
+    """Like groupBy(keys).applyInArrow(run), but many small groups pass through one worker call.
+
+    run(key values, list of record batches of one group) yields record batches. Keys are whole numbers without nulls.
+    Rows are dealt out by the keys and sorted by them, and one group at a time is in memory.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def stream(batches):
+        now, held = None, []
+        for b in batches:
+            k = np.stack([b.column(c).to_numpy() for c in keys], axis=1) if b.num_rows else np.zeros((0, len(keys)), np.int64)
+            cut = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(k)]
+            for i, j in zip(cut[:-1], cut[1:], strict=True):
+                if i == j:
+                    continue
+                key = tuple(k[i].tolist())
+                if key != now and held:
+                    yield from run(now, held)
+                    held = []
+                now = key
+                held.append(b.slice(i, j - i))
+        if held:
+            yield from run(now, held)
+
+    def gather(batches):
+        rows, kind = [], None
+        for out in stream(batches):
+            rows.append(out)
+            kind = out.schema
+            if sum(x.num_rows for x in rows) > 20_000:
+                yield from pa.Table.from_batches(rows, kind).combine_chunks().to_batches()
+                rows = []
+        if rows:
+            yield from pa.Table.from_batches(rows, kind).combine_chunks().to_batches()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(gather, schema)
