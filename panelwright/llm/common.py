@@ -127,3 +127,31 @@ def grouped(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
             yield from pa.Table.from_batches(rows, kind).combine_chunks().to_batches()
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(gather, schema)
+
+
+def others(docs: DataFrame, made: list[str]) -> list:
+    """The columns of docs whose names the operator doesn't make itself (names differ by more than case)."""
+    taken = {c.lower() for c in made}
+    return [docs[f"`{c}`"] for c in docs.columns if c.lower() not in taken]
+
+
+def text_map(docs: DataFrame, made: str, start) -> DataFrame:
+    """docs with the columns of the schema string `made`, worked out from whole texts (null: empty) in Arrow batches.
+
+    start() runs once a task and returns a function from a binary array of texts to the new columns as arrays. All other
+    columns travel in one struct, so none of their names can clash; columns named like new ones are replaced.
+    """
+    import pyarrow as pa
+    from pyspark.sql.types import StructType
+
+    short_batches(docs.sparkSession)
+    names = StructType.fromDDL(made).names
+    source = docs.select(F.struct(*others(docs, names), F.lit(0).alias("_")).alias("doc"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+
+    def run(batches):
+        work = start()
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("doc"), *work(b.column("text"))], names=["doc", *names])
+
+    out = source.mapInArrow(run, f"doc {source.schema['doc'].dataType.simpleString()}, {made}")
+    return out.select(*(F.col("doc").getField(f.name).alias(f.name) for f in source.schema["doc"].dataType.fields[:-1]), *names)

@@ -8,9 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import short_batches, table
+from .common import table, text_map
 from .textvec import LOWER, NOT_ALNUM, Words, buffers, chunks
 
 #: Phrases that name a license, with their labels.
@@ -209,25 +208,24 @@ def scan(docs: DataFrame) -> DataFrame:
     stands, else the largest share of a template that one chain covers. Columns with these names are replaced, all
     others stay; repeated rows are scanned one by one.
     """
-    short_batches(docs.sparkSession)
-    made = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"]
-    docs = docs.drop(*made, "_bytes")
-    names = docs.columns
+    kinds = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("share", pa.float64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         scanner = Scanner()
-        kinds = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("share", pa.float64())]))
-        for b in batches:
-            rows = scanner.scan(b.column("_bytes"))
-            cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(4)]
-            base = pa.array([",".join(r[4]) for r in rows], pa.string())
-            every = pa.array([",".join(sorted({*r[4], *(x[0] for x in r[5])})) for r in rows], pa.string())
-            score = pa.array([1.0 if r[1] else max((x[3] for x in r[5]), default=0.0) for r in rows], pa.float64())
-            spans = pa.array([[dict(zip(("label", "first_word", "last_word", "share"), x, strict=True)) for x in r[5]] for r in rows], kinds)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *cols, base, every, score, spans], names=[*names, *made])
-
-    schema = f"{docs.schema.simpleString()[7:-1]}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans {SPAN}"
-    return docs.withColumn("_bytes", F.coalesce("text", F.lit("")).cast("binary")).mapInArrow(run, schema)
+
+        def work(texts: pa.Array) -> list[pa.Array]:
+            rows = scanner.scan(texts)
+            return [
+                *(pa.array([r[k] for r in rows], pa.int64()) for k in range(4)),
+                pa.array([",".join(r[4]) for r in rows], pa.string()),
+                pa.array([",".join(sorted({*r[4], *(x[0] for x in r[5])})) for r in rows], pa.string()),
+                pa.array([1.0 if r[1] else max((x[3] for x in r[5]), default=0.0) for r in rows], pa.float64()),
+                pa.array([[dict(zip(("label", "first_word", "last_word", "share"), x, strict=True)) for x in r[5]] for r in rows], kinds),
+            ]
+
+        return work
+
+    return text_map(docs, f"n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans {SPAN}", start)
 
 
 def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
