@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .jaccard import op9_ngram_jaccard_join
+from .language import op5_language_id
 from .licenses import op3_license_scans
 from .lm import op10_lm_scoring
 from .packing import op7_best_fit_packing
@@ -15,6 +16,7 @@ def queries() -> dict:
         "op2_quality_rules": op2_quality_rules,
         "op3_license_scans": op3_license_scans,
         "op4_url_filters": op4_url_filters,
+        "op5_language_id": op5_language_id,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_lm_scoring": op10_lm_scoring,
