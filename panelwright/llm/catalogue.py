@@ -9,6 +9,7 @@ from .lm import op10_lm_scoring
 from .packing import op7_best_fit_packing
 from .quality import op2_quality_rules
 from .urls import OP4_SQL, op4_url_filters
+from .vectors import op8_embedding_near_dedup
 
 
 def queries() -> dict:
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op4_url_filters": op4_url_filters,
         "op5_language_id": op5_language_id,
         "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_lm_scoring": op10_lm_scoring,
     }
