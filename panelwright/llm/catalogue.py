@@ -7,6 +7,7 @@ from .language import op5_language_id
 from .licenses import op3_license_scans
 from .lm import op10_lm_scoring
 from .packing import op7_best_fit_packing
+from .pii import op1_pii
 from .quality import op2_quality_rules
 from .urls import OP4_SQL, op4_url_filters
 from .vectors import op8_embedding_near_dedup
@@ -14,6 +15,7 @@ from .vectors import op8_embedding_near_dedup
 
 def queries() -> dict:
     return {
+        "op1_pii": op1_pii,
         "op2_quality_rules": op2_quality_rules,
         "op3_license_scans": op3_license_scans,
         "op4_url_filters": op4_url_filters,
