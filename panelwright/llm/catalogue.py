@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
+from .bpe import op6_byte_bpe
 from .jaccard import op9_ngram_jaccard_join
 from .language import op5_language_id
 from .licenses import op3_license_scans
@@ -20,10 +23,12 @@ def queries() -> dict:
         "op3_license_scans": op3_license_scans,
         "op4_url_filters": op4_url_filters,
         "op5_language_id": op5_language_id,
+        "op6_byte_bpe": op6_byte_bpe,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_lm_scoring": op10_lm_scoring,
+        "pipeline": corpus_pipeline.run,
     }
 
 
