@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import checking, cleaning, domain, ingesting, measuring, questions, relational, sampling  # noqa: F401  they register
+from .registry import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(SQL)
