@@ -120,8 +120,11 @@ def strip_html(c: Column) -> Column:
 
 def keyword_snippet(c: Column, words: str, before: int = 120, after: int = 170, most: int = 300) -> Column:
     """The first whole-word match with its surroundings, links masked; null where nothing matches."""
-    found = F.regexp_extract(c, rf"(?s)(?i).{{0,{before}}}\b(?:{words})\b.{{0,{after}}}", 0)
-    return F.left(F.regexp_replace(F.nullif(found, F.lit("")), r"https?://\S+", "[link]"), F.lit(most))
+    word = rf"(?i)\b(?:{words})\b"
+    at, size = F.regexp_instr(c, F.lit(word)), F.length(F.regexp_extract(c, word, 0))
+    start = F.greatest(at - before, F.lit(1))
+    found = F.when(at > 0, F.substr(c, start, at - start + size + after))
+    return F.left(F.regexp_replace(found, r"https?://\S+", "[link]"), F.lit(most))
 
 
 def pack_flags(flags: Sequence[tuple[Column, str]]) -> Column:
