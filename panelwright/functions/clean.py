@@ -56,7 +56,7 @@ def mapped(c: Column, values: Mapping[str, str], otherwise: Column | None = None
 
 def round_sig(c: Column, digits: int = 15) -> Column:
     """Rounded to so many significant digits; zero and null stay."""
-    return F.when(c == 0, c).otherwise(F.format_string(f"%.{digits - 1}e", c).cast("double"))
+    return F.when(c == 0, c).otherwise(F.format_string(f"%.{digits - 1}e", c).try_cast("double"))
 
 
 def first_containing(c: Column, labels: Sequence[tuple[str, str]], otherwise: str) -> Column:
