@@ -1 +1,116 @@
-"""Queries, to come."""
+"""Queries of the statistics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import stats
+from .bindings import CUSTOMER_YEAR, SUPPLIER_YEAR, customer_year, r6, supplier_year, table
+from .registry import query
+
+#: Replicates of the registered resampling queries.
+N = 200
+_RANKED = SUPPLIER_YEAR + ", b AS (SELECT * FROM p WHERE emissions IS NOT NULL AND renewable_share IS NOT NULL), k AS (SELECT sector, period, rank() OVER (PARTITION BY sector, period ORDER BY emissions) + (count(*) OVER (PARTITION BY sector, period, emissions) - 1) / 2.0::DOUBLE AS rx, rank() OVER (PARTITION BY sector, period ORDER BY renewable_share) + (count(*) OVER (PARTITION BY sector, period, renewable_share) - 1) / 2.0::DOUBLE AS ry FROM b), s AS (SELECT sector, period, count(*) AS n, CASE WHEN stddev_pop(rx) > 0 AND stddev_pop(ry) > 0 THEN corr(rx, ry) END AS rho FROM k GROUP BY ALL)\n"
+
+
+@query("s03_spearman", _RANKED + "SELECT sector, period, n, round(rho, 6) AS rho FROM s")
+def s03(spark, sf):
+    return stats.spearman(supplier_year(spark, sf), "emissions", "renewable_share", ["sector", "period"]).withColumn("rho", r6("rho"))
+
+
+@query("s04_pooled_rho", _RANKED + "SELECT count(*) AS n_groups, round(sum(rho * (n - 1)) / nullif(sum(n - 1), 0), 6) AS pooled_rho FROM s WHERE n >= 5 AND rho IS NOT NULL")
+def s04(spark, sf):
+    return stats.pooled_rho(supplier_year(spark, sf), "emissions", "renewable_share", ["sector", "period"]).withColumn("pooled_rho", r6("pooled_rho"))
+
+
+@query("s05_stratified_permutation")
+def s05(spark, sf):
+    return stats.stratified_permutation(supplier_year(spark, sf), "emissions", "renewable_share", ["sector", "period"], ["entity"], N)
+
+
+@query("s06_bootstrap_interval")
+def s06(spark, sf):
+    return stats.bootstrap(supplier_year(spark, sf).select("sector", "entity", "period", "renewable_share"), F.median("renewable_share"), ["sector"], ["entity", "period"], N)
+
+
+@query("s07_wilcoxon_signed_rank")
+def s07(spark, sf):
+    changes = stats.pair_changes(supplier_year(spark, sf), ["entity", "sector"], "period", "emissions", 1996, 2000)
+    return stats.wilcoxon_signed_rank(changes, "log_change", ["sector"]).withColumn("p", r6("p"))
+
+
+@query("s08_pair_changes", CUSTOMER_YEAR + ", c AS (SELECT entity, any_value(sector) AS sector, max(emissions) FILTER (WHERE period = 1996) AS a, max(emissions) FILTER (WHERE period = 2000) AS b FROM p GROUP BY 1) SELECT sector, count(*) AS n, round(100 * (exp(median(ln(b / a))) - 1), 6) AS percent_effect FROM c WHERE a > 0 AND b > 0 GROUP BY 1")
+def s08(spark, sf):
+    changes = stats.pair_changes(customer_year(spark, sf), ["entity", "sector"], "period", "emissions", 1996, 2000)
+    return changes.groupBy("sector").agg(F.count("*").alias("n"), r6(100 * (F.exp(F.median("log_change")) - 1)).alias("percent_effect"))
+
+
+@query("s09_wilson_interval", "SELECT l_suppkey, k, n, round((s + z * z / (2 * n) - z * sqrt(s * (1 - s) / n + z * z / (4 * n * n))) / (1 + z * z / n), 6) AS low, round((s + z * z / (2 * n) + z * sqrt(s * (1 - s) / n + z * z / (4 * n * n))) / (1 + z * z / n), 6) AS high FROM (SELECT *, k::DOUBLE / n AS s, 1.959963984540054::DOUBLE AS z FROM (SELECT l_suppkey, count(*) FILTER (WHERE l_returnflag = 'R') AS k, count(*) AS n FROM lineitem GROUP BY 1))")
+def s09(spark, sf):
+    g = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count_if(F.col("l_returnflag") == "R").alias("k"), F.count("*").alias("n"))
+    low, high = stats.wilson_interval(F.col("k"), F.col("n"))
+    return g.select("l_suppkey", "k", "n", r6(low).alias("low"), r6(high).alias("high"))
+
+
+@query("s10_cluster_bootstrap_share")
+def s10(spark, sf):
+    return stats.cluster_bootstrap_share(customer_year(spark, sf), "entity", "disclosed", N)
+
+
+@query("s10_cluster_share", CUSTOMER_YEAR + "SELECT round(count(*) FILTER (WHERE disclosed)::DOUBLE / count(*), 6) AS share, count(*) AS n_rows, count(DISTINCT entity) AS n_clusters FROM p")
+def s10b(spark, sf):
+    return customer_year(spark, sf).agg(r6(F.count_if("disclosed") / F.count("*")).alias("share"), F.count("*").alias("n_rows"), F.countDistinct("entity").alias("n_clusters"))
+
+
+_CELLS = "count(*) FILTER (WHERE disclosed AND has_event) AS n11, count(*) FILTER (WHERE disclosed AND NOT has_event) AS n10, count(*) FILTER (WHERE NOT disclosed AND has_event) AS n01, count(*) FILTER (WHERE NOT disclosed AND NOT has_event) AS n00"
+
+
+@query("s11_two_by_two", CUSTOMER_YEAR + f", t AS (SELECT sector, {_CELLS} FROM p GROUP BY 1), e AS (SELECT *, CASE WHEN least(n11, n10, n01, n00) = 0 THEN 0.5 ELSE 0 END::DOUBLE AS x FROM t) SELECT sector, n11, n10, n01, n00, round((n11 + x) * (n00 + x) / ((n10 + x) * (n01 + x)), 6) AS odds_ratio FROM e")
+def s11(spark, sf):
+    return stats.two_by_two(customer_year(spark, sf), "disclosed", "has_event", ["sector"]).withColumn("odds_ratio", r6(stats.odds_ratio()))
+
+
+@query("s11_fisher_exact")
+def s11b(spark, sf):
+    return stats.fisher_test(stats.two_by_two(customer_year(spark, sf), "disclosed", "has_event", ["sector"]), ["sector"])
+
+
+@query("s12_cluster_permutation")
+def s12(spark, sf):
+    return stats.cluster_permutation(supplier_year(spark, sf).select("entity", "period", "disclosed", "has_event"), "entity", "period", "disclosed", "has_event", N)
+
+
+@query("s13_cliffs_delta", CUSTOMER_YEAR + "SELECT a.sector, count(*) FILTER (WHERE true) * 0 + (SELECT count(*) FROM p q WHERE q.sector = a.sector AND q.period = 1997 AND q.disclosed AND q.women_share IS NOT NULL) AS n1, (SELECT count(*) FROM p q WHERE q.sector = a.sector AND q.period = 1997 AND NOT q.disclosed AND q.women_share IS NOT NULL) AS n0, round(avg(sign(a.women_share - b.women_share)), 6) AS delta FROM p a JOIN p b ON a.sector = b.sector AND a.period = 1997 AND b.period = 1997 AND a.disclosed AND NOT b.disclosed AND a.women_share IS NOT NULL AND b.women_share IS NOT NULL GROUP BY a.sector")
+def s13(spark, sf):
+    return stats.cliffs_delta(customer_year(spark, sf).where("period = 1997"), "women_share", "disclosed", ["sector"]).withColumn("delta", r6("delta"))
+
+
+@query("s14_label_permutation")
+def s14(spark, sf):
+    p = supplier_year(spark, sf).select("entity", "period", "renewable_share", (F.col("ownership") == "public").alias("is_public"))
+    return stats.label_permutation(p, "entity", "renewable_share", "is_public", ["period"], N)
+
+
+@query("s15_mann_whitney", CUSTOMER_YEAR + """, b AS (SELECT * FROM p WHERE women_share IS NOT NULL), k AS (SELECT *, rank() OVER (PARTITION BY period ORDER BY women_share) + (count(*) OVER (PARTITION BY period, women_share) - 1) / 2.0::DOUBLE AS r, count(*) OVER (PARTITION BY period, women_share) AS t FROM b),
+s AS (SELECT period, count(*) FILTER (WHERE disclosed) AS n1, count(*) FILTER (WHERE NOT disclosed) AS n0, sum(r) FILTER (WHERE disclosed) AS sr, sum(t * t - 1)::DOUBLE AS ties FROM k GROUP BY 1), u AS (SELECT *, sr - n1 * (n1 + 1) / 2.0::DOUBLE AS u, (n1 + n0)::DOUBLE AS n FROM s WHERE n1 > 0 AND n0 > 0)
+SELECT period, n1, n0, u, round(sign(u - n1 * n0 / 2.0::DOUBLE) * greatest(abs(u - n1 * n0 / 2.0::DOUBLE) - 0.5, 0) / nullif(sqrt(n1 * n0 / 12.0::DOUBLE * ((n + 1) - ties / (n * nullif(n - 1, 0)))), 0), 6) AS z, round(2 * u / (n1 * n0) - 1, 6) AS delta FROM u""")
+def s15(spark, sf):
+    return stats.mann_whitney(customer_year(spark, sf), "women_share", "disclosed", ["period"]).withColumns({"z": r6("z"), "delta": r6("delta")})
+
+
+_P = "SELECT l_suppkey, round((abs(count(*) FILTER (WHERE l_returnflag = 'R') * 3 - count(*)) + 1.0::DOUBLE) / (count(*) + 1), 9) AS p, count(*) AS n FROM lineitem GROUP BY 1"
+
+
+@query("s16_benjamini_hochberg", f"WITH t AS ({_P}), a AS (SELECT *, p * count(*) OVER () / rank() OVER (ORDER BY p) AS x FROM t) SELECT l_suppkey, p, round(least(1.0, min(x) OVER (ORDER BY p DESC)), 6)::DOUBLE AS adjusted_p FROM a")
+def s16(spark, sf):
+    return stats.benjamini_hochberg(_tests(spark, sf), "p").select("l_suppkey", "p", r6("adjusted_p").alias("adjusted_p"))
+
+
+def _tests(spark, sf):
+    g = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count_if(F.col("l_returnflag") == "R").alias("k"), F.count("*").alias("n"))
+    return g.select("l_suppkey", F.round((F.abs(F.col("k") * 3 - F.col("n")) + 1.0) / (F.col("n") + 1), 9).alias("p"), "n")
+
+
+@query("s17_outcomes", f"SELECT l_suppkey, CASE WHEN n < 10 THEN 'not enough data' WHEN p <= 0.05 THEN 'rejects' ELSE 'does not reject' END AS decision, n < 30 AND p > 0.05 AS likely_underpowered FROM ({_P})")
+def s17(spark, sf):
+    return stats.outcomes(_tests(spark, sf), "p", "n").select("l_suppkey", "decision", "likely_underpowered")
