@@ -14,8 +14,9 @@ from .common import components, grouped, materialize, table
 #: Vectors are linked from this cosine on.
 LEAST = 0.95
 #: Trees; vectors in a leaf, on average; share of a node's vectors on each side of the cut that go to both children.
-TREES, LEAF, SPILL = 8, 400, 0.06
-#: At most so many vectors (chosen by a hash) shape the trees; a node is cut while about LEAST_SAMPLE of them are in it.
+TREES, LEAF, SPILL = 6, 400, 0.05
+#: At most so many vectors (chosen by a hash) shape the trees; a node with fewer than LEAST_SAMPLE of them is cut where the
+#: whole sample would be, so that trees can be as deep as the number of vectors asks for.
 SAMPLE, LEAST_SAMPLE = 20_000, 40
 #: A leaf of more vectors is dealt out as pairs of blocks.
 BLOCK = 1024
@@ -28,14 +29,19 @@ class Forest:
         rng = np.random.default_rng(seed)
         dim = sample.shape[1]
         self.depth = depth
+        self.own = min(depth, int(np.log2(max(1, len(sample) / LEAST_SAMPLE))))  # levels whose nodes have cuts of their own
         self.directions = rng.normal(size=(trees, max(depth, 1), dim))
         # one direction for each level of a tree, a cut of its own for each node
-        self.low = np.zeros((trees, 2**depth))
-        self.high = np.zeros((trees, 2**depth))
+        self.low = np.zeros((trees, 2**self.own))
+        self.high = np.zeros((trees, 2**self.own))
+        self.level = np.zeros((trees, max(depth, 1), 2))
         for t in range(trees):
             held = {1: np.arange(len(sample))}
             for level in range(depth):
                 shadow = sample @ self.directions[t, level]
+                self.level[t, level] = np.quantile(shadow, [0.5 - spill, 0.5 + spill])
+                if level >= self.own:
+                    continue
                 below = {}
                 for node, own in held.items():
                     x = shadow[own]
@@ -52,7 +58,8 @@ class Forest:
             row, node = np.arange(len(x)), np.ones(len(x), np.int64)
             for level in range(self.depth):
                 shadow = (x @ self.directions[t, level])[row]
-                left, right = shadow <= self.high[t, node], shadow >= self.low[t, node]
+                low, high = (self.low[t, node], self.high[t, node]) if level < self.own else self.level[t, level]
+                left, right = shadow <= high, shadow >= low
                 row, node = np.concatenate([row[left], row[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
             rows.append(row)
             trees.append(np.full(len(row), t))
@@ -60,7 +67,7 @@ class Forest:
         return np.concatenate(rows), np.concatenate(trees), np.concatenate(leaves)
 
 
-def _compare(least: float):
+def _compare(least: float, kind: str):
     """Links between the vectors of one leaf (i = j), or across two blocks of it; a pair that an earlier leaf (of this
     tree or another) holds too is left to that one."""
 
@@ -71,7 +78,7 @@ def _compare(least: float):
         node = node[first]
         copies = np.concatenate([b.column("copies").to_numpy() for b in batches])[first]
         block = np.concatenate([b.column("block").to_numpy() for b in batches])[first]
-        x = np.stack([np.frombuffer(v.as_buffer()) for b in batches for v in b.column("unit")])[first]
+        x = _units(np.stack([np.frombuffer(v.as_buffer(), kind) for b in batches for v in b.column("raw")])[first].astype(np.float64))
         earlier = [v.as_py() for b in batches for v in b.column("leaves")]
         earlier = [earlier[k] for k in first]
         m = len(node)
@@ -92,7 +99,7 @@ def _compare(least: float):
         if len(a):
             # leaves before this one, each vector's in one row, padded with numbers that match nothing
             involved = np.unique(np.concatenate([a, b]))
-            before = {k: [v for v in earlier[k] if v < leaf] for k in involved.tolist()}
+            before = {k: earlier[k] for k in involved.tolist()}
             wide = max(map(len, before.values()))  # 0 in the first leaf of all
             seen = np.full((m, wide), -1, np.int64)
             for k, v in before.items():
@@ -131,6 +138,8 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
     """
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    # single precision travels as such: half the bytes, and the same doubles when a task reads them
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     vectors = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
     sound = F.coalesce(F.size("v") > 0, F.lit(False)) & ~F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) & F.exists("v", lambda c: c != 0)
     rows = vectors.withColumn("v", F.when(sound, F.transform("v", lambda c: c + F.lit(0.0))))
@@ -145,26 +154,27 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
     n = nodes.count()
     share = min(1.0, SAMPLE / n)
     sample = _units(np.array([r.v for r in nodes.where(F.pmod(F.xxhash64("digest"), F.lit(1_000_000)) < share * 1_000_000).select("v").collect()]).reshape(-1, dim))
-    depth = max(0, min(int(np.ceil(np.log2(max(1, n / leaf)))), int(np.log2(max(1, len(sample) / LEAST_SAMPLE)))))
+    depth = int(np.ceil(np.log2(max(1, n / leaf)))) if len(sample) else 0
     forest = spark.sparkContext.broadcast(Forest(sample, depth, trees, spill))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = _units(b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
+            raw = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            x = _units(raw)
             row, tree, node = forest.value.leaves(x)
-            code = (tree << 40) + node
+            code = (tree << 48) + node
             order = np.argsort(row, kind="stable")
             ends = np.searchsorted(row[order], np.arange(len(x) + 1))
             leaves = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(code[order]))
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("copies"), pa.array([u.tobytes() for u in x], pa.binary()), leaves], names=["node", "copies", "unit", "leaves"])
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("copies"), pa.array([u.tobytes() for u in raw.astype(kind)], pa.binary()), leaves], names=["node", "copies", "raw", "leaves"])
 
-    routed = nodes.select("node", "copies", "v").mapInArrow(route, "node long, copies long, unit binary, leaves array<long>")
+    routed = nodes.select("node", "copies", "v").mapInArrow(route, "node long, copies long, raw binary, leaves array<long>")
     placed = materialize(routed)
     held = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).where("blocks > 1")
     each = placed.select("*", F.explode("leaves").alias("leaf")).join(held, "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
     each = each.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    each = each.select(F.shiftright("leaf", 40).alias("tree"), "leaf", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "copies", "block", "unit", "leaves")
-    found = materialize(grouped(each, ["tree", "leaf", "i", "j"], _compare(least), "node long, root long, links long"))
+    each = each.select(F.shiftright("leaf", 48).alias("tree"), "leaf", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "copies", "block", "raw", F.filter("leaves", lambda x: x < F.col("leaf")).alias("leaves"))
+    found = materialize(grouped(each, ["tree", "leaf", "i", "j"], _compare(least, kind), "node long, root long, links long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     whole = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     classed = materialize(nodes.select("node", "digest", "copies", "low").join(links, "node", "left").join(whole, "node", "left").withColumn("root", F.coalesce("root", "node")))
