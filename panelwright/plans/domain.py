@@ -10,7 +10,7 @@ from ..operators import aggregate as agg
 from ..operators import domain as dom
 from ..operators import window as win
 from .bindings import CUSTOMER_YEAR, SUPPLIER_YEAR, customer_year, r6, supplier_year, table
-from .questions import _PAIRS, _RESTATED, _RESTATED_SQL, _SHARES, restatement_pairs
+from .questions import _PAIRS, _RESTATED_SQL, _SHARES, _restated, restatement_pairs
 from .registry import query
 
 # ---------------------------------------------------------------- normalisation
@@ -263,7 +263,7 @@ def j14(spark, sf):
 @query("j15_restatement_summary", _PAIRS + f"SELECT level, level_key, {_RESTATED_SQL} FROM (SELECT 'overall' AS level, 'all' AS level_key, * FROM r UNION ALL SELECT 'peer', peer, * FROM r UNION ALL SELECT 'period', CAST(period AS VARCHAR), * FROM r UNION ALL SELECT 'flattering', peer, * FROM r WHERE flatters) GROUP BY ALL")
 def j15(spark, sf):
     blocks = [("overall", F.lit("all"), None), ("peer", F.col("peer"), None), ("period", F.col("period"), None), ("flattering", F.col("peer"), F.coalesce(F.col("flatters"), F.lit(False)))]
-    return agg.levels(restatement_pairs(supplier_year(spark, sf)), blocks, _RESTATED)
+    return agg.levels(restatement_pairs(supplier_year(spark, sf)), blocks, _restated())
 
 
 @query("j16_suppress_small_groups", SUPPLIER_YEAR + "SELECT peer, n, CASE WHEN n >= 5 THEN share END AS share, CASE WHEN n < 5 THEN 'fewer than 5' END AS null_reason FROM (SELECT peer, count(DISTINCT entity) AS n, round(count(*) FILTER (WHERE disclosed)::DOUBLE / count(*), 6) AS share FROM p GROUP BY 1)")

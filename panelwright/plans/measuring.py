@@ -83,7 +83,7 @@ def k10(spark, sf):
     return s.select("entity", "period", r6("share_of_selection").alias("share_of_selection"), "dense_rank_in_selection", r6("cumulative_share_by_value").alias("cumulative_share_by_value"))
 
 
-@query("k11_lookup_group_metric", SUPPLIER_YEAR + _GROUPS + "SELECT group_value, period, women_pct FROM m WHERE group_type = 'sector' AND group_value = 'ASIA'")
+@query("k11_lookup_group_metric", SUPPLIER_YEAR + _GROUPS + "SELECT group_value, period, CASE WHEN n_entities >= 5 THEN women_pct END AS women_pct FROM m WHERE group_type = 'sector' AND group_value = 'ASIA'")
 def k11a(spark, sf):
     return met.lookup(group_metrics(supplier_year(spark, sf)), {"group_type": "sector", "group_value": "ASIA"}, ["group_value", "period", "women_pct"])
 

@@ -217,19 +217,20 @@ def restatement_pairs(p: DataFrame) -> DataFrame:
     return p.withColumns(classify_restatement(F.col("original"), F.col("restated"), F.col("entity") % 2 == 0))
 
 
-_RESTATED = [F.count_if("is_compared").alias("n_compared"), F.count_if(F.col("classification").isin("material", "large")).alias("n_material"), F.count_if("flatters").alias("n_flattering"), F.countDistinct(F.when(F.col("classification").isin("material", "large"), F.col("entity"))).alias("n_entities")]
+def _restated() -> list:
+    return [F.count_if("is_compared").alias("n_compared"), F.count_if(F.col("classification").isin("material", "large")).alias("n_material"), F.count_if("flatters").alias("n_flattering"), F.countDistinct(F.when(F.col("classification").isin("material", "large"), F.col("entity"))).alias("n_entities")]
 _RESTATED_SQL = "count(*) FILTER (WHERE is_compared) AS n_compared, count(*) FILTER (WHERE classification IN ('material', 'large')) AS n_material, count(*) FILTER (WHERE flatters) AS n_flattering, count(DISTINCT entity) FILTER (WHERE classification IN ('material', 'large')) AS n_entities"
 
 
 @query("l17_restatements_by_year", _PAIRS + f", n AS (SELECT coalesce(CAST(period AS VARCHAR), 'All') AS period, {_RESTATED_SQL} FROM r GROUP BY ROLLUP (period)) SELECT *, round(n_material::DOUBLE / nullif(n_compared, 0), 6) AS material_share, round(n_flattering::DOUBLE / nullif(n_compared, 0), 6) AS flattering_share FROM n")
 def l17(spark, sf):
-    n = agg.with_total(restatement_pairs(supplier_year(spark, sf)).withColumn("period", F.col("period").cast("string")), "period", _RESTATED)
+    n = agg.with_total(restatement_pairs(supplier_year(spark, sf)).withColumn("period", F.col("period").cast("string")), "period", _restated())
     return n.withColumns({"material_share": r6(F.col("n_material") / F.nullif("n_compared", F.lit(0))), "flattering_share": r6(F.col("n_flattering") / F.nullif("n_compared", F.lit(0)))})
 
 
 @query("l18_restatements_by_peer_top10", _PAIRS + f"SELECT peer, {_RESTATED_SQL} FROM r GROUP BY 1 ORDER BY n_material DESC, peer LIMIT 10")
 def l18(spark, sf):
-    return restatement_pairs(supplier_year(spark, sf)).groupBy("peer").agg(*_RESTATED).orderBy(F.col("n_material").desc(), "peer").limit(10)
+    return restatement_pairs(supplier_year(spark, sf)).groupBy("peer").agg(*_restated()).orderBy(F.col("n_material").desc(), "peer").limit(10)
 
 
 _QUADRANTS = SUPPLIER_YEAR + """, q AS (SELECT entity, period, sector, renewable_share >= median(renewable_share) OVER (PARTITION BY sector, period) AS good_share, turnover >= median(turnover) OVER (PARTITION BY sector, period) AS large FROM p)
