@@ -90,6 +90,29 @@ def v08(spark, sf):
     return checks.grain_complete(have, source, ["c_custkey", "period"])
 
 
+@query("v04_contract", "SELECT * FROM (VALUES ('n_comment is missing'), ('n_name is string, not int'), ('n_regionkey isn''t in the contract')) v(problem) WHERE (SELECT count(*) FROM nation) > 0")
+def v04(spark, sf):
+    from pyspark.sql.types import StructType
+
+    n = table(spark, sf, "nation")
+    problems = checks.contract(n, StructType.fromDDL("n_nationkey int, n_name int, n_comment string"))
+    return n.limit(1).select(F.explode(F.array(*map(F.lit, problems))).alias("problem"))
+
+
+@query("v09_gold_integrity", "SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS period, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_latest FROM orders GROUP BY ALL HAVING count(*) FILTER (WHERE o_orderstatus = 'F') <> 1")
+def v09(spark, sf):
+    o = table(spark, sf, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("period")).agg(F.count_if(F.col("o_orderstatus") == "F").alias("n_latest"))
+    return o.where("n_latest <> 1")
+
+
+@query("v15_views_match_facts", "SELECT l_returnflag, count(*) AS n_left, count(*) FILTER (WHERE l_tax > 0) AS n_right FROM lineitem GROUP BY 1 HAVING count(*) <> count(*) FILTER (WHERE l_tax > 0)")
+def v15(spark, sf):
+    x = table(spark, sf, "lineitem")
+    left = x.groupBy("l_returnflag").agg(F.count("*").alias("n_left"))
+    right = x.where("l_tax > 0").groupBy("l_returnflag").agg(F.count("*").alias("n_right"))
+    return left.join(right, "l_returnflag", "full_outer").where("NOT n_left <=> n_right")
+
+
 @query("v10_all_units_mapped", "SELECT DISTINCT p_type FROM part WHERE p_type NOT IN ('ECONOMY', 'SMALL')")
 def v10(spark, sf):
     known = spark.createDataFrame([("ECONOMY",), ("SMALL",)], "p_type string")

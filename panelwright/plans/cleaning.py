@@ -206,3 +206,26 @@ def b31(spark, sf):
 @query("a08_stable_row_id", "SELECT p_partkey, left(sha256(p_name || '|' || p_brand || '|' || p_size), 32) AS row_id FROM part")
 def a08(spark, sf):
     return table(spark, sf, "part").select("p_partkey", clean.stable_row_id("p_name", "p_brand", "p_size").alias("row_id"))
+
+
+@query("b17_type_filings", """SELECT o_orderkey, coalesce(c_name, 'unknown') AS label, 'FY' || fy || '-' || lpad(CAST((fy + 1) % 100 AS VARCHAR), 2, '0') AS fy_label, coalesce(fy % 5 = n_nationkey % 5, false) AS label_matches
+FROM (SELECT *, year(o_orderdate) - CASE WHEN month(o_orderdate) < 4 THEN 1 ELSE 0 END AS fy FROM orders) LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0 LEFT JOIN nation ON n_nationkey = c_nationkey""")
+def b17(spark, sf):
+    c = table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
+    n = F.broadcast(table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_nationkey").alias("_n")))
+    o = table(spark, sf, "orders").join(c, "o_custkey", "left").join(n, "c_nationkey", "left")
+    matches = F.coalesce(clean.fiscal_year_start(F.col("o_orderdate")) % 5 == F.col("_n") % 5, F.lit(False))
+    return o.select("o_orderkey", F.coalesce("c_name", F.lit("unknown")).alias("label"), clean.fiscal_year_label(F.col("o_orderdate")).alias("fy_label"), matches.alias("label_matches"))
+
+
+@query("b18_type_listing", "SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS has_order, c_nationkey IN (SELECT s_nationkey FROM supplier) AS has_near_supplier FROM customer")
+def b18(spark, sf):
+    ordered = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("_o", F.lit(True))
+    near = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("c_nationkey")).distinct().withColumn("_s", F.lit(True))
+    c = table(spark, sf, "customer").join(ordered, "c_custkey", "left").join(near, "c_nationkey", "left")
+    return c.select("c_custkey", F.col("_o").isNotNull().alias("has_order"), F.col("_s").isNotNull().alias("has_near_supplier"))
+
+
+@query("b19_type_text_facts", "SELECT doc_id, trim(source) AS source, CAST(length(text) AS BIGINT) AS text_length, CAST(n_chars AS DOUBLE) AS declared FROM documents")
+def b19(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.trim("source").alias("source"), F.length("text").cast("long").alias("text_length"), F.col("n_chars").cast("double").alias("declared"))

@@ -100,6 +100,26 @@ def c12(spark, sf):
     return each.crossJoin(latest).select("entity", "period", "scale", F.round(F.col("turnover") * F.col("scale"), 2).alias("scaled"), "latest")
 
 
+@query("c13_peer_medians", SUPPLIER_YEAR + """SELECT a.entity, a.period, round((SELECT median(b.turnover) FROM p b WHERE b.sector = a.sector AND b.period = a.period), 6) AS peer_median, CASE WHEN (SELECT count(DISTINCT b.entity) FROM p b WHERE b.sector = a.sector AND b.period = a.period) >= 3 THEN true ELSE false END AS enough_peers FROM p a""")
+def c13(spark, sf):
+    w = Window.partitionBy("sector", "period")
+    return supplier_year(spark, sf).select("entity", "period", r6(F.median("turnover").over(w)).alias("peer_median"), (F.size(F.collect_set("entity").over(w)) >= 3).alias("enough_peers"))
+
+
+@query("c14_scalar_subquery", "SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)")
+def c14(spark, sf):
+    o = table(spark, sf, "orders").withColumn("_y", F.year("o_orderdate"))
+    latest = F.broadcast(o.agg(F.max("_y").alias("_y")))
+    return o.join(latest, "_y", "left_semi").select("o_orderkey", "o_totalprice")
+
+
+@query("c16_period_pairs", CUSTOMER_YEAR + "SELECT a.entity, a.period AS from_period, b.period AS to_period, round(b.turnover - a.turnover, 2) AS step FROM p a JOIN p b ON a.entity = b.entity AND b.period = a.period + 2")
+def c16(spark, sf):
+    p = customer_year(spark, sf).select("entity", "period", "turnover")
+    later = p.select("entity", (F.col("period") - 2).alias("period"), F.col("period").alias("to_period"), F.col("turnover").alias("_t"))
+    return p.join(later, ["entity", "period"]).select("entity", F.col("period").alias("from_period"), "to_period", F.round(F.col("_t") - F.col("turnover"), 2).alias("step"))
+
+
 @query("c15_latest_then_join", "SELECT o_custkey, o_orderkey, o_orderpriority FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC) AS k FROM orders) WHERE k = 1 AND o_orderpriority <> '5-LOW'")
 def c15(spark, sf):
     o = table(spark, sf, "orders").withColumn("_k", F.rank().over(Window.partitionBy("o_custkey").orderBy(F.year("o_orderdate").desc())))
@@ -160,6 +180,11 @@ def d08(spark, sf):
     return e.groupBy("user_id").agg(agg.arg_max("kind", "value").alias("kind_of_largest"))
 
 
+@query("d09_any_value_made_definite", "SELECT o_custkey, min(o_orderpriority) AS any_priority FROM orders GROUP BY 1")
+def d09(spark, sf):
+    return table(spark, sf, "orders").groupBy("o_custkey").agg(F.min("o_orderpriority").alias("any_priority"))
+
+
 @query("d10_joined_distinct", "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) FILTER (WHERE o_orderstatus = 'F') AS priorities FROM orders GROUP BY 1")
 def d10(spark, sf):
     return table(spark, sf, "orders").groupBy("o_custkey").agg(agg.joined_set(F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))).alias("priorities"))

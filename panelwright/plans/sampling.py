@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import stats
 from .bindings import CUSTOMER_YEAR, SUPPLIER_YEAR, customer_year, r6, supplier_year, table
+from .questions import _PAIRS, _YOY, restatement_pairs, yoy_confidence
 from .registry import query
 
 #: Replicates of the registered resampling queries.
@@ -13,6 +14,16 @@ N = 200
 _RANKED = SUPPLIER_YEAR + ", b AS (SELECT * FROM p WHERE emissions IS NOT NULL AND renewable_share IS NOT NULL), k AS (SELECT sector, period, rank() OVER (PARTITION BY sector, period ORDER BY emissions) + (count(*) OVER (PARTITION BY sector, period, emissions) - 1) / 2.0::DOUBLE AS rx, rank() OVER (PARTITION BY sector, period ORDER BY renewable_share) + (count(*) OVER (PARTITION BY sector, period, renewable_share) - 1) / 2.0::DOUBLE AS ry FROM b), s AS (SELECT sector, period, count(*) AS n, CASE WHEN stddev_pop(rx) > 0 AND stddev_pop(ry) > 0 THEN corr(rx, ry) END AS rho FROM k GROUP BY ALL)\n"
 
 
+@query("s01_confirmed_changes", _YOY + "SELECT sector, period, status, count(*) AS n, round(median(change), 6) AS median_change FROM c GROUP BY ALL")
+def s01(spark, sf):
+    return yoy_confidence(customer_year(spark, sf)).groupBy("sector", "period", "status").agg(F.count("*").alias("n"), r6(F.median("change")).alias("median_change"))
+
+
+@query("s02_restatement_directions", _PAIRS + "SELECT entity, period, flatters FROM r WHERE is_compared AND classification IN ('material', 'large')")
+def s02(spark, sf):
+    return restatement_pairs(supplier_year(spark, sf)).where("is_compared AND classification IN ('material', 'large')").select("entity", "period", "flatters")
+
+
 @query("s03_spearman", _RANKED + "SELECT sector, period, n, round(rho, 6) AS rho FROM s")
 def s03(spark, sf):
     return stats.spearman(supplier_year(spark, sf), "emissions", "renewable_share", ["sector", "period"]).withColumn("rho", r6("rho"))
