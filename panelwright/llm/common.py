@@ -142,10 +142,11 @@ def text_map(docs: DataFrame, made: str, start) -> DataFrame:
     columns travel in one struct, so none of their names can clash; columns named like new ones are replaced.
     """
     import pyarrow as pa
-    from pyspark.sql.types import StructType
+    from pyspark.sql.types import StructField, StructType
 
     short_batches(docs.sparkSession)
-    names = StructType.fromDDL(made).names
+    new = StructType.fromDDL(made)
+    names = new.names
     source = docs.select(F.struct(*others(docs, names), F.lit(0).alias("_")).alias("doc"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
@@ -153,5 +154,6 @@ def text_map(docs: DataFrame, made: str, start) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc"), *work(b.column("text"))], names=["doc", *names])
 
-    out = source.mapInArrow(run, f"doc {source.schema['doc'].dataType.simpleString()}, {made}")
-    return out.select(*(F.col("doc").getField(f.name).alias(f.name) for f in source.schema["doc"].dataType.fields[:-1]), *names)
+    kept = StructField("doc", source.schema["doc"].dataType)
+    out = source.mapInArrow(run, StructType([kept, *new.fields]))
+    return out.select(*(F.col("doc").getField(f.name).alias(f.name) for f in kept.dataType.fields[:-1]), *names)

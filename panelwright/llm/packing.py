@@ -18,9 +18,10 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from .common import materialize, short_batches, table
+from .common import materialize, others, short_batches, table
 
 #: Tokens in a sequence; the id after each document; the vocabulary.
 LIMIT, LAST_ID, VOCABULARY = 1024, 2, "byte_bpe_50k.tiktoken"
@@ -41,8 +42,9 @@ def encoder(path: str):
 def pieces(docs: DataFrame, limit: int, path: str) -> DataFrame:
     """Every document as pieces of at most `limit` tokens: kept columns, piece, start, length, ids_crc32; and part and nth:
     the task, and the piece's number among those of its length there."""
-    kept = [c for c in docs.columns if c not in ("text", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "part", "nth")]
-    source = docs.select(*kept, F.coalesce("text", F.lit("")).alias("_text"))
+    own = others(docs, ["text", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "part", "nth", "before", "_text"])
+    kept = docs.select(*own).columns
+    source = docs.select(*own, F.coalesce("text", F.lit("")).alias("_text"))
     last = np.array([LAST_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,8 +69,8 @@ def pieces(docs: DataFrame, limit: int, path: str) -> DataFrame:
             seen += np.bincount(n, minlength=limit + 1)
             yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in kept), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc, np.full(len(n), part), nth))], names=[*kept, "piece", "start", "length", "ids_crc32", "part", "nth"])
 
-    head = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in docs.select(*kept).schema)
-    return source.mapInArrow(run, head + "piece int, start long, length long, ids_crc32 long, part long, nth long")
+    new = StructType.fromDDL("piece int, start long, length long, ids_crc32 long, part long, nth long")
+    return source.mapInArrow(run, StructType([*source.schema.fields[:-1], *new.fields]))
 
 
 def _beside(left: np.ndarray, n: int, room: int) -> list[int] | None:
@@ -175,7 +177,7 @@ def pack(docs: DataFrame, limit: int = LIMIT, path: str | None = None) -> DataFr
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(out[0]), pa.array(out[1])], names=[*names, "sequence_id", "offset"])
 
     placed = cut.join(before, ["part", "length"]).withColumn("nth", F.col("nth") + F.col("before"))
-    return placed.select(*names, "nth").mapInArrow(place, f"{kept.schema.simpleString()[7:-1]}, sequence_id long, offset long")
+    return placed.select(*(placed[f"`{c}`"] for c in names), "nth").mapInArrow(place, StructType([*kept.schema.fields, *StructType.fromDDL("sequence_id long, offset long").fields]))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,9 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import hadoop_path, shared_dir, short_batches, table
+from .common import hadoop_path, others, shared_dir, short_batches, table
 
 #: (host, path, verdict): the rules of the registered query.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -94,9 +95,11 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], default: str
     lengths = sorted({len(p) for _, p, _ in rules}, reverse=True)
     name = _ship(spark, pack(rules))
     rest = F.when(F.instr(url, "://") > 0, F.expr(f"substring({url}, instr({url}, '://') + 3)")).otherwise("")
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    split = pages.withColumn("_rest", rest).withColumn("_host", F.regexp_extract("_rest", r"^[^/?#]*", 0))
-    split = split.select(*kept, F.translate("_host", _UPPER, _LOWER).alias("host"), F.regexp_extract(F.expr("substring(_rest, length(_host) + 1)"), r"^[^?#]*", 0).alias("path"))
+    own = others(pages, ["host", "path", "rule", "verdict"])
+    kept = pages.select(*own).columns
+    split = pages.select(*own, rest.alias("_rest"))
+    split = split.select(*(split[f"`{c}`"] for c in kept), "_rest", F.regexp_extract("_rest", r"^[^/?#]*", 0).alias("_host"))
+    split = split.select(*(split[f"`{c}`"] for c in kept), F.translate("_host", _UPPER, _LOWER).alias("host"), F.regexp_extract(F.expr("substring(_rest, length(_host) + 1)"), r"^[^?#]*", 0).alias("path"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = DigestArray(SparkFiles.get(name))
@@ -122,7 +125,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]], default: str
                 verdicts.append(("allow" if index.allow[hit[2]] else "block") if hit else default)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in (*kept, "host", "path")), pa.array(rules_of, pa.string()), pa.array(verdicts, pa.string())], names=[*kept, "host", "path", "rule", "verdict"])
 
-    return split.mapInArrow(run, f"{split.schema.simpleString()[7:-1]}, rule string, verdict string")
+    return split.mapInArrow(run, StructType([*split.schema.fields, *StructType.fromDDL("rule string, verdict string").fields]))
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
