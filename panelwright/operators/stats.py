@@ -122,12 +122,28 @@ def wilson_interval(k: Column, n: Column, z: float = 1.959963984540054) -> tuple
     return (middle - half) / (1 + z * z / n), (middle + half) / (1 + z * z / n)
 
 
-def cluster_bootstrap_share(df: DataFrame, cluster: str, flag: str, n: int = 2000, seed: int = 1) -> DataFrame:
-    """Share of flagged rows with an interval from drawing whole clusters, and the design effect."""
+#: Cumulative chances of 0, 1, 2, ... events of a Poisson distribution with mean 1.
+POISSON_1 = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676, 0.99998975, 0.99999887]
+
+
+def poisson_weight(*keys: Column | str, seed: int = 1) -> Column:
+    """How often a bootstrap replicate draws a unit: a Poisson(1) number from a hash, so units need no numbering and
+    every replicate is a sum that partial aggregation takes apart."""
+    u = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 52)) / float(1 << 52)
+    return sum((F.when(u >= c, 1).otherwise(0) for c in POISSON_1), F.lit(0))
+
+
+def cluster_bootstrap_share(df: DataFrame, cluster: str, flag: str, n: int = 2000, seed: int = 1, level: float = 0.95) -> DataFrame:
+    """Share of flagged rows with a percentile interval from drawing whole clusters, and the design effect: the variance
+    of the share over clusters against that of as many single rows."""
     sums = df.groupBy(cluster).agg(F.count_if(flag).alias("k"), F.count("*").alias("m"))
-    interval = bootstrap(sums.withColumn("_all", F.lit(1)), F.sum("k") / F.sum("m"), ["_all"], [cluster], n, seed)
+    drawn = replicates(sums, n).withColumn("_w", poisson_weight("replicate", cluster, seed=seed)).where("_w > 0")
+    shares = drawn.groupBy("replicate").agg((F.sum(F.col("_w") * F.col("k")) / F.sum(F.col("_w") * F.col("m"))).alias("_s"))
+    ends = shares.agg(F.percentile("_s", F.array(F.lit((1 - level) / 2), F.lit((1 + level) / 2))).alias("_e"), F.var_pop("_s").alias("_v"))
     seen = sums.agg((F.sum("k") / F.sum("m")).alias("share"), F.sum("m").alias("n_rows"), F.count("*").alias("n_clusters"))
-    return seen.crossJoin(F.broadcast(interval))
+    out = seen.crossJoin(F.broadcast(ends))
+    single = F.col("share") * (1 - F.col("share")) / F.col("n_rows")
+    return out.select("share", "n_rows", "n_clusters", F.get("_e", F.lit(0)).alias("low"), F.get("_e", F.lit(1)).alias("high"), (F.col("_v") / F.nullif(single, F.lit(0.0))).alias("design_effect"))
 
 
 def two_by_two(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:

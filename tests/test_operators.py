@@ -121,6 +121,15 @@ def test_permutation_finds_a_planted_effect_and_not_its_absence(spark):
     assert stats.stratified_permutation(null, "x", "y", ["g"], ["i"], 99, 7).first().p > 0.05
 
 
+def test_cluster_bootstrap_sees_clusters(spark):
+    rows = [(c, c % 2 == 0) for c in range(60) for _ in range(10)]  # all rows of a cluster agree
+    runs = [stats.cluster_bootstrap_share(spark.createDataFrame(rows, "c int, f boolean").repartition(k), "c", "f", 400).first() for k in (1, 8)]
+    assert list(runs[0]) == pytest.approx(list(runs[1])) and runs[0].share == 0.5 and runs[0].low < 0.45 < 0.55 < runs[0].high
+    assert 6 < runs[0].design_effect < 14  # ten rows a cluster
+    w = spark.range(20_000).select(stats.poisson_weight("id").alias("w")).agg(F.avg("w"), F.var_pop("w")).first()
+    assert w[0] == pytest.approx(1, abs=0.03) and w[1] == pytest.approx(1, abs=0.06)
+
+
 def test_cliffs_delta_equals_pairs(spark):
     rows = [("s", v, b) for v, b in ((1.0, True), (2.0, True), (2.0, False), (0.0, False), (3.0, True))]
     got = stats.cliffs_delta(spark.createDataFrame(rows, "s string, v double, l boolean"), "v", "l", ["s"]).first()
