@@ -131,10 +131,10 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
     """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding).
 
     Equal vectors are one node, so a vector that a third of all rows share costs no more than others. Null and empty
-    vectors, zero ones and ones with a null or non-finite component link with nothing; vectors of another length than the
-    most frequent one link with nothing either. Every node is indexed in every tree; a pair is found if one leaf of one tree holds both, and linked if its cosine in
-    double precision is `least` or more. A row with a null vec_id takes part and has its own null as component unless
-    links reach an id. Repeated rows count as vectors of their own.
+    vectors, zero ones and ones with a null or non-finite component link with nothing. Vectors of different lengths don't
+    link; each length is compared in a pass of its own. Every node is indexed in every tree; a pair is found if one leaf
+    of one tree holds both, and linked if its cosine in double precision is `least` or more. A row with a null vec_id
+    takes part and has its own null as component unless links reach an id. Repeated rows count as vectors of their own.
     """
     spark = vectors.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
@@ -143,13 +143,19 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
     vectors = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
     sound = F.coalesce(F.size("v") > 0, F.lit(False)) & ~F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) & F.exists("v", lambda c: c != 0)
     rows = vectors.withColumn("v", F.when(sound, F.transform("v", lambda c: c + F.lit(0.0))))
-    sizes = rows.where("v is not null").groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if sizes is None:
-        return alone
-    dim = int(sizes.d)
-    keyed = rows.withColumn("v", F.when(F.size("v") == dim, F.col("v"))).withColumn("digest", F.when(F.col("v").isNotNull(), F.md5(F.concat_ws(",", F.transform("v", lambda c: c.cast("string"))).cast("binary"))))
-    nodes = keyed.where("digest is not null").groupBy("digest").agg(F.first("v").alias("v"), F.count("*").alias("copies"), F.min("vec_id").alias("low"))
+    alone = rows.where("v is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    sizes = sorted(r.d for r in rows.where("v is not null").groupBy(F.size("v").alias("d")).agg(F.count("*")).collect())
+    out = alone
+    for dim in sizes:
+        out = out.unionByName(_near(rows.where(F.size("v") == dim), dim, kind, least, trees, leaf, spill))
+    return out
+
+
+def _near(rows: DataFrame, dim: int, kind: str, least: float, trees: int, leaf: int, spill: float) -> DataFrame:
+    """near() for sound vectors of one length."""
+    spark = rows.sparkSession
+    keyed = rows.withColumn("digest", F.md5(F.concat_ws(",", F.transform("v", lambda c: c.cast("string"))).cast("binary")))
+    nodes = keyed.groupBy("digest").agg(F.first("v").alias("v"), F.count("*").alias("copies"), F.min("vec_id").alias("low"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()))
     n = nodes.count()
     share = min(1.0, SAMPLE / n)
@@ -180,9 +186,8 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
     classed = materialize(nodes.select("node", "digest", "copies", "low").join(links, "node", "left").join(whole, "node", "left").withColumn("root", F.coalesce("root", "node")))
     heads = classed.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = classed.join(heads, "root").select("digest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
-    out = keyed.select("vec_id", "digest").join(classes, "digest", "left")
-    component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    out = keyed.select("vec_id", "digest").join(classes, "digest")
+    return out.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def _units(x: np.ndarray) -> np.ndarray:

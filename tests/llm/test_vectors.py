@@ -34,7 +34,7 @@ def got(df):
 
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [1.0, 0.1, 0.0]), (4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [nan, 1.0, 1.0]), (8, [None, 1.0, 1.0]), (9, [inf, 0.0, 0.0]), (10, [0.0, 1.0, 0.0]), (11, [0.0, 1.0, 0.0]), (11, [0.0, 1.0, 0.0]), (12, [1e-300, 0.0, 0.0]), (13, [1e300, 1e299, 0.0]), (14, [-0.0, 1.0, 0.0]), (15, [-1.0, 0.0, 0.0])]
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [1.0, 0.1, 0.0]), (4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [nan, 1.0, 1.0]), (8, [None, 1.0, 1.0]), (9, [inf, 0.0, 0.0]), (10, [0.0, 1.0, 0.0]), (11, [0.0, 1.0, 0.0]), (11, [0.0, 1.0, 0.0]), (12, [1e-300, 0.0, 0.0]), (13, [1e300, 1e299, 0.0]), (14, [-0.0, 1.0, 0.0]), (15, [-1.0, 0.0, 0.0]), (16, [1.0, 0.0]), (17, [1.0, 0.0]), (18, [3.0, 0.1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     want = brute(df.where("vec_id not in (12, 13)").collect())
     assert got(df.where("vec_id not in (12, 13)").selectExpr("*", "1 as node", "2 as leaf", "3 as v")) == want
