@@ -13,8 +13,9 @@ from .common import components, grouped, materialize, table
 
 #: Vectors are linked from this cosine on.
 LEAST = 0.95
-#: Trees; vectors in a leaf, on average; share of a node's vectors on each side of the cut that go to both children.
-TREES, LEAF, SPILL = 6, 400, 0.05
+#: Trees; vectors in a leaf, on average. A node stays whole if comparing within its children would take more than this share
+#: of comparing within the node; cuts are tried at these quantiles.
+TREES, LEAF, WORTH, CUTS = 6, 400, 0.85, np.linspace(0.1, 0.9, 17)
 #: At most so many vectors (chosen by a hash) shape the trees; a node with fewer than LEAST_SAMPLE of them is cut where the
 #: whole sample would be, so that trees can be as deep as the number of vectors asks for.
 SAMPLE, LEAST_SAMPLE = 20_000, 40
@@ -23,47 +24,68 @@ BLOCK = 1024
 
 
 class Forest:
-    """Trees of random directions, cut at the sample's median; both children overlap by a share of the vectors."""
+    """Trees of random directions. What lies within half the distance of two linked vectors from a cut goes to both children,
+    so a pair is parted only if its shadow on the direction is longer than that distance. A node that no cut divides by this
+    rule (a dense group) is a leaf."""
 
-    def __init__(self, sample: np.ndarray, depth: int, trees: int = TREES, spill: float = SPILL, seed: int = 19):
+    def __init__(self, sample: np.ndarray, depth: int, trees: int = TREES, least: float = LEAST, seed: int = 19):
         rng = np.random.default_rng(seed)
         dim = sample.shape[1]
         self.depth = depth
         self.own = min(depth, int(np.log2(max(1, len(sample) / LEAST_SAMPLE))))  # levels whose nodes have cuts of their own
         self.directions = rng.normal(size=(trees, max(depth, 1), dim))
+        self.margin = np.sqrt(2 - 2 * least) / 2  # a shadow of length 1 on these directions has a deviation of 1
         # one direction for each level of a tree, a cut of its own for each node
-        self.low = np.zeros((trees, 2**self.own))
-        self.high = np.zeros((trees, 2**self.own))
-        self.level = np.zeros((trees, max(depth, 1), 2))
+        self.cut = np.zeros((trees, 2**self.own))
+        self.whole = np.zeros((trees, 2**self.own), bool)
+        self.level = np.zeros((trees, max(depth, 1)))
         for t in range(trees):
             held = {1: np.arange(len(sample))}
             for level in range(depth):
                 shadow = sample @ self.directions[t, level]
-                self.level[t, level] = np.quantile(shadow, [0.5 - spill, 0.5 + spill])
+                self.level[t, level] = self._best(shadow)[0]
                 if level >= self.own:
                     continue
                 below = {}
                 for node, own in held.items():
                     x = shadow[own]
-                    lo, hi = np.quantile(x, [0.5 - spill, 0.5 + spill]) if len(own) else (0.0, 0.0)
-                    self.low[t, node], self.high[t, node] = lo, hi
-                    below[2 * node] = own[x <= hi]
-                    below[2 * node + 1] = own[x >= lo]
+                    self.cut[t, node], work = self._best(x)
+                    self.whole[t, node] = work > WORTH
+                    if not self.whole[t, node]:
+                        below[2 * node] = own[x <= self.cut[t, node] + self.margin]
+                        below[2 * node + 1] = own[x >= self.cut[t, node] - self.margin]
                 held = below
 
+    def _best(self, shadow: np.ndarray) -> tuple[float, float]:
+        """The cut that leaves least to compare, and what it leaves as a share."""
+        if not len(shadow):
+            return 0.0, 0.0
+        shadow = np.sort(shadow)
+        cuts = np.quantile(shadow, CUTS)
+        left = np.searchsorted(shadow, cuts + self.margin, "right") / len(shadow)
+        right = 1 - np.searchsorted(shadow, cuts - self.margin, "left") / len(shadow)
+        work = left**2 + right**2
+        k = int(np.argmin(work))
+        return float(cuts[k]), float(work[k])
+
     def leaves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, tree, leaf) of every leaf that each vector falls into; several of one tree where it lies near a cut."""
         rows, trees, leaves = [], [], []
         for t in range(len(self.directions)):
             row, node = np.arange(len(x)), np.ones(len(x), np.int64)
             for level in range(self.depth):
+                if level < self.own:
+                    stay = self.whole[t, node]
+                    rows.append(row[stay])
+                    leaves.append(node[stay])
+                    row, node = row[~stay], node[~stay]
                 shadow = (x @ self.directions[t, level])[row]
-                low, high = (self.low[t, node], self.high[t, node]) if level < self.own else self.level[t, level]
-                left, right = shadow <= high, shadow >= low
+                cut = self.cut[t, node] if level < self.own else self.level[t, level]
+                left, right = shadow <= cut + self.margin, shadow >= cut - self.margin
                 row, node = np.concatenate([row[left], row[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
             rows.append(row)
-            trees.append(np.full(len(row), t))
             leaves.append(node)
+            trees.append(np.full(sum(map(len, rows)) - sum(map(len, trees)), t))
         return np.concatenate(rows), np.concatenate(trees), np.concatenate(leaves)
 
 
@@ -84,50 +106,51 @@ def _compare(least: float, kind: str):
         m = len(node)
         if m < 2:
             return
-        a, b = [], []
+        # leaves before this one that two vectors hold, as bits
+        code = np.array([v for own in earlier for v in own], np.int64)
+        holder = np.repeat(np.arange(m), [len(own) for own in earlier])
+        _, code, held_by = np.unique(code, return_inverse=True, return_counts=True)
+        shared = held_by > 1
+        place = np.cumsum(shared) - 1
+        bits = np.zeros((m, -(-max(1, int(shared.sum())) // 64) * 64), bool)
+        bits[holder[shared[code]], place[code[shared[code]]]] = True
+        bits = np.packbits(bits, axis=1).view(np.uint64)
+        links, root = np.zeros(m), np.arange(m)
         for lo in range(0, m, 512):
-            r, c = np.nonzero(x[lo : lo + 512] @ x.T >= least - 1e-9)
+            cosine = x[lo : lo + 512] @ x.T
+            r, c = np.nonzero(cosine >= least - 1e-9)
             keep = r + lo < c
-            a.append(r[keep] + lo)
-            b.append(c[keep])
-        a, b = np.concatenate(a), np.concatenate(b)
-        if i != j:
-            keep = block[a] != block[b]
-            a, b = a[keep], b[keep]
-        exact = np.concatenate([np.einsum("ij,ij->i", x[a[k : k + 100_000]], x[b[k : k + 100_000]]) for k in range(0, len(a), 100_000)]) if len(a) else np.zeros(0)
-        a, b = a[exact >= least], b[exact >= least]
-        if len(a):
-            # leaves before this one, each vector's in one row, padded with numbers that match nothing
-            involved = np.unique(np.concatenate([a, b]))
-            before = {k: earlier[k] for k in involved.tolist()}
-            wide = max(map(len, before.values()))  # 0 in the first leaf of all
-            seen = np.full((m, wide), -1, np.int64)
-            for k, v in before.items():
-                seen[k, : len(v)] = v
+            if i != j:
+                keep &= block[r + lo] != block[c]
+            r, c = r[keep], c[keep]
+            a, b, near_by = r + lo, c, cosine[r, c]
             fresh = np.ones(len(a), bool)
-            for s in range(wide):
-                own = seen[a, s]
-                fresh &= ~((own[:, None] == seen[b]) & (own >= 0)[:, None]).any(axis=1)
+            for k in np.flatnonzero(near_by < least + 1e-9).tolist():
+                fresh[k] = np.einsum("i,i", x[a[k]], x[b[k]]) >= least
+            for k in range(0, len(a), 100_000):
+                fresh[k : k + 100_000] &= ~(bits[a[k : k + 100_000]] & bits[b[k : k + 100_000]]).any(axis=1)
             a, b = a[fresh], b[fresh]
-        if not len(a):
+            links += np.bincount(a, copies[b], m) + np.bincount(b, copies[a], m)
+            while True:
+                apart = root[a] != root[b]
+                a, b = a[apart], b[apart]
+                if not len(a):
+                    break
+                low = root.copy()
+                np.minimum.at(low, root[a], root[b])
+                np.minimum.at(low, root[b], root[a])
+                while (low[low] != low).any():
+                    low = low[low]
+                root = low[root]
+        if not links.any():
             return
-        links = np.bincount(a, copies[b], m) + np.bincount(b, copies[a], m)
-        root = np.arange(m)
-        while True:
-            low = root.copy()
-            np.minimum.at(low, a, root[b])
-            np.minimum.at(low, b, root[a])
-            low = low[low]
-            if (low == root).all():
-                break
-            root = low
         linked = np.flatnonzero(links)
         yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[root[linked]]), pa.array(links[linked].astype(np.int64))], names=["node", "root", "links"])
 
     return run
 
 
-def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
+def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of vectors (vec_id, embedding).
 
     Equal vectors are one node, so a vector that a third of all rows share costs no more than others. Null and empty
@@ -147,11 +170,11 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
     sizes = sorted(r.d for r in rows.where("v is not null").groupBy(F.size("v").alias("d")).agg(F.count("*")).collect())
     out = alone
     for dim in sizes:
-        out = out.unionByName(_near(rows.where(F.size("v") == dim), dim, kind, least, trees, leaf, spill))
+        out = out.unionByName(_near(rows.where(F.size("v") == dim), dim, kind, least, trees, leaf))
     return out
 
 
-def _near(rows: DataFrame, dim: int, kind: str, least: float, trees: int, leaf: int, spill: float) -> DataFrame:
+def _near(rows: DataFrame, dim: int, kind: str, least: float, trees: int, leaf: int) -> DataFrame:
     """near() for sound vectors of one length."""
     spark = rows.sparkSession
     keyed = rows.withColumn("digest", F.md5(F.concat_ws(",", F.transform("v", lambda c: c.cast("string"))).cast("binary")))
@@ -161,7 +184,7 @@ def _near(rows: DataFrame, dim: int, kind: str, least: float, trees: int, leaf:
     share = min(1.0, SAMPLE / n)
     sample = _units(np.array([r.v for r in nodes.where(F.pmod(F.xxhash64("digest"), F.lit(1_000_000)) < share * 1_000_000).select("v").collect()]).reshape(-1, dim))
     depth = int(np.ceil(np.log2(max(1, n / leaf)))) if len(sample) else 0
-    forest = spark.sparkContext.broadcast(Forest(sample, depth, trees, spill))
+    forest = spark.sparkContext.broadcast(Forest(sample, depth, trees, least))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

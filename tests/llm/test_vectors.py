@@ -63,3 +63,21 @@ def test_embeddings(spark, sf):
     want, out = brute(df.collect()), got(df)
     assert sum(o[1] for o in out) >= 0.95 * sum(w[1] for w in want)
     assert np.mean([o == w for o, w in zip(out, want)]) > 0.97
+
+
+def test_links_inside_a_large_group_of_near_copies():
+    rng = np.random.default_rng(4)
+    n, group = 80_000, 27_000
+    noise = rng.normal(0, 1, (group, 64)) * rng.uniform(0.0025, 0.0215, (group, 1))  # cosines of 0.97 and more to one another
+    centre = vectors._units(rng.normal(size=(1, 64)))
+    x = vectors._units(np.concatenate([centre + noise, rng.normal(size=(n - group, 64))]))
+    forest = vectors.Forest(x[rng.choice(n, vectors.SAMPLE, replace=False)], 8)
+    some = rng.choice(group, (20_000, 2))
+    some = some[some[:, 0] != some[:, 1]]
+    assert (np.einsum("ij,ij->i", x[some[:, 0]], x[some[:, 1]]) >= 0.95).all()
+    row, tree, leaf = forest.leaves(x)
+    own = [set() for _ in range(n)]
+    for r, t, node in zip(row.tolist(), tree.tolist(), leaf.tolist()):
+        own[r].add((t, node))
+    assert np.mean([not own[a].isdisjoint(own[b]) for a, b in some.tolist()]) >= 0.9
+    assert len(row) <= 6 * 4 * n
