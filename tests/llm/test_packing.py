@@ -108,3 +108,19 @@ def test_dominance_never_costs_a_sequence(lengths):
             fixed += 1
     rest = [n for n in range(21) for _ in range(left[n])]
     assert fixed + (fewest(rest, 20) if rest else 0) == fewest(lengths, 20)
+
+
+PLAIN = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", "|>", "<|", " ", "\n", "a", " b", "é", "12", "<|startoftext|>"]), max_size=12).map("".join))
+def test_added_tokens_in_texts_are_those_of_the_library(text):
+    encode = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), added=True)
+    for t in (text, "a <|endoftext|> b"):
+        assert np.frombuffer(encode(t), "<u4").tolist() == PLAIN.encode(t, add_special_tokens=False).ids
+
+
+def test_pieces_hold_added_tokens(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "<|endoftext|>" * 1500)], "doc_id long, text string")
+    check(packing.pack(docs).collect(), docs.collect(), PLAIN)
