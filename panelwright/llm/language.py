@@ -22,8 +22,11 @@ DOCS_EACH, MOST_GRAMS = 1500, 200_000
 ORDER, ALPHA, SCRIPT_SHARE = 3, 0.5, 0.01
 #: Cost, in log-probability, of going from one language to another; cost of a word in a script that isn't the language's.
 SWITCH, WRONG_SCRIPT = 12.0, 30.0
-#: Words that a worker remembers; the longest word that is scored in full (a longer one by its first and last letters).
-REMEMBERED, LONGEST = 400_000, 60
+#: Words that a worker remembers; letters of the longest word that is labelled as one; letters at most in a piece of a longer
+#: one (or of text that no ASCII white space parts); letters of a long word that are taken up at once.
+REMEMBERED, LONGEST, PIECE, AT_ONCE = 400_000, 60, 20, 60_000
+#: Scripts that one language mixes from letter to letter: a change between them ends no piece.
+MIXED = {"Kana": "Han"}
 #: Share of the letters below which the stage rejects a document: none of its languages prevails.
 LEAST_SCORE = 0.5
 
@@ -53,12 +56,21 @@ def letters_of(word: str) -> str:
 
 def grams(letters: str) -> Iterator[str]:
     """Runs of ORDER characters of the word between two spaces."""
-    if len(letters) > LONGEST:
-        letters = letters[: LONGEST // 2] + letters[-LONGEST // 2 :]
     padded = f" {letters} "
     return (padded[i : i + ORDER] for i in range(max(1, len(padded) - ORDER + 1)))
 
 
+def pieces(letters: str) -> list[tuple[int, int]]:
+    """Borders of the pieces of a long run of letters: PIECE letters at most, each in one script (or in MIXED ones)."""
+    scripts = [MIXED.get(s, s) for s in map(script_of, letters)]
+    out, begin = [], 0
+    for i in range(1, len(letters) + 1):
+        if i == len(letters) or i - begin == PIECE or scripts[i] != scripts[begin]:
+            out.append((begin, i))
+            begin = i
+    return out
+
+
 def train(docs: DataFrame) -> dict:
     """The model, from documents with a text and a language: n-gram log-probabilities and scripts by language.
 
@@ -133,14 +145,37 @@ class Labeller:
         self.scores[first:n] = 0
         if len(full):
             self.scores[first + full] = np.add.reduceat(self.model["table"][rows], (np.cumsum(sizes) - sizes)[full])
+        self._narrow(letters, self.scores[first:n])
+
+    def _narrow(self, letters: list[str], scores: np.ndarray) -> None:
         for i, x in enumerate(letters):
             if x:
                 script = "Latin" if max(x) < "\u0370" else Counter(map(script_of, x)).most_common(1)[0][0]
                 allowed = self.model["scripts"].get(script)
                 if allowed is not None and not allowed.all() and allowed.any():
-                    self.scores[first + i, ~allowed] -= WRONG_SCRIPT
-
-    def _ids(self, words: Words, hashes: np.ndarray) -> np.ndarray:
+                    scores[i, ~allowed] -= WRONG_SCRIPT
+
+    def _long(self, word: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Scores and letters of the pieces of a word of more than LONGEST letters, else None. Every n-gram counts, in the
+        piece that its middle letter falls into. Such pieces aren't remembered."""
+        parts = [x for x in map(letters_of, word.split()) if x]
+        if sum(map(len, parts)) <= LONGEST:
+            return None
+        known, unseen = self.model["grams"], len(self.model["table"]) - 1
+        scores, sizes = [], []
+        for part in parts:
+            padded = f" {part} "
+            for lo in range(0, len(part), AT_ONCE):
+                own = part[lo : lo + AT_ONCE]
+                cuts = pieces(own)
+                rows = [known.get(padded[i : i + ORDER], unseen) for i in range(lo, lo + len(own))]
+                score = np.add.reduceat(self.model["table"][rows], [a for a, _ in cuts])
+                self._narrow([own[a:b] for a, b in cuts], score)
+                scores.append(score)
+                sizes += [b - a for a, b in cuts]
+        return np.concatenate(scores), np.array(sizes, np.int64)
+
+    def _ids(self, words: Words, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
         if len(self.known) > REMEMBERED:
             self._forget()
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
@@ -149,7 +184,7 @@ class Labeller:
         for k, i in enumerate(ids):
             if i < 0:
                 ids[k] = known[int(unique[k])] = len(known)
-                w = first[k]
+                w = at[first[k]]
                 new.append(raw[words.start[w] : words.end[w]].decode("utf-8", "replace"))
         if new:
             self._learn(new, start)
@@ -186,9 +221,26 @@ class Labeller:
         out: list[tuple[str, float, list]] = []
         for a, b in chunks(offsets):
             words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACE)
-            ids = self._ids(words, words.hashes())
+            raw = words.data
+            long = {w: got for w in np.flatnonzero(words.end - words.start > LONGEST).tolist() if (got := self._long(raw[words.start[w] : words.end[w]].tobytes().decode("utf-8", "replace")))}
+            times = np.ones(len(words.start), np.int64)
+            times[list(long)] = 0
+            usual = np.flatnonzero(times)
+            ids = self._ids(words, words.hashes()[usual], usual)
             score, letters = self.scores[ids], self.letters[ids]
-            for i, j in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+            word, first = np.arange(len(words.start)), words.first
+            if long:
+                # a long word stands as its pieces, each other one as itself
+                for w, (_, sizes) in long.items():
+                    times[w] = len(sizes)
+                begin = np.concatenate([[0], np.cumsum(times)])
+                word, first = np.repeat(word, times), begin[words.first]
+                score_all, letters_all = np.empty((begin[-1], score.shape[1])), np.empty(begin[-1], np.int64)
+                score_all[begin[usual]], letters_all[begin[usual]] = score, letters
+                for w, (own, sizes) in long.items():
+                    score_all[begin[w] : begin[w + 1]], letters_all[begin[w] : begin[w + 1]] = own, sizes
+                score, letters = score_all, letters_all
+            for i, j, nth in zip(first[:-1].tolist(), first[1:].tolist(), words.first[:-1].tolist(), strict=True):
                 if not letters[i:j].any():
                     out.append(("und", 0.0, []))
                     continue
@@ -196,7 +248,7 @@ class Labeller:
                 weight = np.bincount(path, letters[i:j], len(self.langs))
                 k = int(np.argmax(weight))
                 cut = np.flatnonzero(np.diff(path)) + 1
-                spans = [(self.langs[path[s]], s, e - 1) for s, e in zip([0, *cut.tolist()], [*cut.tolist(), j - i], strict=True)]
+                spans = [(self.langs[path[s]], int(word[i + s]) - nth, int(word[i + e - 1]) - nth) for s, e in zip([0, *cut.tolist()], [*cut.tolist(), j - i], strict=True)]
                 out.append((self.langs[k], float(weight[k] / weight.sum()), spans))
         return out
 
@@ -208,6 +260,9 @@ _reused: dict[str, Labeller] = {}
 def identify(docs: DataFrame, model: dict) -> DataFrame:
     """docs with lang_pred, score (share of the letters that are in this language) and lang_spans (words from 0).
 
+    Words end at ASCII white space. Where the language changes inside a long one, that word ends one span and begins the
+    next.
+
     Only the text is looked at. Null, empty and letterless texts are "und" with score 0 and no span, as is every text
     if nothing was learned. Columns with these names are replaced, others stay; repeated rows are labelled one by one.
     """

@@ -44,3 +44,25 @@ def test_scripts_narrow_the_candidates():
     model = {"langs": ["el", "en"], "grams": {}, "table": np.log([[0.1, 0.1]]), "scripts": {"Latin": np.array([False, True]), "Greek": np.array([True, False])}}
     got = Labeller(model).label(pa.array(["κόσμε καλημέρα".encode(), b"hello", "日本".encode(), b"12 !"]))
     assert [g[0] for g in got[:2]] == ["el", "en"] and got[3][0] == "und" and got[2][0] in ("el", "en")
+
+
+def test_long_text_without_ascii_spaces_is_labelled_throughout(spark, sf, sf_docs):
+    labeller = Labeller(_learn(spark.read.parquet(f"{sf}/documents.parquet")))
+    one = {lang: " ".join(" ".join(sf_docs[(sf_docs.lang == lang) & (sf_docs.n_chars > 500)].text).split()[:200]) for lang in ("en", "de")}
+    letters = {lang: sum(map(str.isalpha, text)) for lang, text in one.items()}
+    for space in (" ", "　", ""):
+        before = len(labeller.known)
+        en, de = (one[lang].replace(" ", space) for lang in ("en", "de"))
+        ((lang, score, spans),) = labeller.label(pa.array([f"{en}{space}{de}".encode()]))
+        assert [s for s in spans] == [("en", 0, 0), ("de", 0, 0)] and len(labeller.known) == before
+        assert lang == max(letters, key=letters.get) and abs(score - max(letters.values()) / sum(letters.values())) < 0.05
+        # a short word in front, the middle of the run in another language than both ends
+        ((lang, score, spans),) = labeller.label(pa.array([f"the {en}{space}{de}{space}{de}{space}{en} and the end".encode()]))
+        assert [s[0] for s in spans] == ["en", "de", "en"] and spans[0][1:] == (0, 1) and spans[1][1:] == (1, 1) and spans[2][1:] == (1, 4) and score < 0.7
+
+
+def test_pieces_end_at_changes_of_script():
+    assert language.pieces("a" * 30 + "日の本") == [(0, 20), (20, 30), (30, 33)]
+    model = {"langs": ["el", "en"], "grams": {}, "table": np.log([[0.1, 0.1]]), "scripts": {"Latin": np.array([False, True]), "Greek": np.array([True, False])}}
+    ((lang, score, spans),) = Labeller(model).label(pa.array([("κ" * 100 + "x" * 300 + "κ" * 50).encode()]))
+    assert (lang, score, [s[0] for s in spans]) == ("en", 300 / 450, ["el", "en", "el"])
