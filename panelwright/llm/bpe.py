@@ -14,7 +14,9 @@ import hashlib
 import json
 import zlib
 from functools import lru_cache
+from operator import itemgetter
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -134,49 +136,165 @@ def _merge_long(pieces: list[bytes], ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in held if p is not None]
 
 
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
+
+
+class Merges:
+    """The same merges for many words at once: words of similar length are rows of a matrix, and each step joins one pair in
+    every row that still has one. Pieces are known by their ranks, pairs by a hash table from two ranks to the joined one."""
+
+    #: What stands for "no rank"; words of up to so many bytes share a matrix, longer ones are merged one by one, as are
+    #: fewer words than FEW.
+    NONE, WIDTHS, FEW = np.int32(2**31 - 1), (4, 6, 8, 12, 16, 24, 32, 48, 64), 48
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        pairs = [(x << 32 | y, r) for piece, r in ranks.items() for i in range(1, len(piece)) if (x := ranks.get(piece[:i])) is not None and (y := ranks.get(piece[i:])) is not None]
+        self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        bits = max(4, (2 * len(pairs)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, np.iinfo(np.uint64).max, np.uint64), np.full(1 << bits, self.NONE, np.int32)
+        key, value = np.array([k for k, _ in pairs], np.uint64), np.array([v for _, v in pairs], np.int32)
+        at = self._slot(key)
+        while len(key):
+            _, first = np.unique(at, return_index=True)
+            put = first[self.values[at[first]] == self.NONE]
+            self.keys[at[put]], self.values[at[put]] = key[put], value[put]
+            left = np.ones(len(key), bool)
+            left[put] = False
+            key, value, at = key[left], value[left], (at[left] + 1) & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def joined(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The rank of each pair of pieces, or NONE."""
+        key = x.astype(np.uint64) << np.uint64(32) | y.astype(np.uint64)
+        at = self._slot(key)
+        out = self.values[at]
+        open_ = np.flatnonzero((self.keys[at] != key) & (out != self.NONE))
+        out[open_] = self.NONE
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            value = self.values[at[open_]]
+            same = self.keys[at[open_]] == key[open_]
+            out[open_[same]] = value[same]
+            open_ = open_[~same & (value != self.NONE)]
+        return out
+
+    def merge(self, words: list[bytes]) -> list[list[int]]:
+        if len(words) < self.FEW:
+            return [merge(w, self.ranks) for w in words]
+        out: list[list[int]] = [[r] if (r := self.ranks.get(w)) is not None else [] for w in words]
+        size = np.array([len(w) if not o else 0 for w, o in zip(words, out, strict=True)], np.int64)
+        low = 1
+        for width in self.WIDTHS:
+            rows = np.flatnonzero((size > low) & (size <= width))
+            low = width
+            for i in range(0, len(rows), 16_384):
+                own = rows[i : i + 16_384]
+                for k, ids in zip(own.tolist(), self._matrix([words[k] for k in own.tolist()], size[own], width), strict=True):
+                    out[k] = ids
+        for k in np.flatnonzero(size > low).tolist():
+            out[k] = merge(words[k], self.ranks)
+        return out
+
+    def _matrix(self, words: list[bytes], size: np.ndarray, width: int) -> list[list[int]]:
+        n, none = len(words), self.NONE
+        # one more column on each side, so that every piece has neighbours
+        pieces = np.zeros((n, width + 2), np.int32)
+        pieces[:, 1:-1] = self.byte[np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(n, width)]
+        rank = np.full((n, width + 2), none, np.int32)  # of the pair that begins here
+        column = np.arange(1, width)
+        real = column[None, :] < size[:, None]
+        rank[:, 1:width][real] = self.joined(pieces[:, 1:width][real], pieces[:, 2 : width + 1][real])
+        right = np.tile(np.arange(1, width + 3, dtype=np.int32), (n, 1))
+        left = right - 2
+        alive = np.arange(width + 2)[None, :] <= size[:, None]
+        alive[:, 0] = False
+        last = size.astype(np.int32)
+        row = np.arange(n)
+        while len(row):
+            at = rank[row].argmin(axis=1)
+            value = rank[row, at]
+            go = value != none
+            row, at, value = row[go], at[go], value[go]
+            gone = right[row, at]
+            after, before = right[row, gone], left[row, at]
+            pieces[row, at], right[row, at] = value, after
+            alive[row, gone], rank[row, gone] = False, none
+            inner = after <= last[row]
+            left[row[inner], after[inner]] = at[inner]
+            rank[row, at] = none
+            rank[row[inner], at[inner]] = self.joined(value[inner], pieces[row[inner], after[inner]])
+            inner = before > 0
+            rank[row[inner], before[inner]] = self.joined(pieces[row[inner], before[inner]], value[inner])
+        ids, end = pieces[alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
+        return [ids[i:j] for i, j in zip([0, *end[:-1]], end, strict=True)]
+
+
 class Encoder:
     """Encodes texts word by word. A text without longer runs of white space is cut at its spaces (no pre-token holds
-    what stands on both sides of a single space), and what stands between is worked out once and remembered."""
+    what stands on both sides of a single space). What stands between is worked out once for all texts of a batch, and
+    remembered: its ids in decimal, and the bytes of their pieces, so that a text's decoding is a concatenation."""
 
     def __init__(self, ranks: dict[bytes, int], frequent: dict[str, list[int]]):
         self.ranks, self.frequent = ranks, frequent
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.piece = {r: p for p, r in ranks.items()}
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.merges = Merges(ranks)
+        self.usual = {word: self._pair(ids) for word, ids in frequent.items()}
+        self.known: dict[str, tuple[str, bytes]] = {}
+
+    def _pair(self, ids: list[int]) -> tuple[str, bytes]:
+        return ",".join(map(str, ids)), self.decode(ids)
 
     def ids(self, text: str) -> list[int]:
-        out: list[int] = []
-        for word in self.pattern.findall(text):
-            got = self.frequent.get(word)
-            out += got if got is not None else merge(word.encode(), self.ranks)
-        return out
+        words = self.pattern.findall(text)
+        new = [w for w in dict.fromkeys(words) if w not in self.frequent]
+        own = dict(zip(new, self.merges.merge([w.encode() for w in new]), strict=True))
+        return [i for w in words for i in (own[w] if w in own else self.frequent[w])]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.piece[i] for i in ids])
 
-    def _of(self, text: str) -> tuple[str, int, bytes]:
-        ids = self.ids(text)
-        return ",".join(map(str, ids)), len(ids), self.decode(ids)
+    def _learn(self, parts: list[str]) -> None:
+        """Remember what stands between two spaces, for many such parts at once."""
+        words = self.pattern.findall(" " + " ".join(parts))
+        new = [w for w in dict.fromkeys(words) if w not in self.usual]
+        own = {w: self._pair(ids) for w, ids in zip(new, self.merges.merge([w.encode() for w in new]), strict=True)}
+        got: list[tuple[str, bytes]] = []
+        for w in words:
+            pair = own.get(w) or self.usual[w]
+            if w[0] == " ":  # a part begins
+                got.append(pair)
+            else:
+                got[-1] = (f"{got[-1][0]},{pair[0]}", got[-1][1] + pair[1])
+        self.known.update(zip(parts, got, strict=True))
+
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Of each text: number of ids, SHA-256 of the ids in decimal joined by commas, SHA-256 of the bytes that the ids
+        decode to."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known, split, new = self.known, [t.split(" ") for t in texts], set()
+        for parts in split:
+            new |= set(parts[1:]).difference(known)
+        odd = {p for p in new if not p or p[0].isspace() or p[-1].isspace()}
+        self._learn([*(new - odd)])
+        out = []
+        for text, parts in zip(texts, split, strict=True):
+            first = parts[0]
+            if not first or first[0].isspace() or first[-1].isspace() or (odd and not odd.isdisjoint(parts)):
+                ids, data = self._pair(self.ids(text))
+            else:
+                all_ = [self._pair(self.ids(first)), *map(known.__getitem__, parts[1:])]
+                ids, data = ",".join(map(_FIRST, all_)), b"".join(map(_SECOND, all_))
+            out.append((ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(data).hexdigest()))
+        return out
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids in decimal joined by commas, SHA-256 of the bytes that the ids decode to."""
-        parts = text.split(" ")
-        if all(parts) and not any(p[0].isspace() or p[-1].isspace() for p in parts):
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            parts[0] += " "  # no space stands before the first: a key of its own
-            known = self.known
-            try:
-                got = [known[p] for p in parts]
-            except KeyError:
-                for p in parts:
-                    if p not in known:
-                        known[p] = self._of(p[:-1] if p[-1] == " " else " " + p)
-                got = [known[p] for p in parts]
-            ids, sizes, data = zip(*got, strict=True)
-        else:
-            ids, sizes, data = ([x] for x in self._of(text))
-        return sum(sizes), hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256(b"".join(data)).hexdigest()
+        return self.digests([text])[0]
 
 
 @lru_cache(maxsize=1)
@@ -225,7 +343,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         encoder = _worker_encoder(path, key, _Held(shared, key))
 
         def work(texts: pa.Array) -> list[pa.Array]:
-            rows = [encoder.digest(t.as_buffer().to_pybytes().decode("utf-8", "replace")) for t in texts]
+            rows = encoder.digests([t.as_buffer().to_pybytes().decode("utf-8", "replace") for t in texts])
             return [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.string()) for k in (1, 2))]
 
         return work
