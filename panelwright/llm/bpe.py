@@ -260,7 +260,7 @@ class Encoder:
 
     def _learn(self, parts: list[str]) -> None:
         """Remember what stands between two spaces, for many such parts at once."""
-        words = self.pattern.findall(" " + " ".join(parts))
+        words = self.pattern.findall(" " + " ".join(parts)) if parts else []
         new = [w for w in dict.fromkeys(words) if w not in self.usual]
         own = {w: self._pair(ids) for w, ids in zip(new, self.merges.merge([w.encode() for w in new]), strict=True)}
         got: list[tuple[str, bytes]] = []
