@@ -16,16 +16,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes in an Arrow batch.
+BATCH_BYTES = 8 << 20
+
+
 def short_batches(spark: SparkSession) -> None:
-    """Bound the memory of a Python worker: few rows and few bytes in each Arrow batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    """Bound the memory of a Python worker: few rows and few bytes in each Arrow batch.
+
+    Spark reads these settings when a plan runs, which is after an operator has returned it, so they stay; what the
+    session has set lower stays as it is.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key).removesuffix("b").removesuffix("B")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where it is unset (tests) one is made."""
+    """The folder that driver and executors share: spark.checkpoint.dir. One is made only in local mode (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -59,6 +72,20 @@ def held_out(doc_id: str, parts: int, part: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts == part, F.lit(False))
 
 
+#: A node is a hub if it has more than this share of all links: so there are few hubs (twice as many as one over this, at most).
+HUB_SHARE = 1e-4
+
+
+def _with_least(links: DataFrame, n: int, own: bool) -> DataFrame:
+    """links (a, b) with m, the least b of each a (and a itself, if own). A hub's rows don't meet in one task: its m is
+    broadcast, and only the links of other nodes are joined on the node."""
+    stats = materialize(links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", (F.least("a", "m") if own else F.col("m")).alias("m"), "n"))
+    hub = F.col("n") > n * HUB_SHARE
+    marked = links.join(F.broadcast(stats.where(hub).select("a", F.col("m").alias("_m"))), "a", "left")
+    rest = marked.where("_m is null").join(stats.where(~hub).select("a", "m"), "a").select("a", "b", "m")
+    return marked.where("_m is not null").select("a", "b", F.col("_m").alias("m")).unionByName(rest)
+
+
 def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """Smallest node that each node reaches over undirected links.
 
@@ -68,15 +95,15 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     to its smallest member instead of being joined with each other. Every round is written to the shared folder.
     """
     now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    n = now.count()
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = _with_least(both, 2 * n, True).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         step = materialize(large.where("a <> b").distinct())
-        low = step.groupBy("a").agg(F.min("b").alias("m"))
-        small = step.join(low, "a").select(F.explode(F.when(F.col("b") == F.col("m"), F.array(F.struct("a", F.col("m").alias("b")))).otherwise(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))).alias("e")).select("e.a", "e.b")
+        small = _with_least(step, n, False).select(F.explode(F.when(F.col("b") == F.col("m"), F.array(F.struct("a", F.col("m").alias("b")))).otherwise(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))).alias("e")).select("e.a", "e.b")
         after = materialize(small.where("a <> b").distinct())
-        same = now.count() == after.count() and now.exceptAll(after).isEmpty()
+        was, n = n, after.count()
+        same = was == n and now.exceptAll(after).isEmpty()
         discard(step)
         discard(now)
         now = after

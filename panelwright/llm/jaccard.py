@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import components, grouped, materialize, short_batches, table
+from .common import components, discard, grouped, materialize, short_batches, table
 from .textvec import SPACE, Words, buffers, chunks, mix, windows
 
 #: Words in an n-gram; the least similarity, as a fraction.
 SIZE, LEAST = 5, (4, 5)
 #: Of pairs at the least similarity, the share that the bands may miss; minima in a band.
 MISS, ROWS = 1e-5, 6
-#: Documents of one component that are compared in one task; larger components are dealt out as pairs of blocks.
+#: Documents of one component that are compared in one task; larger components are dealt out as pairs of blocks. Buckets of
+#: so many texts at most are screened by the texts' minima before they are linked.
 BLOCK = 256
 #: Columns of the incidence matrix that are in memory at once.
 COLUMNS = 8192
@@ -29,6 +30,16 @@ def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log(1 - similarity**rows))
 
 
+def equal_minima(total: int, similarity: float, miss: float = MISS / 100) -> int:
+    """Of so many minima, how many two texts of this similarity share at least, but for a chance of `miss`."""
+    chance, k = 0.0, -1
+    while True:
+        more = chance + math.comb(total, k + 1) * similarity ** (k + 1) * (1 - similarity) ** (total - k - 1)
+        if more > miss:
+            return k + 1
+        chance, k = more, k + 1
+
+
 def shingles(texts: pa.Array, size: int = SIZE) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
     """Runs of whole texts: hash and text of every n-gram (repeats stay), number of texts, the first text.
 
@@ -59,12 +70,13 @@ def _parameters(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
-    """(doc_id, digest, bands): one 64-bit number for each band; null for texts without a word."""
+    """(doc_id, digest, bands, minima): one 64-bit number for each band, null for texts without a word; a byte of each minimum."""
     mul, add = _parameters(rows * bands)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list[int] | None] = []
+            minima: list[bytes] = []
             for h, doc, n, _ in shingles(b.column("text"), size):
                 border = np.searchsorted(doc, np.arange(n + 1))
                 low = np.full((n, rows * bands), np.iinfo(np.uint64).max, np.uint64)
@@ -79,9 +91,51 @@ def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
                 band = mix(band + np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
                 empty = np.diff(border) == 0
                 out += [None if e else x for e, x in zip(empty.tolist(), band, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "digest", "bands"])
+                minima += map(bytes, (low >> np.uint64(16)).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(out, pa.list_(pa.int64())), pa.array(minima, pa.binary())], names=["doc_id", "digest", "bands", "minima"])
+
+    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>, minima binary")
+
 
-    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+def _screen(least: int):
+    """Of the texts of one bucket, those that share `least` minima with another: the text and the smallest that such
+    pairs reach. No pair of the similarity asked for is lost, but for the chance that `least` stands for."""
+
+    def run(key, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node = np.concatenate([b.column("node").to_numpy() for b in batches])
+        minima = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for b in batches for x in b.column("minima")])
+        node, first = np.unique(node, return_index=True)
+        root = _least_reached(np.stack([(minima[k] == minima[first]).sum(axis=1) >= least for k in first]))
+        moved = np.flatnonzero(root != np.arange(len(node)))
+        if len(moved):
+            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
+
+    return run
+
+
+def _least_reached(link: np.ndarray) -> np.ndarray:
+    """The smallest row that each row of a square table of links reaches."""
+    root = np.arange(len(link))
+    while True:
+        low = np.minimum(root, np.where(link, root[None, :], len(link)).min(axis=1))
+        low = np.minimum(low, low[low])
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _candidates(texts: DataFrame, bands: int, rows: int, similarity: float) -> DataFrame:
+    """Links (a, b) whose components hold every pair to verify. Buckets with the same texts count once. A bucket of BLOCK
+    texts or fewer links only texts whose minima say that they are similar enough; a larger one (a large group of near
+    copies, whose pairs are verified in blocks anyway) links all its texts."""
+    band = texts.select("node", F.explode("bands").alias("band"))
+    buckets = band.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 20)).alias("y"))
+    buckets = buckets.where("low < high").groupBy("low", "n", "x", "y").agg(F.min("band").alias("band"))
+    held = materialize(band.join(buckets.select("band", "low", "n"), "band"))
+    large = held.where((F.col("n") > BLOCK) & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b"))
+    small = held.where(F.col("n") <= BLOCK).join(texts.select("node", "minima"), "node").select("band", "node", "minima")
+    near = grouped(small, ["band"], _screen(equal_minima(bands * rows, similarity)), "a long, b long")
+    return large.unionByName(near)
 
 
 def _verify(least: tuple[int, int]):
@@ -121,14 +175,7 @@ def _verify(least: tuple[int, int]):
         linked = np.flatnonzero(link.any(axis=1))
         if not len(linked):
             return
-        # the smallest node that each reaches inside this group
-        root = np.arange(m)
-        while True:
-            low = np.minimum(root, np.where(link, root[None, :], m).min(axis=1))
-            low = np.minimum(low, low[low])
-            if (low == root).all():
-                break
-            root = low
+        root = _least_reached(link)
         yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[root[linked]]), pa.array((link @ copies)[linked])], names=["node", "root", "links"])
 
     return run
@@ -143,8 +190,9 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
     each of these, copies included).
 
     Words are split at ASCII white space. Copies are one node, so a text that a third of all rows share costs no more
-    than any other. Candidates are texts that share a band; candidates that hang together form a component, and each
-    component's pairs are all verified, in blocks of BLOCK texts that are dealt out over tasks. Null, empty and
+    than any other. Candidates are texts that share a band and, by their minima, may be similar enough; candidates that
+    hang together form a component, and each component's pairs are all verified on their full sets, in blocks of BLOCK
+    texts that are dealt out over tasks. Null, empty and
     wordless texts link with nothing, not even with each other. Rows with a null doc_id take part; a class of such rows
     alone has a null id.
     """
@@ -154,12 +202,9 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
     docs = docs.select("doc_id", F.unhex(F.md5(text.cast("binary"))).alias("digest"), text.cast("binary").alias("text"))
     bands = bands_for(least[0] / least[1], rows, miss)
     signed = signatures(docs, size, rows, bands)
-    texts = signed.groupBy("digest").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    texts = signed.groupBy("digest").agg(F.first("bands").alias("bands"), F.first("minima").alias("minima"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     texts = materialize(texts.where("bands is not null").withColumn("node", F.monotonically_increasing_id()))
-    band = texts.select("node", F.explode("bands").alias("band"))
-    buckets = band.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band", "low")
-    edges = band.join(buckets, "band").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    candidates = components(edges)
+    candidates = components(_candidates(texts, bands, rows, least[0] / least[1]))
     blocks = candidates.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     members = candidates.join(blocks, "root").join(texts.select("node", "digest", "first_id", "copies"), "node")
     wanted = members.select("digest", F.col("first_id").alias("id"), "node", "root", "copies", "blocks")
@@ -181,6 +226,8 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
     whole = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     classed = texts.select("node", "digest", "first_id", "copies").join(whole, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classed = materialize(classed)
+    discard(found)
+    discard(texts)
     low = F.struct(F.col("first_id").isNull().alias("a"), F.col("first_id").alias("b"), F.col("digest").alias("c"))
     heads = classed.groupBy("root").agg(F.min(low).alias("low")).select("root", F.col("low.b").alias("class_id"), F.col("low.c").alias("class_digest"))
     classes = classed.join(heads, "root").select("digest", "first_id", "copies", "class_id", "class_digest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
@@ -204,6 +251,7 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.withColumn("_digest", digest)
     joined = keyed.join(heads, (F.col("_digest") == heads["digest"]) & keyed["doc_id"].eqNullSafe(heads["_id"]), "left")
     wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    nth = F.row_number().over(Window.partitionBy("_digest", "doc_id").orderBy(F.lit(0)))
+    # repeated rows may differ in other columns: the first by these stays
+    nth = F.row_number().over(Window.partitionBy("_digest", "doc_id").orderBy(F.to_json(F.struct(*(F.col(f"`{c}`") for c in names if c != "text")))))
     first = joined.where(wordless | F.col("_head")).withColumn("_nth", F.when(wordless, 1).otherwise(nth))
     return first.where("_nth = 1").select(*names)

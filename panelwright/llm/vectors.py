@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, grouped, materialize, table
+from .common import components, discard, grouped, materialize, short_batches, table
 
 #: Vectors are linked from this cosine on.
 LEAST = 0.95
@@ -101,13 +101,13 @@ def _compare(least: float, kind: str):
         copies = np.concatenate([b.column("copies").to_numpy() for b in batches])[first]
         block = np.concatenate([b.column("block").to_numpy() for b in batches])[first]
         x = _units(np.stack([np.frombuffer(v.as_buffer(), kind) for b in batches for v in b.column("raw")])[first].astype(np.float64))
-        earlier = [v.as_py() for b in batches for v in b.column("leaves")]
+        earlier = [own for b in batches for own in np.split(b.column("leaves").flatten().to_numpy(), np.cumsum(b.column("leaves").value_lengths().to_numpy())[:-1])]
         earlier = [earlier[k] for k in first]
         m = len(node)
         if m < 2:
             return
         # leaves before this one that two vectors hold, as bits
-        code = np.array([v for own in earlier for v in own], np.int64)
+        code = np.concatenate(earlier).astype(np.int64)
         holder = np.repeat(np.arange(m), [len(own) for own in earlier])
         _, code, held_by = np.unique(code, return_inverse=True, return_counts=True)
         shared = held_by > 1
@@ -160,7 +160,7 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
     takes part and has its own null as component unless links reach an id. Repeated rows count as vectors of their own.
     """
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    short_batches(spark)
     # single precision travels as such: half the bytes, and the same doubles when a task reads them
     kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     vectors = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
@@ -177,7 +177,7 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
 def _near(rows: DataFrame, dim: int, kind: str, least: float, trees: int, leaf: int) -> DataFrame:
     """near() for sound vectors of one length."""
     spark = rows.sparkSession
-    keyed = rows.withColumn("digest", F.md5(F.concat_ws(",", F.transform("v", lambda c: c.cast("string"))).cast("binary")))
+    keyed = rows.withColumn("digest", F.struct(F.xxhash64(F.lit(1), "v").alias("x"), F.xxhash64(F.lit(2), "v").alias("y")))
     nodes = keyed.groupBy("digest").agg(F.first("v").alias("v"), F.count("*").alias("copies"), F.min("vec_id").alias("low"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()))
     n = nodes.count()
@@ -207,6 +207,8 @@ def _near(rows: DataFrame, dim: int, kind: str, least: float, trees: int, leaf:
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     whole = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     classed = materialize(nodes.select("node", "digest", "copies", "low").join(links, "node", "left").join(whole, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    for done in (nodes, placed, found):
+        discard(done)
     heads = classed.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = classed.join(heads, "root").select("digest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     out = keyed.select("vec_id", "digest").join(classes, "digest")
