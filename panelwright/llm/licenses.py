@@ -4,6 +4,8 @@ template words that ends there; long runs are chained into spans of a template."
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +36,20 @@ TEMPLATES = [
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher"),
 ]
-#: A run counts from so many words; runs of one chain lie at most so many words apart; a label needs so many words of its
-#: template, or this share of it.
+#: Whole license texts, which public packages put there; a file's name is its label (Apache-2.0: apache-2).
+FOLDER = "/usr/share/common-licenses"
+#: A run counts from so many words; runs of one chain lie at most so many words apart, in the text and in the template; a
+#: label needs so many words of its template, or this share of it.
 LEAST_RUN, GAP, LEAST_WORDS, LEAST_SHARE = 3, 12, 10, 0.8
 
 
+def read_templates(folder: str = FOLDER) -> list[tuple[str, str]]:
+    """(label, text) of each whole license text in a folder, on the driver; none where there is no such folder. Links are
+    other names of the same texts."""
+    files = sorted(f for f in Path(folder).glob("*") if f.is_file() and not f.is_symlink())
+    return [(f.name.lower().removesuffix(".0"), f.read_text(encoding="utf-8", errors="replace")) for f in files]
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
     words = Words(LOWER[data], offsets, NOT_ALNUM)
     return words, words.hashes()
@@ -128,6 +139,17 @@ class Scanner:
         self.labels, self.sizes = [label for label, _ in templates], [len(s) for s in sequences]
         self.automaton = SuffixAutomaton([np.searchsorted(self.alphabet, s).tolist() for s in sequences])
         self.phrases = [(label, np.searchsorted(self.alphabet, p)) for label, p in self.phrases]
+        # the shortest runs that count: only where one of them stands is the automaton asked
+        self.shortest = np.unique(np.concatenate([self._short_runs(np.searchsorted(self.alphabet, s)) for s in sequences] or [np.zeros(0, np.int64)]))
+
+    def _short_runs(self, ids: np.ndarray) -> np.ndarray:
+        """A number for each run of LEAST_RUN words; -1 where one of them is in no template."""
+        n = max(0, len(ids) - LEAST_RUN + 1)
+        out, there = np.zeros(n, np.int64), np.ones(n, bool)
+        for k in range(LEAST_RUN):
+            out = out * (len(self.alphabet) + 1) + ids[k : n + k]
+            there &= ids[k : n + k] >= 0
+        return np.where(there, out, -1)
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.alphabet):
@@ -148,14 +170,26 @@ class Scanner:
                     if end - n - c[1] > GAP:
                         break
                     over = max(0, c[1] - (end - n), c[2] - (at - n))
-                    if over < n and c[2] <= at and (best is None or c[3] - over > best[3] - best[4]):
-                        best = [*c[:4], over]
-                chains.append([best[0] if best else end - n, end, at, n + (best[3] - best[4] if best else 0)])
+                    if over < n and c[2] <= at and at - n - c[2] <= GAP and (best is None or c[3] - over > best[3] - best[4]):
+                        best = [*c[:4], over, c]
+                if best:
+                    best[5][4] = True  # it goes on, so it is no whole chain
+                chains.append([best[0] if best else end - n, end, at, n + (best[3] - best[4] if best else 0), False])
         out = []
         for k, chains in found.items():
-            for first, end, _, covered in chains:
-                if covered >= min(LEAST_WORDS, max(LEAST_RUN, LEAST_SHARE * self.sizes[k])):
+            for first, end, _, covered, goes_on in chains:
+                if not goes_on and covered >= min(LEAST_WORDS, max(LEAST_RUN, LEAST_SHARE * self.sizes[k])):
                     out.append((self.labels[k], shift + first, shift + end - 1, min(1.0, covered / self.sizes[k])))
+        return self._widest(out)
+
+    def _widest(self, spans: list[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+        """Spans that no other one of their label holds; of equal ones the one that covers most of its template."""
+        out: list[tuple[str, int, int, float]] = []
+        last: dict[str, int] = {}
+        for s in sorted(spans, key=lambda s: (s[1], -s[2], -s[3])):
+            if s[2] > last.get(s[0], -1):
+                out.append(s)
+                last[s[0]] = s[2]
         return out
 
     def scan(self, texts: pa.Array) -> list[tuple]:
@@ -175,23 +209,18 @@ class Scanner:
                     ok &= ids[k : len(ids) - n + 1 + k] == phrase[k]
                 for i in np.flatnonzero(ok).tolist():
                     hits.setdefault(int(words.doc[i]), []).append((i - int(words.first[words.doc[i]]), label))
-            # stretches where at most one word at a time isn't a template's, long enough to hold a run
-            known = np.flatnonzero(ids >= 0)
+            # stretches of short template runs that lie near each other, in one text
             spans: dict[int, list] = {}
-            if len(known):
-                cut = np.flatnonzero((np.diff(known) > GAP + 1) | (np.diff(words.doc[known]) != 0)) + 1
-                three = np.zeros(len(ids) + 1, np.int64)
-                if len(ids) >= LEAST_RUN:
-                    row = ids >= 0
-                    np.cumsum(row[:-2] & row[1:-1] & row[2:], out=three[1:-2])
-                    three[-2:] = three[-3]
-                begin, stop = known[np.r_[0, cut]], known[np.r_[cut - 1, len(known) - 1]] + 1
-                for i, j in zip(begin.tolist(), stop.tolist(), strict=True):
-                    if three[max(i, j - 2)] > three[i]:
-                        d = int(words.doc[i])
-                        got = self.chains(ids[i:j], i - int(words.first[d]))
-                        if got:
-                            spans.setdefault(d, []).extend(got)
+            short = self._short_runs(ids)
+            at = np.minimum(np.searchsorted(self.shortest, short), max(0, len(self.shortest) - 1))
+            hit = np.flatnonzero((self.shortest[at] == short) & (words.doc[: len(short)] == words.doc[len(words.doc) - len(short) :])) if len(self.shortest) else np.zeros(0, np.int64)
+            if len(hit):
+                cut = np.flatnonzero((np.diff(hit) > GAP + LEAST_RUN) | (np.diff(words.doc[hit]) != 0)) + 1
+                for i, j in zip(hit[np.r_[0, cut]].tolist(), (hit[np.r_[cut - 1, len(hit) - 1]] + LEAST_RUN).tolist(), strict=True):
+                    d = int(words.doc[i])
+                    got = self.chains(ids[i:j], i - int(words.first[d]))
+                    if got:
+                        spans.setdefault(d, []).extend(got)
             for d in range(b - a):
                 at = hits.get(d, [])
                 out.append((int(words.n[d]), len(at), min(at)[0] if at else None, max(at)[0] if at else None, sorted({x for _, x in at}), spans.get(d, [])))
@@ -201,17 +230,26 @@ class Scanner:
 SPAN = "array<struct<label:string,first_word:long,last_word:long,share:double>>"
 
 
-def scan(docs: DataFrame) -> DataFrame:
+@lru_cache(maxsize=1)
+def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
+    """Built once in a worker."""
+    return Scanner(templates=list(templates))
+
+
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels, score and spans (the chains found).
 
+    templates: (label, text), a list that people keep; by default the sentences here and the whole texts of FOLDER.
     Words run from 0. Null texts count as empty: no words, no labels (empty strings), score 0. Score is 1 where a phrase
     stands, else the largest share of a template that one chain covers. Columns with these names are replaced, all
     others stay; repeated rows are scanned one by one.
     """
     kinds = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("share", pa.float64())]))
 
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(templates if templates is not None else [*TEMPLATES, *read_templates()]))
+
     def start():
-        scanner = Scanner()
+        scanner = _scanner(shared.value)
 
         def work(texts: pa.Array) -> list[pa.Array]:
             rows = scanner.scan(texts)

@@ -60,3 +60,28 @@ def test_template_with_gap_is_one_chain():
 def test_plain_prose_has_no_label():
     (row,) = Scanner().scan(pa.array([b"The work of the day was to get a copy of the book and to use it in any form that the publisher liked."]))
     assert row[5] == []
+
+
+def test_one_passage_is_one_span():
+    """Two gaps in a passage: one span, not one for each part that it begins with."""
+    text = "Permission is hereby granted, free of charge, to any XX YY person obtaining a copy of this software and ZZ associated documentation files, to deal in the Software"
+    (row,) = Scanner().scan(pa.array([text.encode()]))
+    assert [(s[0], s[1], s[2]) for s in row[5]] == [("mit", 0, 27)]
+
+
+def test_whole_texts_are_templates(spark, tmp_path):
+    body = " ".join(f"term{i} of section {i * 7 % 31}" for i in range(200))
+    (tmp_path / "Made-1.0").write_text(body)
+    (tmp_path / "Made").symlink_to(tmp_path / "Made-1.0")
+    templates = licenses.read_templates(str(tmp_path))
+    assert templates == [("made-1", body)] and licenses.read_templates(str(tmp_path / "none")) == []
+    docs = spark.createDataFrame([(1, "preface " + body + " end"), (2, body[: len(body) // 2]), (3, "term1 of section 7 alone")], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs, templates).collect()}
+    assert got[1].labels == "made-1" and got[1].score == 1.0 and [(s.first_word, s.last_word) for s in got[1].spans] == [(1, 800)]
+    assert 0.4 < got[2].score < 0.6 and got[3].labels == ""
+
+
+def test_prose_gets_no_label_from_whole_texts(spark, sf):
+    """Documents of the tables hold no license texts beyond short phrases."""
+    rows = licenses.scan(spark.read.parquet(f"{sf}/documents.parquet")).collect()
+    assert sum(bool(r.labels) and not r.base_labels for r in rows) <= 0.01 * len(rows)
