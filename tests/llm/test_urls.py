@@ -1,6 +1,7 @@
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from panelwright.llm import urls
 
@@ -18,15 +19,39 @@ def test_rules_and_odd_urls(spark):
 
 
 def test_collisions_are_told_apart(tmp_path, monkeypatch):
-    monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda b: len(b) % 2)
-    path = tmp_path / "index"
-    path.write_bytes(urls.pack([("a.b", "/x", "allow"), ("a.c", "/x", "block"), ("d", "/", "block")]))
-    index = urls.DigestArray(str(path))
-    found = index.find([b"a.c/x", b"a.b/x", b"d/", b"e/", b"a.d/x"])
-    assert [index.text[index.starts[i] : index.starts[i + 1]].tobytes() for i in found[:3]] == [b"a.c/x", b"a.b/x", b"d/"]
+    monkeypatch.setattr(urls, "_digest", lambda k: len(k) % 2)
+    keys = ["a.b/x", "a.c/x", "d/"]
+    order = urls.DigestArray.build(str(tmp_path / "k"), np.array([urls._digest(k) for k in keys], np.uint64), pa.array(keys))
+    index = urls.DigestArray(str(tmp_path / "k"))
+    found = index.find(["a.c/x", "a.b/x", "d/", "e/", "a.d/x"])
+    assert [keys[order[i]] for i in found[:3]] == ["a.c/x", "a.b/x", "d/"]
     assert np.array_equal(found[3:], [-1, -1])
 
 
+def test_rules_as_a_table_with_ties_repeats_and_long_urls(spark):
+    """Against every rule tried on every url; equally long rules, repeated ones, urls of 50,000 characters."""
+    import random
+
+    rng = random.Random(8)
+    hosts = ["a.org", "b.a.org", "org", "x.y", "y"]
+    rules = [(rng.choice(hosts), "/" + "ab"[rng.randrange(2)] * rng.randrange(4), rng.choice(["allow", "block"])) for _ in range(40)] + [("g.org", "/a", "block"), ("org", "/a.gg", "allow"), ("LONG.y", "/" + "q" * 40_000, "block")]
+    table = spark.createDataFrame(rules, "host string, path string, verdict string").repartition(3)
+    links = [f"http://{rng.choice(['', 'b.', 'c.'])}{rng.choice(hosts)}/{'ab'[rng.randrange(2)] * rng.randrange(5)}" for _ in range(200)] + ["http://z.long.y/" + "q" * 50_000, "http://g.org/a.gg", None, "http://g.org/a.gg"]
+    pages = spark.createDataFrame([(i, u, "mine", "mine") for i, u in enumerate(links)], "page_id long, url string, host string, Path string")
+    got = {r.page_id: r for r in urls.judge(pages, table).collect()}
+    verdict = {}
+    for host, path, v in rules:
+        key = (host.lower(), path)
+        verdict[key] = "block" if "block" in (v, verdict.get(key)) else v
+    assert len(got) == len(links)
+    for i, u in enumerate(links):
+        host, _, path = (u or "").partition("://")[2].partition("/")
+        path = "/" + path if u else ""
+        fits = [(len(h) + len(p), len(h), h + p, v) for (h, p), v in verdict.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=(0, 0, None, urls.DEFAULT))
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, best[2], best[3])
+
+
 def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     assert [r.verdict for r in urls.judge(pages, []).collect()] == ["allow"]
