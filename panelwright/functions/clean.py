@@ -158,4 +158,5 @@ def null_implausible_zeros(df: DataFrame, rules: Mapping[str, Column], flag: str
 
 
 def stable_row_id(*columns: str) -> Column:
-    return F.substring(F.sha2(F.concat_ws("|", *columns), 256), 1, 32)
+    """The same for the same values; a null counts as an empty text in its place."""
+    return F.substring(F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)), 256), 1, 32)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,8 +124,10 @@ def unit_plausibility(df: DataFrame, entity: str, period: str, group: Sequence[s
     """A value against the median of the entity's other periods, or of its peers if they are enough: more than `factor`
     times is implausible, `tiny` of it or less points to larger units."""
     own = median_of_others(df, [entity], period, value, "own_reference")
-    w = Window.partitionBy(*group)
-    peers = own.withColumns({"peer_reference": F.median(value).over(w), "n_peers": F.size(F.collect_set(F.when(F.col(value).isNotNull(), F.col(entity))).over(w))})
+    # one row for each group, joined back: no row carries its peers
+    groups = df.groupBy(*group).agg(F.median(value).alias("peer_reference"), F.countDistinct(F.when(F.col(value).isNotNull(), F.col(entity))).alias("n_peers"))
+    keys = [own[c].eqNullSafe(groups[c]) for c in group]
+    peers = own.join(groups, keys[0] if len(keys) == 1 else reduce(lambda a, b: a & b, keys), "left").select(*(own[c] for c in own.columns), "peer_reference", "n_peers")
     reference = F.coalesce("own_reference", F.when(F.col("n_peers") >= least_peers, F.col("peer_reference")))
     ratio = F.col(value) / F.nullif(reference, F.lit(0.0))
     verdict = F.when(ratio.isNull(), "unknown").when(ratio > factor, "implausible").when(ratio <= tiny, "likely larger unit").otherwise("plausible")

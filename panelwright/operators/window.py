@@ -32,20 +32,29 @@ def average_rank(group: Sequence[str], value: str) -> Column:
     return F.rank().over(Window.partitionBy(*group).orderBy(value)) + (F.count("*").over(Window.partitionBy(*group, value)) - 1) / 2.0
 
 
+def value_range(value: str) -> Column:
+    """A whole number that never falls as the value grows: eight ranges for each doubling, so a few hundred at most."""
+    steps = F.floor(F.log2(F.abs(F.col(value)).cast("double") + 1) * 8)
+    return F.when(F.col(value) < 0, -steps - 1).otherwise(steps)
+
+
 def concentration(df: DataFrame, entity: str, value: str, period: str, least: int = 5) -> DataFrame:
-    """Rank, share and running share of each entity in its period, largest first; shares of small periods are hidden."""
+    """Rank, share and running share of each entity in its period, largest first; shares of small periods are hidden.
+
+    A period isn't sorted as a whole: rows and sums are counted by ranges of values, and each range is sorted in a task of
+    its own.
+    """
+    there = df.where(F.col(value).isNotNull()).withColumn("_part", value_range(value))
+    ranges = there.groupBy(period, "_part").agg(F.count("*").alias("_rows"), F.sum(value).alias("_sum"))
     w = Window.partitionBy(period)
-    order = w.orderBy(F.col(value).desc(), F.col(entity))
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.nullif(F.sum(value).over(w), F.lit(0))
-    n = F.count("*").over(w)
-    return df.where(F.col(value).isNotNull()).withColumns({
-        "n_entities": n,
-        "position": F.row_number().over(order),
-        "share": F.when(n >= least, F.col(value) / total),
-        "cumulative_share": F.when(n >= least, F.sum(value).over(running) / total),
-        "null_reason": F.when(n < least, f"fewer than {least}"),
-    })
+    before = w.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    ranges = ranges.select(period, "_part", F.sum("_rows").over(w).alias("n_entities"), F.sum("_sum").over(w).alias("_total"), F.coalesce(F.sum("_rows").over(before), zero).alias("_rows_before"), F.coalesce(F.sum("_sum").over(before), zero).alias("_sum_before"))
+    within = Window.partitionBy(period, "_part").orderBy(F.col(value).desc(), F.col(entity))
+    running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = there.withColumns({"_nth": F.row_number().over(within), "_running": F.sum(value).over(running)}).join(ranges, [period, "_part"])
+    n, total = F.col("n_entities"), F.nullif("_total", zero)
+    return placed.select(*df.columns, n, (F.col("_nth") + F.col("_rows_before")).cast("int").alias("position"), F.when(n >= least, F.col(value) / total).alias("share"), F.when(n >= least, (F.col("_running") + F.col("_sum_before")) / total).alias("cumulative_share"), F.when(n < least, f"fewer than {least}").alias("null_reason"))
 
 
 def change_vs_first(value: str, keys: Sequence[str], period: str) -> Column:

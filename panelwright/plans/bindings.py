@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import exists, workspace
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,6 +56,27 @@ def _derive(df: DataFrame) -> DataFrame:
     }).withColumn("intensity", F.col("emissions") / F.nullif(F.col("turnover") / 1e6, F.lit(0.0)))
 
 
+#: Panels of this session, by what they are made of: (name, session, files).
+_stored: dict[tuple, str] = {}
+
+
+def stored(make):
+    """A panel is made once in a session and kept as Parquet in the shared folder: the questions read it, not the lines.
+    It is made anew when the files that it comes from are others."""
+
+    def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+        built = make(spark, sf_dir)
+        key = (make.__name__, spark.sparkContext.applicationId, tuple(sorted(built.inputFiles())))
+        if key not in _stored or not exists(spark, _stored[key]):
+            path = workspace(spark)
+            built.write.parquet(path)
+            _stored[key] = path
+        return spark.read.schema(built.schema).parquet(_stored[key])
+
+    return panel
+
+
+@stored
 def customer_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each customer and order year: a panel with gaps. Lines are summed by order before they meet orders."""
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*_measures())
@@ -63,6 +86,7 @@ def customer_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(panel.join(customers, "entity").join(_places(spark, sf_dir), "nationkey").drop("nationkey"))
 
 
+@stored
 def supplier_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each supplier and ship year: a full panel, with a few suppliers in each nation."""
     panel = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("entity"), F.year("l_shipdate").alias("period")).agg(*_measures())

@@ -85,12 +85,15 @@ def a11(spark, sf):
     return files.quarantine(files.parse_filings(_instances(spark, sf)))[1].select("filing_id", "error")
 
 
-@query("a12_replace_keys", "SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 2 ELSE 1 END AS run, CAST(year(o_orderdate) AS INTEGER) AS period FROM orders")
+@query("a12_replace_keys", "SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 = 0 THEN 2 ELSE 1 END AS run, CAST(year(o_orderdate) + CASE WHEN o_custkey % 3 = 0 AND year(o_orderdate) < 1998 THEN 4 ELSE 0 END AS INTEGER) AS period FROM orders WHERE o_custkey % 3 = 0 OR year(o_orderdate) <> 1995 UNION ALL SELECT o_orderkey, o_custkey, 1, 2001 FROM orders WHERE o_custkey % 3 <> 0 AND year(o_orderdate) = 1995")
 def a12(spark, sf):
     path = files.workspace(spark)
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.lit(1).alias("run"), F.year("o_orderdate").alias("period"))
     files.replace_keys(spark, path, o, "o_orderkey", "period")
-    return files.replace_keys(spark, path, o.where("o_custkey % 3 = 0").withColumn("run", F.lit(2)), "o_orderkey", "period")
+    # rows that stay in their partition and rows that move to another one; then one partition that loses all its rows
+    moved = o.where("o_custkey % 3 = 0").withColumns({"run": F.lit(2), "period": F.when(F.col("period") < 1998, F.col("period") + 4).otherwise(F.col("period"))})
+    files.replace_keys(spark, path, moved, "o_orderkey", "period")
+    return files.replace_keys(spark, path, o.where("o_custkey % 3 <> 0 AND period = 1995").withColumn("period", F.lit(2001)), "o_orderkey", "period")
 
 
 @query("a13_intake", """WITH f AS (SELECT c_custkey, 'F' || c_custkey || '.xml' AS file_name, sha256(c_mktsegment || (c_custkey % 400)) AS sha256, CASE WHEN c_custkey % 4 = 0 THEN 'OWN' || c_custkey END AS own FROM customer),

@@ -27,8 +27,12 @@ def intensity() -> list:
 
 
 def two_panels(p: DataFrame) -> DataFrame:
-    balanced = win.balanced_panel(p, "entity", "period", F.col("emissions").isNotNull())
-    return p.withColumn("panel", F.lit("all")).unionByName(balanced.withColumn("panel", F.lit("balanced")))
+    """Each row once for the whole panel, and once more if its entity has a value in every period that occurs."""
+    there = F.when(F.col("emissions").isNotNull(), F.col("period"))
+    periods = F.broadcast(p.agg(F.countDistinct(there).alias("_periods")))  # one row
+    marked = p.withColumn("_n", F.count(there).over(Window.partitionBy("entity"))).crossJoin(periods)
+    panels = F.when(F.col("_n") == F.col("_periods"), F.array(F.lit("all"), F.lit("balanced"))).otherwise(F.array(F.lit("all")))
+    return marked.withColumn("panel", F.explode(panels)).drop("_n", "_periods")
 
 
 def _l1(spark, sf) -> DataFrame:
@@ -238,8 +242,8 @@ _QUADRANTS = SUPPLIER_YEAR + """, q AS (SELECT entity, period, sector, renewable
 
 
 def quadrants(p: DataFrame) -> DataFrame:
-    w = Window.partitionBy("sector", "period")
-    return p.withColumns({"good_share": F.col("renewable_share") >= F.median("renewable_share").over(w), "large": F.col("turnover") >= F.median("turnover").over(w)}).select("entity", "period", "sector", "good_share", "large")
+    middle = p.groupBy("sector", "period").agg(F.median("renewable_share").alias("_s"), F.median("turnover").alias("_t"))
+    return p.join(middle, ["sector", "period"]).select("entity", "period", "sector", (F.col("renewable_share") >= F.col("_s")).alias("good_share"), (F.col("turnover") >= F.col("_t")).alias("large"))
 
 
 @query("l19_quadrants_overall", _QUADRANTS + "SELECT good_share, large, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 6) AS share FROM q GROUP BY good_share, large")

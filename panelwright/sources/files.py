@@ -16,9 +16,27 @@ from pyspark.sql.types import StructType
 def workspace(spark: SparkSession) -> str:
     """A new folder that driver and executors share; on a cluster under spark.checkpoint.dir."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="spark-") + "/files"
 
 
+def hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def read_partitioned(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Hive-partitioned Parquet; columns are united by name, partitions are pruned by filters."""
     reader = spark.read.option("mergeSchema", True)
@@ -117,20 +135,40 @@ def main_period(contexts: DataFrame, filing: str, start: str, end: str, n_facts:
 
 
 def replace_keys(spark: SparkSession, path: str, new: DataFrame, key: str, partition: str) -> DataFrame:
-    """Write rows of `new` over those of the same keys; other keys stay, and only touched partitions are written."""
-    try:
-        old = spark.read.schema(new.schema).parquet(path)
-    except Exception as e:  # nothing is there yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        old = None
-    out = new if old is None else old.join(new.select(partition).distinct(), partition, "left_semi").join(new.select(key).distinct(), key, "left_anti").select(*new.columns).unionByName(new)
+    """Write rows of `new` over those of the same keys, wherever these stand; other keys stay, and only partitions that
+    held or get one of the keys are written.
+
+    These partitions are staged beside the table first. A run that is lost while they replace the old ones is made good
+    by the next call, which finds the whole stage.
+    """
     stage = path + "-next"
-    out.write.mode("overwrite").parquet(stage)  # read in full before its source is overwritten
-    spark.read.schema(new.schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    _take_over(spark, path, stage, partition)
+    remove(spark, stage)
+    rows, touched = new, new.select(partition)
+    if exists(spark, path):
+        old = spark.read.schema(new.schema).parquet(path)
+        keys = new.select(key).distinct()
+        touched = touched.unionByName(old.join(keys, key, "left_semi").select(partition))
+        rows = old.join(touched.distinct(), partition, "left_semi").join(keys, key, "left_anti").select(*new.columns).unionByName(new)
+    rows.write.partitionBy(partition).parquet(f"{stage}/rows")
+    touched.distinct().write.parquet(f"{stage}/touched")  # written last: with it the stage is whole
+    _take_over(spark, path, stage, partition)
     return spark.read.schema(new.schema).parquet(path)
 
 
+def _take_over(spark: SparkSession, path: str, stage: str, partition: str) -> None:
+    """Put a whole stage in the place of the partitions that it touches; those that are empty now go."""
+    if not exists(spark, f"{stage}/touched/_SUCCESS"):
+        return
+    if any(r for r in spark.read.parquet(f"{stage}/touched").limit(1).collect()):
+        rows = spark.read.parquet(f"{stage}/rows")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        touched = spark.read.parquet(f"{stage}/touched").select(F.col(partition).cast("string"))
+        for r in touched.join(rows.select(F.col(partition).cast("string")), partition, "left_anti").collect():  # names of folders
+            remove(spark, f"{path}/{partition}={r[0] if r[0] is not None else '__HIVE_DEFAULT_PARTITION__'}")
+    remove(spark, stage)
+
+
 def intake(files: DataFrame, listing: DataFrame, universe: DataFrame) -> DataFrame:
     """Status of received files (file_name, content, own_isin): duplicate of the same content, unmatched, ambiguous or
     received; the identifier by priority: own, same symbol in the listing, universe."""
@@ -157,13 +195,25 @@ def versions(headers: DataFrame, href: str, on_disk: DataFrame, pattern: str) ->
     return used.join(on_disk.select("version").distinct().withColumn("on_disk", F.lit(True)), "version", "full_outer").select("version", F.coalesce("n_used", F.lit(0)).alias("n_used"), F.coalesce("on_disk", F.lit(False)).alias("on_disk"))
 
 
-def tree_leaves(spark: SparkSession, edges: DataFrame, root: str) -> DataFrame:
-    """All descendants of a heading that have no children of their own, with their depth. edges: parent, child."""
-    return spark.sql(
-        """WITH RECURSIVE below(node, depth) AS (SELECT child, 1 FROM {edges} WHERE parent = :root UNION ALL SELECT e.child, b.depth + 1 FROM below b JOIN {edges} e ON e.parent = b.node)
-        SELECT node, depth FROM below LEFT ANTI JOIN {edges} e ON e.parent = below.node""",
-        edges=edges, args={"root": root},
-    )
+def tree_leaves(spark: SparkSession, edges: DataFrame, root: str, most_levels: int = 1000) -> DataFrame:
+    """All descendants of a heading that have no children of their own, with their depth. edges: parent, child.
+
+    One join a level, each written to the shared folder, so neither rows nor levels are bounded by a recursion's limits;
+    a tree of more than most_levels levels (a circle) is an error.
+    """
+    edges = edges.select("parent", "child")
+    level = edges.where(F.col("parent") == root).select(F.col("child").alias("node"), F.lit(1).alias("depth"))
+    base, out = workspace(spark), None
+    for depth in range(1, most_levels + 1):
+        level.write.parquet(f"{base}/{depth}")
+        level = spark.read.schema("node string, depth int").parquet(f"{base}/{depth}")
+        if level.isEmpty():
+            break
+        out = level if out is None else out.unionByName(level)
+        level = edges.join(level, edges["parent"] == level["node"]).select(F.col("child").alias("node"), (F.col("depth") + 1).alias("depth"))
+    else:
+        raise ValueError(f"more than {most_levels} levels below {root}")
+    return (out if out is not None else level).join(edges.select(F.col("parent").alias("node")), "node", "left_anti")
 
 
 def build_concept_map(shortlist: DataFrame, defined: DataFrame, used: DataFrame, renames: DataFrame) -> DataFrame:
@@ -179,9 +229,12 @@ def typed_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).options(header=True, mode="FAILFAST").csv(path)
 
 
-def write_export(df: DataFrame, path: str, decimals: int = 6) -> DataFrame:
+def write_export(df: DataFrame, path: str, decimals: int = 6, most_rows: int = 5_000_000) -> DataFrame:
     """One file with plain types and a total order, the same bytes whatever the partitioning. For report tables: all rows
-    pass one task."""
+    pass one task, so more than most_rows are refused."""
+    n = df.count()
+    if n > most_rows:
+        raise ValueError(f"{n} rows; one file takes {most_rows} at most")
     plain = df.select(*(F.round(F.col(f.name).cast("double"), decimals).alias(f.name) if f.dataType.typeName() in ("decimal", "double", "float") else F.col(f.name) for f in df.schema))
     plain.coalesce(1).sortWithinPartitions(*plain.columns).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
