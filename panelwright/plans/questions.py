@@ -91,8 +91,11 @@ c AS (SELECT *, CASE WHEN reversal THEN 'one_period_reversal' WHEN coalesce(orig
 """
 
 
-def yoy_confidence(p: DataFrame) -> DataFrame:
-    """Changes between adjacent years, labelled by the weakest thing known about them; only confirmed ones are ranked."""
+def yoy_confidence(p: DataFrame, inferred: DataFrame | None = None, eligible: DataFrame | None = None, excluded: DataFrame | None = None) -> DataFrame:
+    """Changes between adjacent years, labelled by the weakest thing known about them; only confirmed ones are ranked.
+
+    inferred: (entity, period) whose unit was inferred. Only eligible (entity) ones and none of the excluded (entity, period)
+    are listed and counted."""
     w = Window.partitionBy("entity").orderBy("period")
     y = p.withColumns({"before": F.lag("emissions").over(w), "_bp": F.lag("period").over(w), "after": F.lead("emissions").over(w), "_ap": F.lead("period").over(w)})
     y = y.where((F.col("_bp") == F.col("period") - 1) & F.col("emissions").isNotNull() & F.col("before").isNotNull())
@@ -101,6 +104,13 @@ def yoy_confidence(p: DataFrame) -> DataFrame:
     unclear = F.coalesce(~(F.col("original") / F.nullif("restated", F.lit(0.0))).between(0.2, 5), F.lit(True))
     latest = F.broadcast(p.agg(F.max("period").alias("_latest")))
     status = F.when(reversal, "one_period_reversal").when(unclear, "restated_later").when(F.col("period") == F.col("_latest"), "provisional").when(F.col("disclosed"), "confirmed").otherwise("not_confirmed")
+    if inferred is not None:
+        y = y.join(inferred.select("entity", "period").distinct().withColumn("_inferred", F.lit(True)), ["entity", "period"], "left")
+        status = F.when(reversal, "one_period_reversal").when(F.coalesce("_inferred", F.lit(False)), "inferred_unit").otherwise(status)
+    if eligible is not None:
+        y = y.join(eligible.select("entity"), "entity", "left_semi")
+    if excluded is not None:
+        y = y.join(excluded.select("entity", "period"), ["entity", "period"], "left_anti")
     out = y.crossJoin(latest).withColumns({"change": clean.safe_ratio(e, b) - 1, "status": status})
     n = F.count(F.when(F.col("status") == "confirmed", 1)).over(Window.partitionBy("peer", "period"))
     place = F.row_number().over(Window.partitionBy("peer", "period", F.col("status") == "confirmed").orderBy("change", "entity"))
