@@ -160,3 +160,8 @@ def null_implausible_zeros(df: DataFrame, rules: Mapping[str, Column], flag: str
 def stable_row_id(*columns: str) -> Column:
     """The same for the same values; a null counts as an empty text in its place."""
     return F.substring(F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)), 256), 1, 32)
+
+
+def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Text columns as declared types, trimmed; what doesn't fit is null."""
+    return df.withColumns({c: F.trim(c).try_cast(t) for c, t in types.items()})

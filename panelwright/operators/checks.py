@@ -118,3 +118,47 @@ def expected_values(df: DataFrame, expected: DataFrame, keys: Sequence[str], val
     """Points that don't have the value they are known to have."""
     got = df.select(*keys, F.col(value).alias("_got"))
     return expected.join(got, list(keys), "left").where(F.col("_got").isNull() | (F.abs(F.col("_got") - F.col(value)) > tolerance)).drop("_got")
+
+
+def small_group_statistics(df: DataFrame, statistic: str, count: str, least: int = 5) -> DataFrame:
+    """Rows that show a statistic of a group that is too small."""
+    return df.where(F.col(statistic).isNotNull() & (F.col(count) < least))
+
+
+def catalogue_is_columns(catalogue: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Names of the catalogue (name) without a column, and columns that it doesn't name."""
+    have = catalogue.sparkSession.createDataFrame([(c, True) for c in columns], "name string, _column boolean")
+    both = catalogue.select("name").distinct().withColumn("_listed", F.lit(True)).join(F.broadcast(have), "name", "full_outer")
+    return both.where("_listed IS NULL OR _column IS NULL").select("name", F.when(F.col("_column").isNull(), "no column").otherwise("not in the catalogue").alias("problem"))
+
+
+def matches_one(overrides: DataFrame, filed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Overrides that don't match exactly one filed value."""
+    n = filed.groupBy(*keys).agg(F.count("*").alias("n_matches"))
+    return overrides.join(n, list(keys), "left").withColumn("n_matches", F.coalesce("n_matches", F.lit(0))).where("n_matches <> 1")
+
+
+#: Names that belong to working tables.
+RAW_NAME = r"^_|_raw$|^raw_|_cents$|_id_hash$"
+
+
+def publication_problems(tables: Mapping[str, DataFrame], classes: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Columns that may not be published, with the number of values that they would show: any column of a table that
+    `classes` doesn't have, columns that aren't allowed in their table, and allowed ones with names of working tables."""
+    import re
+
+    out = None
+    for name, df in tables.items():
+        for c in df.columns:
+            problem = "table is not classified" if name not in classes else "not allowed" if c not in classes[name] else "looks raw" if re.search(RAW_NAME, c) else None
+            if problem:
+                row = df.agg(F.count(c).alias("n_values")).select(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.lit(problem).alias("problem"), "n_values")
+                out = row if out is None else out.unionByName(row)
+    if out is None:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], "table_name string, column_name string, problem string, n_values long")
+    return out
+
+
+def peer_groups_cover(entities: DataFrame, group: str, groups: DataFrame) -> DataFrame:
+    """Entities whose group isn't among the peer groups."""
+    return entities.join(groups.select(group).distinct(), group, "left_anti")

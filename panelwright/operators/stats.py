@@ -6,7 +6,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,42 +63,42 @@ def bootstrap(df: DataFrame, statistic: Column, by: Sequence[str], key: Sequence
     return values.agg(ends.alias("_e")).select(F.get("_e", F.lit(0)).alias("low"), F.get("_e", F.lit(1)).alias("high"))
 
 
-def _signed_rank_p(values: list[float]) -> float | None:
-    """Two-sided p of the signed-rank test: exact by counting sign patterns up to 25 values, else normal with ties."""
-    x = [v for v in values if v]
-    n = len(x)
+def _p_of_ranks(n: int, plus: float, ties: float, ranks: Sequence[float]) -> float | None:
+    """Two-sided p of the signed-rank test from a group's numbers: exact by counting sign patterns up to 25 values (whose
+    ranks are given), else normal with ties."""
     if not n:
         return None
-    order = sorted(range(n), key=lambda i: abs(x[i]))
-    rank, i, ties = [0] * n, 0, 0
-    while i < n:
-        j = i
-        while j + 1 < n and abs(x[order[j + 1]]) == abs(x[order[i]]):
-            j += 1
-        for k in range(i, j + 1):
-            rank[order[k]] = i + j + 2  # twice the average rank
-        ties += (j - i + 1) ** 3 - (j - i + 1)
-        i = j + 1
-    plus, total = sum(r for r, v in zip(rank, x) if v > 0), sum(rank)
     if n <= 25:
+        twice = [round(2 * r) for r in ranks]
+        total, low = sum(twice), round(2 * plus)
         ways = [1] + [0] * total
-        for r in rank:
+        for r in twice:
             for s in range(total, r - 1, -1):
                 ways[s] += ways[s - r]
-        low = min(plus, total - plus)
-        return min(1.0, 2 * sum(ways[: low + 1]) / 2**n)
+        return min(1.0, 2 * sum(ways[: min(low, total - low) + 1]) / 2**n)
     spread = math.sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48)
-    return math.erfc(max(0.0, abs(plus / 2 - n * (n + 1) / 4) - 0.5) / spread / math.sqrt(2))
+    return math.erfc(max(0.0, abs(plus - n * (n + 1) / 4) - 0.5) / spread / math.sqrt(2)) if spread else 1.0
 
 
 def wilcoxon_signed_rank(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
-    """n and p of each group; groups are panels of entities, whose values fit one task."""
+    """n and p of each group. Ranks, their sum and the tie term are columns; a group comes to Python as one row, with its
+    ranks only where 25 at most are counted exactly."""
+    some = df.where(F.col(x).isNotNull()).select(*by, F.col(x).alias("_x"), F.abs(x).alias("_a"), (F.col(x) == 0).alias("_zero"))
+    group = [*by, "_zero"]
+    tied = F.count("*").over(Window.partitionBy(*group, "_a"))
+    ranked = some.withColumns({"_r": average_rank(group, "_a"), "_t": tied * tied - 1, "_n": F.count("*").over(Window.partitionBy(*group))})
+    use = ~F.col("_zero")
+    sums = ranked.groupBy(*by).agg(
+        F.count_if(use).alias("n"), F.coalesce(F.sum(F.when(use & (F.col("_x") > 0), F.col("_r"))), F.lit(0.0)).alias("plus"),
+        F.coalesce(F.sum(F.when(use, F.col("_t").cast("double"))), F.lit(0.0)).alias("ties"), F.collect_list(F.when(use & (F.col("_n") <= 25), F.col("_r"))).alias("ranks"),
+    )
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([[*(pdf[c].iloc[0] for c in by), int((pdf[x] != 0).sum()), _signed_rank_p(pdf[x].tolist())]], columns=[*by, "n", "p"])
+    def run(frames):
+        for f in frames:
+            f["p"] = [_p_of_ranks(*row) for row in zip(f["n"], f["plus"], f["ties"], f["ranks"])]
+            yield f[[*by, "n", "p"]]
 
-    source = df.where(F.col(x).isNotNull()).select(*by, x)
-    return source.groupBy(*by).applyInPandas(run, "".join(f"{f.name} {f.dataType.simpleString()}, " for f in source.select(*by).schema) + "n long, p double")
+    return sums.mapInPandas(run, "".join(f"{f.name} {f.dataType.simpleString()}, " for f in sums.select(*by).schema) + "n long, p double")
 
 
 def pair_changes(df: DataFrame, entity: Sequence[str], period: str, value: str, first, last) -> DataFrame:
@@ -116,6 +115,18 @@ def binomial_exact(k: int, n: int, p0: float = 0.5) -> float:
     return min(1.0, sum(math.exp(log(i)) for i in range(n + 1) if log(i) <= seen + 1e-7))
 
 
+def binomial_test(df: DataFrame, k: str, n: str, p0: float = 0.5, out: str = "p") -> DataFrame:
+    """binomial_exact() of every row."""
+    names = df.columns
+
+    def run(frames):
+        for f in frames:
+            f[out] = [binomial_exact(int(a), int(b), p0) for a, b in zip(f[k], f[n])]
+            yield f[[*names, out]]
+
+    return df.mapInPandas(run, df.schema.simpleString()[7:-1] + f", {out} double")
+
+
 def wilson_interval(k: Column, n: Column, z: float = 1.959963984540054) -> tuple[Column, Column]:
     share = k / F.nullif(n, F.lit(0))
     middle, half = share + z * z / (2 * n), z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
@@ -212,20 +223,44 @@ def cluster_permutation(df: DataFrame, cluster: str, period: str, label: str, fl
 
 def label_permutation(df: DataFrame, entity: str, value: str, label: str, strata: Sequence[str], n: int = 2000, seed: int = 1) -> DataFrame:
     """Mean Cliff's delta over strata against shuffled entity labels."""
-    labels = df.groupBy(entity).agg(F.first(label).alias(label)).withColumn("_all", F.lit(1))
+    labels = df.groupBy(entity).agg(F.first(label).alias(label))
     mean = lambda d: d.agg(F.avg("delta").alias("mean_delta"))
-    shuffled = permuted(labels, label, ["_all"], [entity], n, seed).select("replicate", entity, label)
+    # blocks of entities by a hash, some 64 in each: labels are dealt out inside a block, so no task holds all entities
+    blocks = F.broadcast(labels.agg(F.greatest(F.lit(1), F.floor(F.count("*") / 64)).alias("_blocks")))
+    blocked = labels.crossJoin(blocks).withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), entity), F.col("_blocks"))).drop("_blocks")
+    shuffled = permuted(blocked, label, ["_block"], [entity], n, seed).select("replicate", entity, label)
     drawn = cliffs_delta(df.drop(label).join(shuffled, entity), value, label, ["replicate", *strata]).groupBy("replicate").agg(F.avg("delta").alias("mean_delta"))
     return p_value(mean(cliffs_delta(df, value, label, strata)), drawn, "mean_delta", n)
 
 
+def bootstrap_delta(df: DataFrame, entity: str, value: str, label: str, strata: Sequence[str], n: int = 2000, seed: int = 1, level: float = 0.95) -> DataFrame:
+    """Mean Cliff's delta over strata with a percentile interval. Entities are drawn anew inside their label by Poisson
+    weights; a replicate's delta is a weighted count of wins, from running sums in each stratum."""
+    some = df.where(F.col(value).isNotNull() & F.col(label).isNotNull()).select(*strata, entity, F.col(value).alias("_v"), F.col(label).alias("_l"))
+    drawn = replicates(some, n).withColumn("_w", poisson_weight("replicate", entity, seed=seed)).where("_w > 0")
+    drawn = drawn.groupBy("replicate", *strata, "_v").agg(F.sum(F.when(F.col("_l"), F.col("_w")).otherwise(0)).alias("_one"), F.sum(F.when(F.col("_l"), 0).otherwise(F.col("_w"))).alias("_none"))
+    below = F.sum("_none").over(Window.partitionBy("replicate", *strata).orderBy("_v")) - F.col("_none") / 2
+    sums = drawn.withColumn("_u", F.col("_one") * below).groupBy("replicate", *strata).agg(F.sum("_u").alias("_u"), F.sum("_one").alias("_n1"), F.sum("_none").alias("_n0")).where("_n1 > 0 AND _n0 > 0")
+    means = sums.groupBy("replicate").agg(F.avg(2 * F.col("_u") / (F.col("_n1") * F.col("_n0")) - 1).alias("_d"))
+    ends = means.agg(F.percentile("_d", F.array(F.lit((1 - level) / 2), F.lit((1 + level) / 2))).alias("_e"))
+    seen = cliffs_delta(df, value, label, strata).agg(F.avg("delta").alias("mean_delta"))
+    return seen.crossJoin(F.broadcast(ends)).select("mean_delta", F.get("_e", F.lit(0)).alias("low"), F.get("_e", F.lit(1)).alias("high"))
+
+
 def benjamini_hochberg(df: DataFrame, p: str, out: str = "adjusted_p") -> DataFrame:
-    """Adjusted p of a family of tests. A family has a row for each test, so one window holds it."""
-    w = Window.orderBy(p)
-    m = F.count(p).over(Window.partitionBy())
-    raw = df.withColumn("_a", F.col(p) * m / F.rank().over(w))
-    back = Window.orderBy(F.col(p).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return raw.withColumn(out, F.least(F.lit(1.0), F.min("_a").over(back))).drop("_a")
+    """Adjusted p of a family of tests of any size. Ranks and running minima are taken inside ranges of p, each in a task of
+    its own, and then over the ranges, which are few: sixteen for each halving of p."""
+    counts = df.where(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(F.count("*").alias("_n")).withColumn("_part", F.when(F.col("_p") > 0, F.floor(F.log2("_p") * 16)).otherwise(-100_000))
+    ranges = counts.groupBy("_part").agg(F.sum("_n").alias("_m"))
+    up = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("_part", F.coalesce(F.sum("_m").over(up), F.lit(0)).alias("_before"), F.sum("_m").over(Window.partitionBy()).alias("_all"))
+    within = Window.partitionBy("_part").orderBy("_p")
+    ranked = counts.withColumn("_upto", F.sum("_n").over(within)).join(F.broadcast(ranges), "_part")
+    raw = ranked.withColumn("_a", F.col("_p") * F.col("_all") / (F.col("_before") + F.col("_upto") - F.col("_n") + 1))
+    least = F.min("_a").over(Window.partitionBy("_part").orderBy(F.col("_p").desc()))
+    after = raw.groupBy("_part").agg(F.min("_a").alias("_low")).select("_part", F.min("_low").over(Window.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)).alias("_later"))
+    adjusted = raw.withColumn("_least", least).join(F.broadcast(after), "_part").select("_p", F.least(F.lit(1.0), "_least", F.coalesce("_later", F.lit(1.0))).alias(out))
+    return df.join(adjusted, F.col(p) == F.col("_p"), "left").select(*df.columns, out)
 
 
 def outcomes(df: DataFrame, p: str, n: str, alpha: float = 0.05, least: int = 10) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import checking, cleaning, domain, ingesting, measuring, panel, questions, relational, sampling  # noqa: F401  they register
+from . import checking, cleaning, domain, filings, ingesting, measuring, panel, questions, relational, sampling  # noqa: F401  they register
 from .registry import QUERIES, SQL
 
 

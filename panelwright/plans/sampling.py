@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import stats
+from ..operators import window as win
 from .bindings import CUSTOMER_YEAR, SUPPLIER_YEAR, customer_year, r6, supplier_year, table
 from .questions import _PAIRS, _YOY, restatement_pairs, yoy_confidence
 from .registry import query
 
 #: Replicates of the registered resampling queries.
-N = 200
+N = 10_000
 _RANKED = SUPPLIER_YEAR + ", b AS (SELECT * FROM p WHERE emissions IS NOT NULL AND renewable_share IS NOT NULL), k AS (SELECT sector, period, rank() OVER (PARTITION BY sector, period ORDER BY emissions) + (count(*) OVER (PARTITION BY sector, period, emissions) - 1) / 2.0::DOUBLE AS rx, rank() OVER (PARTITION BY sector, period ORDER BY renewable_share) + (count(*) OVER (PARTITION BY sector, period, renewable_share) - 1) / 2.0::DOUBLE AS ry FROM b), s AS (SELECT sector, period, count(*) AS n, CASE WHEN stddev_pop(rx) > 0 AND stddev_pop(ry) > 0 THEN corr(rx, ry) END AS rho FROM k GROUP BY ALL)\n"
 
 
@@ -81,14 +82,61 @@ def s11(spark, sf):
     return stats.two_by_two(customer_year(spark, sf), "disclosed", "has_event", ["sector"]).withColumn("odds_ratio", r6(stats.odds_ratio()))
 
 
-@query("s11_fisher_exact")
+_LOGS = "lgamma(r + 1) - lgamma(k + 1) - lgamma(r - k + 1) + lgamma(n - r + 1) - lgamma(c - k + 1) - lgamma(n - r - c + k + 1) - lgamma(n + 1) + lgamma(c + 1) + lgamma(n - c + 1)"
+
+
+@query("s11_fisher_exact", CUSTOMER_YEAR + f""", t AS (SELECT sector, {_CELLS} FROM p GROUP BY 1), m AS (SELECT *, (n11 + n10)::DOUBLE AS r, (n11 + n01)::DOUBLE AS c, (n11 + n10 + n01 + n00)::DOUBLE AS n FROM t),
+k AS (SELECT *, unnest(range(CAST(greatest(0, r + c - n) AS BIGINT), CAST(least(r, c) AS BIGINT) + 1))::DOUBLE AS k FROM m), l AS (SELECT *, {_LOGS} AS x FROM k), o AS (SELECT sector, x AS seen FROM l WHERE k = n11)
+SELECT sector, n11, n10, n01, n00, round(least(1.0, sum(exp(x)) FILTER (WHERE x <= seen + 1e-7)), 6) AS p FROM l JOIN o USING (sector) GROUP BY ALL""")
 def s11b(spark, sf):
-    return stats.fisher_test(stats.two_by_two(customer_year(spark, sf), "disclosed", "has_event", ["sector"]), ["sector"])
+    return stats.fisher_test(stats.two_by_two(customer_year(spark, sf), "disclosed", "has_event", ["sector"]), ["sector"]).withColumn("p", r6("p"))
+
+
+@query("s09_binomial_exact", """WITH t AS (SELECT l_suppkey, count(*) FILTER (WHERE l_returnflag = 'R')::DOUBLE AS k, count(*)::DOUBLE AS n FROM lineitem GROUP BY 1), i AS (SELECT *, unnest(range(0, CAST(n AS BIGINT) + 1))::DOUBLE AS i FROM t),
+l AS (SELECT *, lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + n * ln(0.5::DOUBLE) AS x FROM i), o AS (SELECT l_suppkey, x AS seen FROM l WHERE i = k) SELECT l_suppkey, round(least(1.0, sum(exp(x)) FILTER (WHERE x <= seen + 1e-7)), 6) AS p FROM l JOIN o USING (l_suppkey) GROUP BY 1""")
+def s09b(spark, sf):
+    g = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count_if(F.col("l_returnflag") == "R").alias("k"), F.count("*").alias("n"))
+    return stats.binomial_test(g, "k", "n").select("l_suppkey", r6("p").alias("p"))
+
+
+@query("s14_bootstrap_delta")
+def s14b(spark, sf):
+    p = supplier_year(spark, sf).select("entity", "period", "renewable_share", (F.col("ownership") == "public").alias("is_public"))
+    return stats.bootstrap_delta(p, "entity", "renewable_share", "is_public", ["period"], N)
+
+
+@query("s01_needs_review", CUSTOMER_YEAR + """, w AS (SELECT entity FROM p WHERE emissions IS NOT NULL GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT period) FROM p WHERE emissions IS NOT NULL)),
+y AS (SELECT entity, period, emissions, lag(emissions) OVER k AS b, lead(emissions) OVER k AS a, lag(period) OVER k AS bp, lead(period) OVER k AS ap FROM p WINDOW k AS (PARTITION BY entity ORDER BY period)), s AS (SELECT entity, count(*) FILTER (WHERE bp = period - 1 AND ap = period + 1 AND (emissions > 2 * greatest(b, a) OR emissions * 2 < least(b, a))) AS n_spikes FROM y GROUP BY 1)
+SELECT entity, n_spikes, n_spikes > 0 AS needs_review FROM s WHERE entity IN (SELECT entity FROM w)""")
+def s01b(spark, sf):
+    p = customer_year(spark, sf)
+    whole = win.balanced_panel(p, "entity", "period", F.col("emissions").isNotNull())
+    spikes = win.one_period_spikes(whole.select("entity", "period", "emissions"), "entity", "period", "emissions").groupBy("entity").agg(F.count("*").alias("n_spikes"))
+    out = whole.select("entity").distinct().join(spikes, "entity", "left").withColumn("n_spikes", F.coalesce("n_spikes", F.lit(0)))
+    return out.withColumn("needs_review", F.col("n_spikes") > 0)
+
+
+@query("s02_restatements_by_entity_year", _PAIRS + "SELECT entity, period, count(*) FILTER (WHERE is_compared) AS n_compared, count(*) FILTER (WHERE flatters) AS n_flattering, max(abs(change)) IS NOT NULL AS has_change FROM r GROUP BY ALL")
+def s02b(spark, sf):
+    return restatement_pairs(supplier_year(spark, sf)).groupBy("entity", "period").agg(F.count_if("is_compared").alias("n_compared"), F.count_if("flatters").alias("n_flattering"), F.max(F.abs("change")).isNotNull().alias("has_change"))
+
+
+@query("s02_disclosure_quality", SUPPLIER_YEAR + "SELECT entity, period, round((coalesce(renewable_share, 0) + coalesce(women_share, 0)) / 2, 6) AS quality, (renewable_share IS NULL)::INT + (women_share IS NULL)::INT AS n_missing FROM p WHERE disclosed")
+def s02c(spark, sf):
+    gone = lambda c: F.when(F.col(c).isNull(), 1).otherwise(0)
+    return supplier_year(spark, sf).where("disclosed").select("entity", "period", r6((F.coalesce("renewable_share", F.lit(0.0)) + F.coalesce("women_share", F.lit(0.0))) / 2).alias("quality"), (gone("renewable_share") + gone("women_share")).alias("n_missing"))
+
+
+@query("s02_years", CUSTOMER_YEAR + "SELECT period, count(*) AS n, count(*) >= 5 AS usable, row_number() OVER (ORDER BY period) = 1 AS is_first FROM p GROUP BY 1")
+def s02d(spark, sf):
+    y = customer_year(spark, sf).groupBy("period").agg(F.count("*").alias("n"))
+    return y.crossJoin(F.broadcast(y.agg(F.min("period").alias("_first")))).select("period", "n", (F.col("n") >= 5).alias("usable"), (F.col("period") == F.col("_first")).alias("is_first"))
 
 
 @query("s12_cluster_permutation")
 def s12(spark, sf):
-    return stats.cluster_permutation(supplier_year(spark, sf).select("entity", "period", "disclosed", "has_event"), "entity", "period", "disclosed", "has_event", N)
+    p = supplier_year(spark, sf).select("entity", "period", (F.col("untaxed") * 9 > F.col("n_lines")).alias("open"), (F.col("events") * 3 > F.col("n_lines")).alias("eventful"))
+    return stats.cluster_permutation(p, "entity", "period", "open", "eventful", N)
 
 
 @query("s13_cliffs_delta", CUSTOMER_YEAR + "SELECT a.sector, count(*) FILTER (WHERE true) * 0 + (SELECT count(*) FROM p q WHERE q.sector = a.sector AND q.period = 1997 AND q.disclosed AND q.women_share IS NOT NULL) AS n1, (SELECT count(*) FROM p q WHERE q.sector = a.sector AND q.period = 1997 AND NOT q.disclosed AND q.women_share IS NOT NULL) AS n0, round(avg(sign(a.women_share - b.women_share)), 6) AS delta FROM p a JOIN p b ON a.sector = b.sector AND a.period = 1997 AND b.period = 1997 AND a.disclosed AND NOT b.disclosed AND a.women_share IS NOT NULL AND b.women_share IS NOT NULL GROUP BY a.sector")

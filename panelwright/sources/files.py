@@ -184,6 +184,34 @@ def intake(files: DataFrame, listing: DataFrame, universe: DataFrame) -> DataFra
     return out.select("file_name", "sha256", "symbol", status.alias("status"), isin.alias("isin"), source.alias("isin_source"), conflict.alias("isin_conflict"))
 
 
+def take_in(spark: SparkSession, manifest: str, received: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Received files (file_name, content) against the manifest of what was taken in before, by the hash of their content:
+    taken in before, duplicate (of an earlier one of this batch), or new; nth is a file's place among those of its
+    content. What is new is added to the manifest, so the same batch may come again."""
+    hashed = received.withColumn("sha256", F.sha2("content", 256)).drop("content")
+    hashed = hashed.withColumn("nth", F.row_number().over(Window.partitionBy("sha256").orderBy(*order)))
+    schema = "sha256 string, file_name string"
+    if exists(spark, manifest):
+        known = spark.read.schema(schema).parquet(manifest).select("sha256").distinct().withColumn("_known", F.lit(True))
+        hashed = hashed.join(known, "sha256", "left")
+    else:
+        hashed = hashed.withColumn("_known", F.lit(None).cast("boolean"))
+    status = F.when(F.col("_known"), "taken in before").when(F.col("nth") > 1, "duplicate").otherwise("new")
+    path = workspace(spark)
+    hashed.withColumn("status", status).drop("_known").write.parquet(path)  # the manifest is read before it grows
+    out = spark.read.parquet(path)
+    out.where("status = 'new'").select("sha256", "file_name").write.mode("append").parquet(manifest)
+    return out
+
+
+def star_export(spark: SparkSession, path: str, tables: Mapping[str, DataFrame], facts: str, period: str, periods: DataFrame) -> None:
+    """Each table in a folder of its own; the facts only for periods that have data, in order inside each file."""
+    for name, df in tables.items():
+        if name == facts:
+            df = df.join(periods.select(period), period, "left_semi").select(*df.columns).sortWithinPartitions(*df.columns[:2])
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
 def filing_status(listing: DataFrame, received: DataFrame, key: Sequence[str], available: Column) -> DataFrame:
     got = received.select(*key).distinct().withColumn("_got", F.lit(True))
     return listing.join(got, list(key), "left").withColumn("status", F.when(F.col("_got"), "received").when(available, "missing").otherwise("listed_unavailable")).drop("_got")

@@ -108,8 +108,98 @@ def test_specs_are_checked():
 def test_exact_tests():
     assert stats.binomial_exact(5, 10) == pytest.approx(1.0) and stats.binomial_exact(0, 10) == pytest.approx(2 / 1024)
     assert stats.fisher_exact(3, 1, 1, 3) == pytest.approx(0.4857142857)
-    assert stats._signed_rank_p([1, 2, 3, 4, 5]) == pytest.approx(2 / 32) and stats._signed_rank_p([0, 0]) is None
-    assert stats._signed_rank_p([1, -1]) == 1.0 and 0 < stats._signed_rank_p([float(i) for i in range(1, 40)]) < 1e-6
+
+
+def test_signed_ranks_are_brute_force(spark):
+    import itertools
+    import random
+
+    rng = random.Random(6)
+    groups = {1: [1, 2, 3, 4, 5], 2: [0, 0], 3: [1, -1], 4: [float(i) for i in range(1, 40)], 5: [rng.choice([-3, -2, -1, 0, 1, 2, 3, 4]) for _ in range(13)], 6: [2, 2, 2, -2, 5], 7: [(-1) ** i * (i % 9 + 1) for i in range(60)]}
+    df = spark.createDataFrame([(g, float(v)) for g, own in groups.items() for v in own] + [(8, None)], "g int, x double")
+    got = {r.g: r for r in stats.wilcoxon_signed_rank(df, "x", ["g"]).collect()}
+    assert set(got) == set(groups)
+    assert got[1].p == pytest.approx(2 / 32) and got[2].p is None and got[2].n == 0 and got[3].p == 1.0 and 0 < got[4].p < 1e-6 and got[7].p > 0.5
+    for g in (1, 5, 6):
+        x = [v for v in groups[g] if v]
+        rank = [sum(abs(a) < abs(b) for a in x) + (sum(abs(a) == abs(b) for a in x) + 1) / 2 for b in x]
+        plus = sum(r for r, v in zip(rank, x) if v > 0)
+        low = min(plus, sum(rank) - plus)
+        ways = sum(sum(r for r, s in zip(rank, signs) if s) <= low for signs in itertools.product((0, 1), repeat=len(x)))
+        assert got[g].n == len(x) and got[g].p == pytest.approx(min(1.0, 2 * ways / 2 ** len(x)))
+
+
+def test_adjusted_p_is_brute_force(spark):
+    import random
+
+    rng = random.Random(2)
+    p = [rng.choice([0.0, 1.0, 0.5, 0.013, rng.random(), rng.random() ** 9]) for _ in range(400)] + [None]
+    df = spark.createDataFrame(list(enumerate(p)), "i int, p double").repartition(5)
+    got = {r.i: r.adjusted_p for r in stats.benjamini_hochberg(df, "p").collect()}
+    there = [v for v in p if v is not None]
+    raw = {v: v * len(there) / (sum(w < v for w in there) + 1) for v in there}
+    assert got[400] is None and len(got) == 401
+    for i, v in enumerate(p[:400]):
+        assert got[i] == pytest.approx(min(1.0, min(raw[w] for w in raw if w >= v)))
+
+
+def test_resampling_finds_planted_effects_and_not_their_absence(spark):
+    rows = [(e, t, e % 2 == 0, float(e % 2 == 0) * 5 + (e * 7 + t) % 10, (e * 31 + t * 17) % 101 / 10) for e in range(80) for t in range(3)]
+    df = spark.createDataFrame(rows, "e int, t int, l boolean, x double, y double")
+    far, near = (stats.bootstrap_delta(df, "e", v, "l", ["t"], 300).first() for v in ("x", "y"))
+    seen = [stats.cliffs_delta(df, v, "l", ["t"]).agg(F.avg("delta")).first()[0] for v in ("x", "y")]
+    assert far.mean_delta == pytest.approx(seen[0]) and far.low < seen[0] < far.high and far.low > 0.2
+    assert near.low < 0 < near.high
+    assert stats.label_permutation(df, "e", "x", "l", ["t"], 199).first().p == pytest.approx(1 / 200)
+    assert stats.label_permutation(df, "e", "y", "l", ["t"], 199).first().p > 0.05
+    middle = stats.bootstrap(df, F.avg("y"), ["l"], ["e", "t"], 300).first()
+    assert middle.low < df.agg(F.avg("y")).first()[0] < middle.high and middle.high - middle.low < 1.5
+
+
+def test_whole_history_permutation(spark):
+    rows = [(c, t, (c + t) % 2 == 0, (c + t) % 2 == 0) for c in range(30) for t in range(4)] + [(c, t, c % 2 == 0, (c * 13 + t * 5) % 7 < 3) for c in range(100, 130) for t in range(4)]
+    df = spark.createDataFrame(rows, "c int, t int, l boolean, f boolean")
+    assert stats.cluster_permutation(df.where("c < 100"), "c", "t", "l", "f", 99).first().p < 0.05
+    assert stats.cluster_permutation(df.where("c >= 100"), "c", "t", "l", "f", 99).first().p > 0.05
+
+
+def test_keys_move_between_partitions_and_interrupted_runs_are_made_good(spark, tmp_path):
+    from panelwright.sources import files
+
+    path, schema = str(tmp_path / "t"), "k int, v string, part string"
+    rows = lambda: sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
+    make = lambda *r: spark.createDataFrame(list(r), schema)
+    files.replace_keys(spark, path, make((1, "old", "a"), (2, "old", "b")), "k", "part")
+    files.replace_keys(spark, path, make((1, "new", "b")), "k", "part")
+    assert rows() == [(1, "new", "b"), (2, "old", "b")] and not (tmp_path / "t" / "part=a").exists() and not (tmp_path / "t-next").exists()
+    # a whole stage that was left behind
+    make((2, "late", "c"), (1, "new", "b")).write.partitionBy("part").parquet(path + "-next/rows")
+    spark.createDataFrame([("b",), ("c",)], "part string").write.parquet(path + "-next/touched")
+    files.replace_keys(spark, path, make((3, "x", "c")), "k", "part")
+    assert rows() == [(1, "new", "b"), (2, "late", "c"), (3, "x", "c")]
+
+
+def test_row_ids_tell_nulls_apart(spark):
+    from panelwright.functions import clean
+
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a", "b", None)], "x string, y string, z string")
+    assert df.select(clean.stable_row_id("x", "y", "z").alias("i")).distinct().count() == 2
+
+
+def test_instances(spark):
+    from panelwright.sources.instances import parse_instances
+
+    good = '<x:xbrl xmlns:x="http://www.xbrl.org/2003/instance" xmlns:l="http://www.xbrl.org/2003/linkbase" xmlns:k="http://www.w3.org/1999/xlink" xmlns:i="urn:i">{}</x:xbrl>'
+    ref = '<l:schemaRef k:href="a.xsd"/>'
+    files = {
+        "ok": ref + '<x:context id="c"><x:period><x:forever/></x:period></x:context><i:A contextRef="c">1</i:A><i:A contextRef="c">1</i:A>', "tuple": ref + "<i:T><i:A/></i:T>", "period": ref + '<x:context id="c"/>', "none": "<i:A>1</i:A>",
+    }
+    rows = [(k, bytearray(good.format(v).encode())) for k, v in files.items()] + [("root", bytearray(b"<a/>")), ("null", None), ("bom", bytearray("\ufeff".encode() + good.format(ref + "<i:A>2</i:A>").encode()))]
+    got = parse_instances(spark.createDataFrame(rows, "filing_id string, content binary"))
+    assert {r.filing_id for r in got["errors"].collect()} == {"tuple", "period", "none", "root", "null"}
+    facts = got["facts"].collect()
+    assert sorted((r.filing_id, r.raw_value) for r in facts) == [("bom", "2"), ("ok", "1"), ("ok", "1")] and len({r.fact_id for r in facts}) == 3
+    assert [(r.period_type, r.dimension_key) for r in got["contexts"].collect()] == [("forever", "")]
 
 
 def test_permutation_finds_a_planted_effect_and_not_its_absence(spark):
