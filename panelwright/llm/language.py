@@ -4,6 +4,7 @@ path with a penalty for switching labels the spans of a text."""
 from __future__ import annotations
 
 import hashlib
+import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ ORDER, ALPHA, SCRIPT_SHARE = 3, 0.5, 0.01
 SWITCH, WRONG_SCRIPT = 12.0, 30.0
 #: Words that a worker remembers; letters of the longest word that is labelled as one; letters at most in a piece of a longer
 #: one (or of text that no ASCII white space parts); letters of a long word that are taken up at once.
-REMEMBERED, LONGEST, PIECE, AT_ONCE = 400_000, 60, 20, 60_000
+REMEMBERED, LONGEST, PIECE, AT_ONCE = 250_000, 60, 20, 60_000
 #: Scripts that one language mixes from letter to letter: a change between them ends no piece.
 MIXED = {"Kana": "Han"}
 #: Share of the letters below which the stage rejects a document: none of its languages prevails.
@@ -42,6 +43,7 @@ BLOCKS = [
     (0xF900, "Han"), (0xFB00, "Latin"), (0xFB1D, "Hebrew"), (0xFB50, "Arabic"), (0xFE00, "Other"), (0xFF21, "Latin"),
     (0xFF66, "Kana"), (0xFFA0, "Hangul"), (0xFFE0, "Other"), (0x20000, "Han"), (0x32000, "Other"),
 ]
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _STARTS, _SCRIPTS = [a for a, _ in BLOCKS], [s for _, s in BLOCKS]
 
 
@@ -60,6 +62,12 @@ def grams(letters: str) -> Iterator[str]:
     return (padded[i : i + ORDER] for i in range(max(1, len(padded) - ORDER + 1)))
 
 
+def runs_of(word: str) -> list[str]:
+    """The letters of a word; of one of more than LONGEST letters, those between Unicode white space."""
+    letters = letters_of(word)
+    return [letters] if 0 < len(letters) <= LONGEST else [x for x in map(letters_of, word.split()) if x] if letters else []
+
+
 def pieces(letters: str) -> list[tuple[int, int]]:
     """Borders of the pieces of a long run of letters: PIECE letters at most, each in one script (or in MIXED ones)."""
     scripts = [MIXED.get(s, s) for s in map(script_of, letters)]
@@ -90,12 +98,12 @@ def train(docs: DataFrame) -> dict:
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
                 own = total.setdefault(lang, Counter())
-                for word, n in Counter(text.split()).items():
-                    letters = letters_of(word)
-                    for g in grams(letters) if letters else ():
-                        own[g] += n
-                    for s, k in Counter(map(script_of, letters)).items():
-                        own["#" + s] += n * k
+                for word, n in Counter(_WORD.findall(text)).items():
+                    for letters in runs_of(word):
+                        for g in grams(letters):
+                            own[g] += n
+                        for s, k in Counter(map(script_of, letters)).items():
+                            own["#" + s] += n * k
         rows = [(lang, g, n) for lang, own in total.items() for g, n in own.items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "gram", "n"])
 
@@ -158,7 +166,7 @@ class Labeller:
     def _long(self, word: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Scores and letters of the pieces of a word of more than LONGEST letters, else None. Every n-gram counts, in the
         piece that its middle letter falls into. Such pieces aren't remembered."""
-        parts = [x for x in map(letters_of, word.split()) if x]
+        parts = runs_of(word)
         if sum(map(len, parts)) <= LONGEST:
             return None
         known, unseen = self.model["grams"], len(self.model["table"]) - 1

@@ -1,3 +1,8 @@
+import math
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 
@@ -66,3 +71,47 @@ def test_pieces_end_at_changes_of_script():
     model = {"langs": ["el", "en"], "grams": {}, "table": np.log([[0.1, 0.1]]), "scripts": {"Latin": np.array([False, True]), "Greek": np.array([True, False])}}
     ((lang, score, spans),) = Labeller(model).label(pa.array([("κ" * 100 + "x" * 300 + "κ" * 50).encode()]))
     assert (lang, score, [s[0] for s in spans]) == ("en", 300 / 450, ["el", "en", "el"])
+
+
+def test_whole_query_is_brute_force(spark, sf, sf_docs):
+    """Counts, script shares and the best path worked out word by word, for every document."""
+    split = lambda text: re.findall(r"[^\x20\x09-\x0D]+", text)
+    learned = [(r.lang, r.text) for r in sf_docs.itertuples() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang is not None and r.text is not None]
+    langs = sorted({lang for lang, _ in learned})
+    counts, scripts = {lang: Counter() for lang in langs}, {lang: Counter() for lang in langs}
+    low = lambda w: "".join(c for c in w.lower() if c.isalpha())
+    three = lambda w: [f" {w} "[i : i + 3] for i in range(len(w))]
+    for lang, text in learned:
+        for w in split(text):
+            assert len(low(w)) <= language.LONGEST  # longer ones have tests of their own
+            counts[lang].update(three(low(w)))
+            scripts[lang].update(map(language.script_of, low(w)))
+    seen = set().union(*counts.values())
+    total = {lang: sum(counts[lang].values()) + language.ALPHA * (len(seen) + 1) for lang in langs}
+    every = sum(scripts.values(), Counter())
+    own = {s: [scripts[lang][s] >= language.SCRIPT_SHARE * max(1, sum(scripts[lang].values())) for lang in langs] for s in every}
+    got = {r.doc_id: r for r in op5_language_id(spark, sf).collect()}
+    assert len(got) == len(sf_docs)
+    for r in sf_docs.itertuples():
+        words = split(r.text or "")
+        letters = [len(low(w)) for w in words]
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if not sum(letters):
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == ("und", 0.0)
+            continue
+        value, back = np.zeros(len(langs)), []
+        for w in words:
+            score = np.array([sum(math.log((counts[lang][g] + language.ALPHA) / total[lang]) for g in three(low(w))) for lang in langs])
+            if low(w):
+                fits = np.array(own.get(Counter(map(language.script_of, low(w))).most_common(1)[0][0], [True] * len(langs)))
+                score -= language.WRONG_SCRIPT * (~fits if fits.any() else 0 * fits)
+            step = value[None, :] - language.SWITCH * (1 - np.eye(len(langs)))
+            back.append(step.argmax(axis=1))
+            value = step.max(axis=1) + score
+        k = int(value.argmax())
+        share = np.zeros(len(langs))
+        for n, b in zip(reversed(letters), reversed(back)):
+            share[k] += n
+            k = int(b[k])
+        assert got[r.doc_id].lang_pred == langs[int(share.argmax())]
+        assert abs(got[r.doc_id].score - share.max() / share.sum()) < 1e-9

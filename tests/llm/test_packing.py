@@ -12,9 +12,7 @@ from panelwright.llm import packing
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check(rows, docs, tokenizer):
@@ -52,6 +50,15 @@ def test_odd_rows(odd, clashing, none, tokenizer):
     assert {"extra", "kept"} <= set(packing.pack(clashing).columns)
 
 
+def test_added_token_in_texts(spark, tokenizer):
+    """The vocabulary's added token inside a text, at both ends of one, alone, repeated, broken off, in a long text."""
+    end = "<|endoftext|>"
+    texts = [f"x {end} y", f"{end}y", f"x{end}", end, end * 3, f" {end} ", "<|endoftext|", f"a {end[:-1]} {end} b", f"word {end} " * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [87, 220, 50256, 331]
+    check(packing.pack(docs).collect(), docs.collect(), tokenizer)
+
+
 def test_documents(spark, sf, tokenizer):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = packing.pack(docs.repartition(5)).collect()

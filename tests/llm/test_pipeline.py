@@ -37,7 +37,6 @@ def test_stages_against_their_operators(spark, sf):
         assert r.text == pii.redact(four[i].text, pii.find(four[i].text, trees)[1])
         assert r.n_chars == len(r.text) and pii.base_spans(r.text) == []
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     pieces = docs.collect()
     length = {}
     for p in pieces:
