@@ -90,12 +90,12 @@ class Index:
         self.allow, self.lengths, self.lengths_at = (DigestArray._map(f"{folder}/{n}", t) for n, t in (("allow", bool), ("lengths", np.int64), ("lengths_at", np.int64)))
 
     @staticmethod
-    def of(tables: str) -> Index:
-        """From the tables that Spark wrote and fetched to this machine; the first worker there makes the arrays."""
-        done = f"{tables}-arrays"
+    def of(name: str, tables: tuple[list[str], list[str]]) -> Index:
+        """From the files that Spark wrote and fetched to this machine; the first worker there makes the arrays."""
+        done = f"{SparkFiles.getRootDirectory()}/{name}"
         if not os.path.exists(done):
             made = tempfile.mkdtemp(dir=os.path.dirname(done))
-            keys, hosts = (pq.read_table(f"{tables}/{n}") for n in ("keys", "hosts"))
+            keys, hosts = (pa.concat_tables([pq.read_table(SparkFiles.get(f)) for f in own]) for own in tables)
             raw = lambda t: t["digest"].to_numpy().view(np.uint64)
             order = DigestArray.build(f"{made}/keys", raw(keys), keys["key"].combine_chunks() if keys.num_rows else pa.array([], pa.string()))
             keys["allow"].to_numpy(zero_copy_only=False).astype(bool)[order].tofile(f"{made}/allow")
@@ -136,20 +136,19 @@ class Index:
         return out
 
 
-def _ship(rules: DataFrame) -> str:
-    """Write the tables to the shared folder; Spark fetches them to each executor once."""
+def _ship(rules: DataFrame) -> tuple[str, tuple[list[str], list[str]]]:
+    """Write the tables to the shared folder; Spark fetches their files to each executor once."""
     spark = rules.sparkSession
-    name = f"urls-{uuid.uuid4().hex}"
+    name, shipped = f"urls-{uuid.uuid4().hex}", []
     path = f"{shared_dir(spark)}/{name}"
     for part, df in zip(("keys", "hosts"), _columns(rules), strict=True):
         df.write.parquet(f"{path}/{part}")
-
-    def whole(fs, p):
-        fs.deleteOnExit(p)
-        return p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
-
-    spark.sparkContext.addFile(hadoop_path(spark, path, whole), recursive=True)
-    return name
+        files = spark.read.schema(df.schema).parquet(f"{path}/{part}").inputFiles()
+        for f in files:
+            spark.sparkContext.addFile(f)
+        shipped.append([f.rpartition("/")[2] for f in files])
+    hadoop_path(spark, path, lambda fs, p: fs.deleteOnExit(p))
+    return name, (shipped[0], shipped[1])
 
 
 def judge(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str, str]], default: str = DEFAULT, url: str = "url") -> DataFrame:
@@ -166,7 +165,7 @@ def judge(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str, str]], d
     short_batches(spark)
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame([(*r, i) for i, r in enumerate(rules)], "host string, path string, verdict string, place int")
-    name = _ship(rules)
+    name, shipped = _ship(rules)
     rest = F.when(F.instr(url, "://") > 0, F.expr(f"substring({url}, instr({url}, '://') + 3)")).otherwise("")
     own = others(pages, ["host", "path", "rule", "verdict"])
     kept = pages.select(*own).columns
@@ -175,7 +174,7 @@ def judge(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str, str]], d
     split = split.select(*(split[f"`{c}`"] for c in kept), F.translate("_host", _UPPER, _LOWER).alias("host"), F.regexp_extract(F.expr("substring(_rest, length(_host) + 1)"), r"^[^?#]*", 0).alias("path"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index.of(SparkFiles.get(name))
+        index = Index.of(name, shipped)
         for b in batches:
             hits = index.best(b.column("host").to_pylist(), b.column("path").to_pylist())
             rules_of = [hit[0] if hit else None for hit in hits]

@@ -68,7 +68,7 @@ def test_documents(spark, sf, tokenizer):
 
 def test_white_space_and_special_strings(tokenizer):
     texts = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a\n\nb c", " a  b", "x\x1c y", "<|endoftext|> a <|endoftext|>", "it's we'll 's 's x's", "a\tb \tc", "　 a b", "tail \n", "1 2 3,4 ,5 é ñ 日本 語"]
-    encode = packing.encoder(public_tokenizers.path(packing.VOCABULARY))
+    encode = packing.encoder(public_tokenizers.path(packing.VOCABULARY), added=True)
     assert [np.frombuffer(encode(x), "<u4").tolist() for x in texts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
