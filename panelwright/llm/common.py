@@ -44,11 +44,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, *partition_by: str) -> DataFrame:
+def materialize(df: DataFrame, *partition_by: str, compression: str = "zstd") -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage, survives lost executors, and runs the work once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.option("compression", compression)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     hadoop_path(spark, path, lambda fs, p: fs.deleteOnExit(p))
     return spark.read.schema(df.schema).parquet(path)
@@ -79,7 +79,7 @@ HUB_SHARE = 1e-4
 def _with_least(links: DataFrame, n: int, own: bool) -> DataFrame:
     """links (a, b) with m, the least b of each a (and a itself, if own). A hub's rows don't meet in one task: its m is
     broadcast, and only the links of other nodes are joined on the node."""
-    stats = materialize(links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", (F.least("a", "m") if own else F.col("m")).alias("m"), "n"))
+    stats = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", (F.least("a", "m") if own else F.col("m")).alias("m"), "n")
     hub = F.col("n") > n * HUB_SHARE
     marked = links.join(F.broadcast(stats.where(hub).select("a", F.col("m").alias("_m"))), "a", "left")
     rest = marked.where("_m is null").join(stats.where(~hub).select("a", "m"), "a").select("a", "b", "m")
@@ -94,14 +94,15 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     large-star and small-star contraction), so a chain of n links takes about log2(n) rounds and a hub's links move
     to its smallest member instead of being joined with each other. Every round is written to the shared folder.
     """
-    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    plain = "snappy"  # small tables in many rounds: native buffers of stronger compression would add up in executors
+    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), compression=plain)
     n = now.count()
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _with_least(both, 2 * n, True).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        step = materialize(large.where("a <> b").distinct())
+        step = materialize(large.where("a <> b").distinct(), compression=plain)
         small = _with_least(step, n, False).select(F.explode(F.when(F.col("b") == F.col("m"), F.array(F.struct("a", F.col("m").alias("b")))).otherwise(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))).alias("e")).select("e.a", "e.b")
-        after = materialize(small.where("a <> b").distinct())
+        after = materialize(small.where("a <> b").distinct(), compression=plain)
         was, n = n, after.count()
         same = was == n and now.exceptAll(after).isEmpty()
         discard(step)
