@@ -18,8 +18,8 @@ from .textvec import SPACE, Words, buffers, chunks, mix, windows
 SIZE, LEAST = 5, (4, 5)
 #: Of pairs at the least similarity, the share that the bands may miss; minima in a band.
 MISS, ROWS = 1e-5, 6
-#: Documents of one component that are compared in one task; larger components are dealt out as pairs of blocks. Buckets of
-#: so many texts at most are screened by the texts' minima before they are linked.
+#: Documents of one component that are compared in one task, and texts of one bucket whose minima are; larger components
+#: and buckets are dealt out as pairs of blocks.
 BLOCK = 256
 #: Columns of the incidence matrix that are in memory at once.
 COLUMNS = 8192
@@ -124,18 +124,66 @@ def _least_reached(link: np.ndarray) -> np.ndarray:
         root = low
 
 
+def _like_first(least: int):
+    """Rows of (band, node, low, minima, first): first becomes whether node and the bucket's first text share `least` minima."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, first = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("minima", "first"))
+            near = (own == first).sum(axis=1) >= least if b.num_rows else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("band", "node", "low", "minima")), pa.array(near)], names=["band", "node", "low", "minima", "near"])
+
+    return run
+
+
+def _screen_across(least: int):
+    """Like _screen, between the rows of a block of strangers (side 0) and those of a block of the bucket (side 1)."""
+
+    def run(key, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node = np.concatenate([b.column("node").to_numpy() for b in batches])
+        side = np.concatenate([b.column("side").to_numpy() for b in batches])
+        minima = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for b in batches for x in b.column("minima")])
+        node, first, at = np.unique(node, return_index=True, return_inverse=True)
+        stranger = np.zeros(len(node), bool)
+        stranger[at[side == 0]] = True
+        link = np.zeros((len(node), len(node)), bool)
+        for k in np.flatnonzero(stranger):
+            link[k] = (minima[first[k]] == minima[first]).sum(axis=1) >= least
+        root = _least_reached(link | link.T)
+        moved = np.flatnonzero(root != np.arange(len(node)))
+        if len(moved):
+            yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
+
+    return run
+
+
+def _large(held: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """Links of the buckets of more than BLOCK texts. Texts that share `least` minima with the bucket's first text hang
+    together through it, so pairs of them need no look; all other texts (strangers) are compared with every text of the
+    bucket, in pairs of blocks. A bucket of near copies costs one comparison a text, and one of unlike texts links only
+    those that may be similar enough."""
+    minima = texts.select("node", "minima")
+    rows = held.join(minima, "node").join(minima.select(F.col("node").alias("low"), F.col("minima").alias("first")), "low")
+    marked = materialize(rows.select("band", "node", "low", "minima", "first").mapInArrow(_like_first(least), "band long, node long, low long, minima binary, near boolean"))
+    parts = marked.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.ceil(F.count_if(~F.col("near")) / BLOCK).alias("strange"))
+    dealt = marked.join(parts.where("strange > 0"), "band")
+    first = dealt.where(~F.col("near")).select("band", F.pmod(F.xxhash64("node", F.lit(2)), "strange").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "node", "minima")
+    second = dealt.select("band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strange") - 1)).alias("i"), F.pmod(F.xxhash64("node", F.lit(3)), "blocks").alias("j"), F.lit(1).alias("side"), "node", "minima")
+    across = grouped(first.unionByName(second), ["band", "i", "j"], _screen_across(least), "a long, b long")
+    return marked.where(F.col("near") & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(across)
+
+
 def _candidates(texts: DataFrame, bands: int, rows: int, similarity: float) -> DataFrame:
-    """Links (a, b) whose components hold every pair to verify. Buckets with the same texts count once. A bucket of BLOCK
-    texts or fewer links only texts whose minima say that they are similar enough; a larger one (a large group of near
-    copies, whose pairs are verified in blocks anyway) links all its texts."""
+    """Links (a, b) whose components hold every pair to verify: texts of one bucket whose minima say that they are similar
+    enough. Buckets with the same texts count once; one of more than BLOCK texts is screened in blocks."""
+    least = equal_minima(bands * rows, similarity)
     band = texts.select("node", F.explode("bands").alias("band"))
     buckets = band.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 20)).alias("y"))
     buckets = buckets.where("low < high").groupBy("low", "n", "x", "y").agg(F.min("band").alias("band"))
     held = materialize(band.join(buckets.select("band", "low", "n"), "band"))
-    large = held.where((F.col("n") > BLOCK) & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b"))
     small = held.where(F.col("n") <= BLOCK).join(texts.select("node", "minima"), "node").select("band", "node", "minima")
-    near = grouped(small, ["band"], _screen(equal_minima(bands * rows, similarity)), "a long, b long")
-    return large.unionByName(near)
+    near = grouped(small, ["band"], _screen(least), "a long, b long")
+    return _large(held.where(F.col("n") > BLOCK), texts, least).unionByName(near)
 
 
 def _verify(least: tuple[int, int]):

@@ -1,10 +1,12 @@
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from panelwright.llm import jaccard
+from panelwright.llm.common import components
 
 
 def grams(text):
@@ -60,6 +62,30 @@ def test_near_copies_in_blocks(spark, block, monkeypatch):
     assert got(docs) == brute(docs.collect())
 
 
+def test_large_bucket_of_unlike_texts(spark):
+    """One bucket of four groups of like minima, the first text alone: strangers to it still find each other."""
+    rng = np.random.default_rng(3)
+    kinds = rng.integers(0, 256, (5, 228), np.uint8)
+    rows = []
+    for node in range(900):
+        kind = 4 if node == 0 else node % 4
+        minima = np.where(rng.random(228) < 0.1, rng.integers(0, 256, 228, np.uint8), kinds[kind])
+        rows.append((node, [7], bytes(minima.astype(np.uint8))))
+    texts = spark.createDataFrame(rows, "node long, bands array<long>, minima binary")
+    found = {r.node: r.root for r in components(jaccard._candidates(texts, 38, 6, 0.8)).collect()}
+    assert found == {n: n % 4 or 4 for n in range(1, 900)}
+
+
+def test_families_that_share_half_their_words(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    shared = [f"s{i}" for i in range(60)]
+    rows = [(f * 100 + k, " ".join([*shared, *(f"f{f}w{i}" for i in range(60)), f"x{k}"])) for f in range(3) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes, members = jaccard.join(docs, rows=2)
+    out = members.join(classes.select("digest", "class_id", "n_links"), "digest").collect()
+    assert sorted(((r.doc_id, r.n_links, r.class_id) for r in out), key=repr) == brute(docs.collect())
+
+
 def test_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert got(docs) == brute(docs.collect())
