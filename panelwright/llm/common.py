@@ -117,11 +117,13 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     return members.unionByName(members.select(F.col("root").alias("node"), "root").distinct())
 
 
-def grouped(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
+def grouped(df: DataFrame, keys: list[str], run, schema: str, ranges: bool = False) -> DataFrame:
     """Like groupBy(keys).applyInArrow(run), but many small groups pass through one worker call.
 
     run(key values, list of record batches of one group) yields record batches. Keys are whole numbers without nulls.
-    Rows are dealt out by the keys and sorted by them, and one group at a time is in memory.
+    Rows are dealt out by the keys and sorted by them, and one group at a time is in memory. With `ranges`, Spark samples
+    the keys and cuts them into ranges of like numbers of rows, so that large groups don't meet in one task by chance; df
+    is read once more for the sample, so it should come from a table.
     """
     import numpy as np
     import pyarrow as pa
@@ -154,7 +156,8 @@ def grouped(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
         if rows:
             yield from pa.Table.from_batches(rows, kind).combine_chunks().to_batches()
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(gather, schema)
+    dealt = df.repartitionByRange(*keys) if ranges else df.repartition(*keys)
+    return dealt.sortWithinPartitions(*keys).mapInArrow(gather, schema)
 
 
 def others(docs: DataFrame, made: list[str]) -> list:

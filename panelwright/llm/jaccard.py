@@ -266,10 +266,11 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
                 out += [np.unique(h[border[d] : border[d + 1]]).tobytes() for d in range(n)]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("node", "root", "copies", "blocks")), pa.array(out, pa.binary())], names=["node", "root", "copies", "blocks", "grams"])
 
-    sets = rows_of.mapInArrow(grams, "node long, root long, copies long, blocks long, grams binary")
-    sets = sets.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    stored = materialize(rows_of.mapInArrow(grams, "node long, root long, copies long, blocks long, grams binary"))
+    sets = stored.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     sets = sets.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "copies", "block", "grams")
-    found = materialize(grouped(sets, ["root", "i", "j"], _verify(least), "node long, root long, links long"))
+    found = materialize(grouped(sets, ["root", "i", "j"], _verify(least), "node long, root long, links long", ranges=True))
+    discard(stored)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     whole = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     classed = texts.select("node", "digest", "first_id", "copies").join(whole, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
