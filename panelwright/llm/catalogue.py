@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 
 from .bpe import op6_byte_bpe
+from .counts import op11_token_counts
 from .jaccard import op9_ngram_jaccard_join
 from .language import op5_language_id
 from .licenses import op3_license_scans
@@ -28,6 +29,7 @@ def queries() -> dict:
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_token_counts": op11_token_counts,
         "pipeline": corpus_pipeline.run,
     }
 

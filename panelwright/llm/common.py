@@ -163,11 +163,11 @@ def others(docs: DataFrame, made: list[str]) -> list:
     return [docs[f"`{c}`"] for c in docs.columns if c.lower() not in taken]
 
 
-def text_map(docs: DataFrame, made: str, start) -> DataFrame:
+def text_map(docs: DataFrame, made: str, start, drop: tuple[str, ...] = ()) -> DataFrame:
     """docs with the columns of the schema string `made`, worked out from whole texts (null: empty) in Arrow batches.
 
     start() runs once a task and returns a function from a binary array of texts to the new columns as arrays. All other
-    columns travel in one struct, so none of their names can clash; columns named like new ones are replaced.
+    columns travel in one struct, so none of their names can clash; columns named like new ones are replaced, and those in `drop` go.
     """
     import pyarrow as pa
     from pyspark.sql.types import StructField, StructType
@@ -175,7 +175,7 @@ def text_map(docs: DataFrame, made: str, start) -> DataFrame:
     short_batches(docs.sparkSession)
     new = StructType.fromDDL(made)
     names = new.names
-    source = docs.select(F.struct(*others(docs, names), F.lit(0).alias("_")).alias("doc"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    source = docs.select(F.struct(*others(docs, [*names, *drop]), F.lit(0).alias("_")).alias("doc"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
         work = start()
