@@ -10,6 +10,7 @@ from .jaccard import op9_ngram_jaccard_join
 from .language import op5_language_id
 from .licenses import op3_license_scans
 from .lm import op10_lm_scoring
+from .merkle import OP12_SQL, op12_merkle_manifest
 from .packing import op7_best_fit_packing
 from .pii import op1_pii
 from .quality import op2_quality_rules
@@ -30,9 +31,10 @@ def queries() -> dict:
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_lm_scoring": op10_lm_scoring,
         "op11_token_counts": op11_token_counts,
+        "op12_merkle_manifest": op12_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op4_url_filters": OP4_SQL}
+    return {"op4_url_filters": OP4_SQL, "op12_merkle_manifest": OP12_SQL}
