@@ -14,6 +14,7 @@ from .merkle import OP12_SQL, op12_merkle_manifest
 from .packing import op7_best_fit_packing
 from .pii import op1_pii
 from .quality import op2_quality_rules
+from .repair import op13_conversation_repair
 from .urls import OP4_SQL, op4_url_filters
 from .vectors import op8_embedding_near_dedup
 
@@ -32,6 +33,7 @@ def queries() -> dict:
         "op10_lm_scoring": op10_lm_scoring,
         "op11_token_counts": op11_token_counts,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_conversation_repair": op13_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
 
