@@ -1,5 +1,4 @@
-"""Statistics as distributed jobs. Replicates are rows; draws come from a hash of (seed, replicate, key), so results don't
-depend on how rows are dealt out. Groups that a test needs whole travel as sums, ranks or counts wherever the test allows."""
+"""Statistics as distributed jobs. Groups that a test needs whole travel as sums, ranks or counts wherever the test allows."""
 
 from __future__ import annotations
 
@@ -16,7 +15,7 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
     """Correlation of average ranks over the rows that have both."""
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     ranked = both.withColumns({"_rx": average_rank(by, x), "_ry": average_rank(by, y)})
-    return ranked.groupBy(*by).agg(F.count("*").alias("n"), F.when((F.stddev_pop("_rx") > 0) & (F.stddev_pop("_ry") > 0), F.corr("_rx", "_ry")).alias("rho"))
+    return ranked.groupBy(*by).agg(F.count("*").alias("n"), (F.covar_pop("_rx", "_ry") / F.nullif(F.stddev_pop("_rx") * F.stddev_pop("_ry"), F.lit(0.0))).alias("rho"))
 
 
 def pooled_rho(df: DataFrame, x: str, y: str, by: Sequence[str], keep: Sequence[str] = (), least: int = 5) -> DataFrame:
@@ -26,43 +25,6 @@ def pooled_rho(df: DataFrame, x: str, y: str, by: Sequence[str], keep: Sequence[
     return groups.groupBy(*keep).agg(F.count("*").alias("n_groups"), mean.alias("pooled_rho"))
 
 
-def replicates(df: DataFrame, n: int) -> DataFrame:
-    return df.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(n))))
-
-
-def permuted(df: DataFrame, value: str, by: Sequence[str], key: Sequence[str], n: int, seed: int) -> DataFrame:
-    """n copies of df in which `value` is dealt out anew inside each group."""
-    order = Window.partitionBy(*by).orderBy(*key)
-    numbered = df.withColumn("_i", F.row_number().over(order))
-    values = numbered.select(*by, "_i", F.col(value).alias("_v"))
-    shuffle = Window.partitionBy("replicate", *by).orderBy(F.xxhash64(F.lit(seed), "replicate", *key), *key)
-    dealt = replicates(numbered.drop(value), n).withColumn("_i", F.row_number().over(shuffle))
-    return dealt.join(values, [*by, "_i"]).withColumnRenamed("_v", value).drop("_i")
-
-
-def p_value(observed: DataFrame, drawn: DataFrame, statistic: str, n: int) -> DataFrame:
-    """Two-sided share of replicates at least as far out, one added to both counts."""
-    far = drawn.crossJoin(F.broadcast(observed.select(F.col(statistic).alias("_seen")))).agg(F.count_if(F.abs(F.col(statistic)) >= F.abs(F.col("_seen")) - 1e-12).alias("_far"))
-    return observed.crossJoin(F.broadcast(far)).withColumn("p", (F.col("_far") + 1) / F.lit(n + 1)).drop("_far")
-
-
-def stratified_permutation(df: DataFrame, x: str, y: str, by: Sequence[str], key: Sequence[str], n: int = 10_000, seed: int = 1) -> DataFrame:
-    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, *key, x, y)
-    drawn = pooled_rho(permuted(both, x, by, key, n, seed), x, y, by, keep=["replicate"])
-    return p_value(pooled_rho(both, x, y, by), drawn, "pooled_rho", n)
-
-
-def bootstrap(df: DataFrame, statistic: Column, by: Sequence[str], key: Sequence[str], n: int = 2000, seed: int = 1, level: float = 0.95) -> DataFrame:
-    """Percentile interval of an aggregate over rows that are drawn with replacement inside each group."""
-    order = Window.partitionBy(*by).orderBy(*key)
-    numbered = df.withColumns({"_i": F.row_number().over(order), "_n": F.count("*").over(Window.partitionBy(*by))})
-    draws = replicates(numbered.select(*by, "_i", "_n"), n).withColumn("_pick", F.pmod(F.xxhash64(F.lit(seed), "replicate", *by, "_i"), F.col("_n")) + 1)
-    rows = draws.select("replicate", *by, F.col("_pick").alias("_i")).join(numbered.drop("_n"), [*by, "_i"])
-    values = rows.groupBy("replicate").agg(statistic.alias("_s"))
-    ends = F.percentile("_s", F.array(F.lit((1 - level) / 2), F.lit((1 + level) / 2)))
-    return values.agg(ends.alias("_e")).select(F.get("_e", F.lit(0)).alias("low"), F.get("_e", F.lit(1)).alias("high"))
-
-
 def _p_of_ranks(n: int, plus: float, ties: float, ranks: Sequence[float]) -> float | None:
     """Two-sided p of the signed-rank test from a group's numbers: exact by counting sign patterns up to 25 values (whose
     ranks are given), else normal with ties."""
@@ -81,7 +43,7 @@ def _p_of_ranks(n: int, plus: float, ties: float, ranks: Sequence[float]) -> flo
 
 
 def wilcoxon_signed_rank(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
-    """n and p of each group. Ranks, their sum and the tie term are columns; a group comes to Python as one row, with its
+    """n, the sum of positive ranks, the tie term, p and z (normal, with ties and continuity) of each group. Ranks, their sum and the tie term are columns; a group comes to Python as one row, with its
     ranks only where 25 at most are counted exactly."""
     some = df.where(F.col(x).isNotNull()).select(*by, F.col(x).alias("_x"), F.abs(x).alias("_a"), (F.col(x) == 0).alias("_zero"))
     group = [*by, "_zero"]
@@ -96,9 +58,11 @@ def wilcoxon_signed_rank(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
     def run(frames):
         for f in frames:
             f["p"] = [_p_of_ranks(*row) for row in zip(f["n"], f["plus"], f["ties"], f["ranks"])]
-            yield f[[*by, "n", "p"]]
+            yield f[[*by, "n", "plus", "ties", "p"]]
 
-    return sums.mapInPandas(run, "".join(f"{f.name} {f.dataType.simpleString()}, " for f in sums.select(*by).schema) + "n long, p double")
+    told = sums.mapInPandas(run, "".join(f"{f.name} {f.dataType.simpleString()}, " for f in sums.select(*by).schema) + "n long, plus double, ties double, p double")
+    off, spread = F.abs(F.col("plus") - F.col("n") * (F.col("n") + 1) / 4) - 0.5, F.sqrt(F.col("n") * (F.col("n") + 1) * (2 * F.col("n") + 1) / 24 - F.col("ties") / 48)
+    return told.withColumn("z", F.greatest(off, F.lit(0.0)) / F.nullif(spread, F.lit(0.0)))
 
 
 def pair_changes(df: DataFrame, entity: Sequence[str], period: str, value: str, first, last) -> DataFrame:
@@ -133,30 +97,6 @@ def wilson_interval(k: Column, n: Column, z: float = 1.959963984540054) -> tuple
     return (middle - half) / (1 + z * z / n), (middle + half) / (1 + z * z / n)
 
 
-#: Cumulative chances of 0, 1, 2, ... events of a Poisson distribution with mean 1.
-POISSON_1 = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676, 0.99998975, 0.99999887]
-
-
-def poisson_weight(*keys: Column | str, seed: int = 1) -> Column:
-    """How often a bootstrap replicate draws a unit: a Poisson(1) number from a hash, so units need no numbering and
-    every replicate is a sum that partial aggregation takes apart."""
-    u = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 52)) / float(1 << 52)
-    return sum((F.when(u >= c, 1).otherwise(0) for c in POISSON_1), F.lit(0))
-
-
-def cluster_bootstrap_share(df: DataFrame, cluster: str, flag: str, n: int = 2000, seed: int = 1, level: float = 0.95) -> DataFrame:
-    """Share of flagged rows with a percentile interval from drawing whole clusters, and the design effect: the variance
-    of the share over clusters against that of as many single rows."""
-    sums = df.groupBy(cluster).agg(F.count_if(flag).alias("k"), F.count("*").alias("m"))
-    drawn = replicates(sums, n).withColumn("_w", poisson_weight("replicate", cluster, seed=seed)).where("_w > 0")
-    shares = drawn.groupBy("replicate").agg((F.sum(F.col("_w") * F.col("k")) / F.sum(F.col("_w") * F.col("m"))).alias("_s"))
-    ends = shares.agg(F.percentile("_s", F.array(F.lit((1 - level) / 2), F.lit((1 + level) / 2))).alias("_e"), F.var_pop("_s").alias("_v"))
-    seen = sums.agg((F.sum("k") / F.sum("m")).alias("share"), F.sum("m").alias("n_rows"), F.count("*").alias("n_clusters"))
-    out = seen.crossJoin(F.broadcast(ends))
-    single = F.col("share") * (1 - F.col("share")) / F.col("n_rows")
-    return out.select("share", "n_rows", "n_clusters", F.get("_e", F.lit(0)).alias("low"), F.get("_e", F.lit(1)).alias("high"), (F.col("_v") / F.nullif(single, F.lit(0.0))).alias("design_effect"))
-
-
 def two_by_two(df: DataFrame, a: str, b: str, by: Sequence[str] = ()) -> DataFrame:
     both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     return both.groupBy(*by).agg(*(F.count_if((F.col(a) if i else ~F.col(a)) & (F.col(b) if j else ~F.col(b))).alias(f"n{i}{j}") for i in (1, 0) for j in (1, 0)))
@@ -187,10 +127,11 @@ def fisher_test(tables: DataFrame, by: Sequence[str]) -> DataFrame:
     return tables.select(*by, "n11", "n10", "n01", "n00").mapInPandas(run, tables.select(*by, "n11", "n10", "n01", "n00").schema.simpleString()[7:-1] + ", p double")
 
 
-def cliffs_delta(df: DataFrame, value: str, label: str, strata: Sequence[str]) -> DataFrame:
-    """Wins less losses over pairs inside each stratum, from rank sums: delta = 2 U / (n1 n0) - 1."""
-    u = mann_whitney_u(df, value, label, strata)
-    return u.select(*strata, "n1", "n0", (2 * F.col("u") / (F.col("n1") * F.col("n0")) - 1).alias("delta"))
+def cliffs_delta(df: DataFrame, value: str, label: str, strata: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """Wins less losses over pairs of each stratum, from rank sums; pairs are counted inside each group of `within`."""
+    u = mann_whitney_u(df, value, label, [*strata, *within])
+    pairs = F.col("n1") * F.col("n0")
+    return u.groupBy(*strata).agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), (F.sum(2 * F.col("u") - pairs) / F.sum(pairs)).alias("delta"))
 
 
 def mann_whitney_u(df: DataFrame, value: str, label: str, by: Sequence[str]) -> DataFrame:
@@ -212,41 +153,6 @@ def mann_whitney(df: DataFrame, value: str, label: str, by: Sequence[str]) -> Da
     return u.select(*by, "n1", "n0", "u", z.alias("z"), (2 * F.col("u") / (n1 * n0) - 1).alias("delta"))
 
 
-def cluster_permutation(df: DataFrame, cluster: str, period: str, label: str, flag: str, n: int = 2000, seed: int = 1) -> DataFrame:
-    """Does the flag go with the label? Whole label histories pass between clusters that have the same periods."""
-    history = df.groupBy(cluster).agg(F.array_join(F.array_sort(F.collect_list(period)), ",").alias("_pattern"), F.map_from_entries(F.collect_list(F.struct(period, label))).alias("_history"))
-    packed = permuted(history.select(cluster, "_pattern", F.struct("_history").alias("_h")), "_h", ["_pattern"], [cluster], n, seed)
-    drawn = packed.join(df.select(cluster, period, flag), cluster).withColumn("_label", F.try_element_at(F.col("_h._history"), F.col(period)))
-    diff = lambda c: F.avg(F.when(c, F.col(flag).cast("double"))) - F.avg(F.when(~c, F.col(flag).cast("double")))
-    return p_value(df.agg(diff(F.col(label)).alias("difference")), drawn.groupBy("replicate").agg(diff(F.col("_label")).alias("difference")), "difference", n)
-
-
-def label_permutation(df: DataFrame, entity: str, value: str, label: str, strata: Sequence[str], n: int = 2000, seed: int = 1) -> DataFrame:
-    """Mean Cliff's delta over strata against shuffled entity labels."""
-    labels = df.groupBy(entity).agg(F.first(label).alias(label))
-    mean = lambda d: d.agg(F.avg("delta").alias("mean_delta"))
-    # blocks of entities by a hash, some 64 in each: labels are dealt out inside a block, so no task holds all entities
-    blocks = F.broadcast(labels.agg(F.greatest(F.lit(1), F.floor(F.count("*") / 64)).alias("_blocks")))
-    blocked = labels.crossJoin(blocks).withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), entity), F.col("_blocks"))).drop("_blocks")
-    shuffled = permuted(blocked, label, ["_block"], [entity], n, seed).select("replicate", entity, label)
-    drawn = cliffs_delta(df.drop(label).join(shuffled, entity), value, label, ["replicate", *strata]).groupBy("replicate").agg(F.avg("delta").alias("mean_delta"))
-    return p_value(mean(cliffs_delta(df, value, label, strata)), drawn, "mean_delta", n)
-
-
-def bootstrap_delta(df: DataFrame, entity: str, value: str, label: str, strata: Sequence[str], n: int = 2000, seed: int = 1, level: float = 0.95) -> DataFrame:
-    """Mean Cliff's delta over strata with a percentile interval. Entities are drawn anew inside their label by Poisson
-    weights; a replicate's delta is a weighted count of wins, from running sums in each stratum."""
-    some = df.where(F.col(value).isNotNull() & F.col(label).isNotNull()).select(*strata, entity, F.col(value).alias("_v"), F.col(label).alias("_l"))
-    drawn = replicates(some, n).withColumn("_w", poisson_weight("replicate", entity, seed=seed)).where("_w > 0")
-    drawn = drawn.groupBy("replicate", *strata, "_v").agg(F.sum(F.when(F.col("_l"), F.col("_w")).otherwise(0)).alias("_one"), F.sum(F.when(F.col("_l"), 0).otherwise(F.col("_w"))).alias("_none"))
-    below = F.sum("_none").over(Window.partitionBy("replicate", *strata).orderBy("_v")) - F.col("_none") / 2
-    sums = drawn.withColumn("_u", F.col("_one") * below).groupBy("replicate", *strata).agg(F.sum("_u").alias("_u"), F.sum("_one").alias("_n1"), F.sum("_none").alias("_n0")).where("_n1 > 0 AND _n0 > 0")
-    means = sums.groupBy("replicate").agg(F.avg(2 * F.col("_u") / (F.col("_n1") * F.col("_n0")) - 1).alias("_d"))
-    ends = means.agg(F.percentile("_d", F.array(F.lit((1 - level) / 2), F.lit((1 + level) / 2))).alias("_e"))
-    seen = cliffs_delta(df, value, label, strata).agg(F.avg("delta").alias("mean_delta"))
-    return seen.crossJoin(F.broadcast(ends)).select("mean_delta", F.get("_e", F.lit(0)).alias("low"), F.get("_e", F.lit(1)).alias("high"))
-
-
 def benjamini_hochberg(df: DataFrame, p: str, out: str = "adjusted_p") -> DataFrame:
     """Adjusted p of a family of tests of any size. Ranks and running minima are taken inside ranges of p, each in a task of
     its own, and then over the ranges, which are few: sixteen for each halving of p."""

@@ -143,26 +143,6 @@ def test_adjusted_p_is_brute_force(spark):
         assert got[i] == pytest.approx(min(1.0, min(raw[w] for w in raw if w >= v)))
 
 
-def test_resampling_finds_planted_effects_and_not_their_absence(spark):
-    rows = [(e, t, e % 2 == 0, float(e % 2 == 0) * 5 + (e * 7 + t) % 10, (e * 31 + t * 17) % 101 / 10) for e in range(80) for t in range(3)]
-    df = spark.createDataFrame(rows, "e int, t int, l boolean, x double, y double")
-    far, near = (stats.bootstrap_delta(df, "e", v, "l", ["t"], 300).first() for v in ("x", "y"))
-    seen = [stats.cliffs_delta(df, v, "l", ["t"]).agg(F.avg("delta")).first()[0] for v in ("x", "y")]
-    assert far.mean_delta == pytest.approx(seen[0]) and far.low < seen[0] < far.high and far.low > 0.2
-    assert near.low < 0 < near.high
-    assert stats.label_permutation(df, "e", "x", "l", ["t"], 199).first().p == pytest.approx(1 / 200)
-    assert stats.label_permutation(df, "e", "y", "l", ["t"], 199).first().p > 0.05
-    middle = stats.bootstrap(df, F.avg("y"), ["l"], ["e", "t"], 300).first()
-    assert middle.low < df.agg(F.avg("y")).first()[0] < middle.high and middle.high - middle.low < 1.5
-
-
-def test_whole_history_permutation(spark):
-    rows = [(c, t, (c + t) % 2 == 0, (c + t) % 2 == 0) for c in range(30) for t in range(4)] + [(c, t, c % 2 == 0, (c * 13 + t * 5) % 7 < 3) for c in range(100, 130) for t in range(4)]
-    df = spark.createDataFrame(rows, "c int, t int, l boolean, f boolean")
-    assert stats.cluster_permutation(df.where("c < 100"), "c", "t", "l", "f", 99).first().p < 0.05
-    assert stats.cluster_permutation(df.where("c >= 100"), "c", "t", "l", "f", 99).first().p > 0.05
-
-
 def test_keys_move_between_partitions_and_interrupted_runs_are_made_good(spark, tmp_path):
     from panelwright.sources import files
 
@@ -202,24 +182,6 @@ def test_instances(spark):
     assert [(r.period_type, r.dimension_key) for r in got["contexts"].collect()] == [("forever", "")]
 
 
-def test_permutation_finds_a_planted_effect_and_not_its_absence(spark):
-    rows = [(g, i, float(i), float(i % 4 + i)) for g in range(4) for i in range(8)]
-    df = spark.createDataFrame(rows, "g int, i int, x double, y double")
-    runs = [stats.stratified_permutation(df.repartition(k), "x", "y", ["g"], ["i"], 99, 7).first() for k in (1, 8)]
-    assert runs[0].p == pytest.approx(0.01) and runs[0] == runs[1]
-    null = df.withColumn("y", F.pmod(F.xxhash64("g", "i"), F.lit(1000)).cast("double"))
-    assert stats.stratified_permutation(null, "x", "y", ["g"], ["i"], 99, 7).first().p > 0.05
-
-
-def test_cluster_bootstrap_sees_clusters(spark):
-    rows = [(c, c % 2 == 0) for c in range(60) for _ in range(10)]  # all rows of a cluster agree
-    runs = [stats.cluster_bootstrap_share(spark.createDataFrame(rows, "c int, f boolean").repartition(k), "c", "f", 400).first() for k in (1, 8)]
-    assert list(runs[0]) == pytest.approx(list(runs[1])) and runs[0].share == 0.5 and runs[0].low < 0.45 < 0.55 < runs[0].high
-    assert 6 < runs[0].design_effect < 14  # ten rows a cluster
-    w = spark.range(20_000).select(stats.poisson_weight("id").alias("w")).agg(F.avg("w"), F.var_pop("w")).first()
-    assert w[0] == pytest.approx(1, abs=0.03) and w[1] == pytest.approx(1, abs=0.06)
-
-
 def test_cliffs_delta_equals_pairs(spark):
     rows = [("s", v, b) for v, b in ((1.0, True), (2.0, True), (2.0, False), (0.0, False), (3.0, True))]
     got = stats.cliffs_delta(spark.createDataFrame(rows, "s string, v double, l boolean"), "v", "l", ["s"]).first()
