@@ -36,6 +36,16 @@ def levels(df: DataFrame, blocks: Sequence[tuple[str, Column, Column | None]], a
     return fanned.groupBy(F.col("_block.level").alias("level"), F.col("_block.level_key").alias("level_key")).agg(*aggregates)
 
 
+def fanned_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]], level: str = "level") -> DataFrame:
+    """Each row once for each grouping set: keys outside the set become null, and level says which (a bit for each key, as
+    grouping_id does), from one scan."""
+    rows = []
+    for own in sets:
+        bits = sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in own)
+        rows.append(F.struct(*(F.col(c).alias(c) if c in own else F.lit(None).cast(df.schema[c].dataType).alias(c) for c in keys), F.lit(bits).cast("long").alias(level)))
+    return df.withColumn("_set", F.explode(F.array(*rows))).select(*(c for c in df.columns if c not in keys), "_set.*")
+
+
 def suppress_small_groups(df: DataFrame, statistics: Sequence[str], count: str, least: int = 5, reason: str = "null_reason") -> DataFrame:
     """Statistics of groups with fewer than `least` entities become null, with a reason; counts stay."""
     small = F.col(count) < least

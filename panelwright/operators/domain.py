@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean
+from .ordering import quantiles, same
 from .window import pick_one
 
 
@@ -125,7 +126,9 @@ def unit_plausibility(df: DataFrame, entity: str, period: str, group: Sequence[s
     times is implausible, `tiny` of it or less points to larger units."""
     own = median_of_others(df, [entity], period, value, "own_reference")
     # one row for each group, joined back: no row carries its peers
-    groups = df.groupBy(*group).agg(F.median(value).alias("peer_reference"), F.countDistinct(F.when(F.col(value).isNotNull(), F.col(entity))).alias("n_peers"))
+    middle = quantiles(df, group, value, [0.5]).select(*group, F.get("q", F.lit(0)).alias("peer_reference"))
+    groups = df.groupBy(*group).agg(F.countDistinct(F.when(F.col(value).isNotNull(), F.col(entity))).alias("n_peers"))
+    groups = middle.join(groups, same(middle, groups, group)).select(*(middle[c] for c in group), "peer_reference", "n_peers")
     keys = [own[c].eqNullSafe(groups[c]) for c in group]
     peers = own.join(groups, keys[0] if len(keys) == 1 else reduce(lambda a, b: a & b, keys), "left").select(*(own[c] for c in own.columns), "peer_reference", "n_peers")
     reference = F.coalesce("own_reference", F.when(F.col("n_peers") >= least_peers, F.col("peer_reference")))
@@ -166,8 +169,10 @@ def shares_by_code(df: DataFrame, entity: str, code: str, value: str) -> DataFra
 def peer_benchmark(df: DataFrame, group: Sequence[str], kpis: Sequence[str]) -> DataFrame:
     """Number, quartiles and range of each measure in each group."""
     long = df.unpivot(list(group), list(kpis), "kpi", "value").where("value is not null")
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = long.groupBy(*group, "kpi").agg(F.count("*").alias("n"), q.alias("_q"), F.min("value").alias("low"), F.max("value").alias("high"))
+    q = quantiles(long, [*group, "kpi"], "value", [0.25, 0.5, 0.75])
+    ends = long.groupBy(*group, "kpi").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    keys = [*group, "kpi"]
+    out = q.join(ends, same(q, ends, keys)).select(*(q[c] for c in keys), "n", F.col("q").alias("_q"), "low", "high")
     return out.select(*group, "kpi", "n", *(F.get("_q", F.lit(i)).alias(c) for i, c in enumerate(("p25", "median", "p75"))), "low", "high")
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import any_large, quantiles
+
 KINDS = {"ratio_of_sums", "median", "average", "share", "count", "count_distinct"}
 
 
@@ -71,7 +74,13 @@ def validate_specs(specs: Sequence[MetricSpec]) -> None:
 def query_metrics(df: DataFrame, specs: Sequence[MetricSpec], by: Sequence[str], least: int | None = None) -> DataFrame:
     """All metrics by dimensions in one aggregation; gated ones are null where the gate's count is under `least`."""
     validate_specs(specs)
-    out = df.groupBy(*by).agg(*(s.compile() for s in specs))
+    medians = [s for s in specs if s.kind == "median"]
+    large = bool(medians) and any_large(df, by)
+    out = df.groupBy(*by).agg(F.count("*").alias("_rows"), *(s.compile() for s in specs if not (large and s.kind == "median")))
+    for s in medians if large else ():  # a large group's values don't fit into one aggregate
+        m = quantiles(df, by, s.column, [0.5]).select(*(F.col(c).alias(f"_m{i}") for i, c in enumerate(by)), (F.get("q", F.lit(0)) * (100.0 if s.percent else 1.0)).alias(s.name))
+        out = out.join(m, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_m{i}")) for i, c in enumerate(by)), F.lit(True)), "left").drop(*(f"_m{i}" for i in range(len(by))))
+    out = out.select(*by, *(s.name for s in specs))
     if least is None:
         return out
     return out.withColumns({s.name: F.when(F.col(s.gate) >= least, F.col(s.name)) for s in specs if s.gate})

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..sources.files import workspace
-from .stats import cliffs_delta, pooled_rho, spearman
-from .window import average_rank
+from .stats import cliffs_delta, pooled_rho, spearman, with_ranks
 
 #: Draws are below this prime; a number added between two powers.
 P, STEP = (1 << 31) - 1, 40692
@@ -238,7 +237,7 @@ def stratified_permutation(df: DataFrame, x: str, y: str, by: Sequence[str], key
     different, so there each replicate has rows of its own, and places are counted over ranges of draws: no task sorts a group.
     """
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(key).cast("long").alias("_key"), x, y)
-    ranked = both.withColumns({"_rx": average_rank(by, x), "_ry": average_rank(by, y), "_k": number("_key", seed)}).drop(x, y)
+    ranked = with_ranks(both, by, {"_rx": x, "_ry": y}).withColumn("_k", number("_key", seed)).drop(x, y)
     whole = ranked.groupBy(*by).agg(F.count("*").alias("_n"), F.avg("_rx").alias("_mx"), F.avg("_ry").alias("_my"), F.stddev_pop("_rx").alias("_sx"), F.stddev_pop("_ry").alias("_sy"))
     whole = whole.where((F.col("_n") >= least) & (F.col("_sx") > 0) & (F.col("_sy") > 0))
     # the pooled correlation of a replicate is a sum over rows of its rank of x times a number of the row, less a constant
@@ -268,7 +267,7 @@ def label_permutation(df: DataFrame, entity: str, value: str, label: str, strata
     """Cliff's delta counted inside strata (wins less losses over pairs), and its p when labels pass between entities, all of
     them or those of one group of `within`. An entity's label is one in all its rows; strata are few (years)."""
     there = df.where(F.col(value).isNotNull() & F.col(label).isNotNull()).select(*dict.fromkeys([*within, *strata]), entity, F.col(value).alias("_v"), F.col(label).alias("_l"))
-    ranked = there.withColumns({"_r": average_rank(strata, "_v"), "_s": F.struct(*strata)})
+    ranked = with_ranks(there, strata, {"_r": "_v"}).withColumn("_s", F.struct(*strata))
     sizes = ranked.groupBy("_s").agg(F.count("*").alias("size")).withColumn("s", (F.row_number().over(Window.orderBy("_s")) - 1).cast("long"))
     places = F.broadcast(sizes.agg(F.count("*").alias("_places")))  # one row
     own = ranked.join(sizes.select("_s", "s"), "_s").groupBy(*within, entity).agg(F.first("_l").alias("_l"), F.map_from_entries(F.collect_list(F.struct("s", "_r"))).alias("_m")).crossJoin(places)

@@ -8,13 +8,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .window import average_rank
+from .ordering import any_large, average_rank, with_places
+
+
+def with_ranks(df: DataFrame, by: Sequence[str], ranks: dict[str, str]) -> DataFrame:
+    """df with the average rank of each value in its group, for groups of any size."""
+    large = any_large(df, by)
+    for out, value in ranks.items():
+        df = with_places(df, by, value, "_below", "_ties", "_size", large).withColumn(out, average_rank("_below", "_ties")).drop("_below", "_ties", "_size")
+    return df
 
 
 def spearman(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
     """Correlation of average ranks over the rows that have both."""
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = both.withColumns({"_rx": average_rank(by, x), "_ry": average_rank(by, y)})
+    ranked = with_ranks(both, by, {"_rx": x, "_ry": y})
     return ranked.groupBy(*by).agg(F.count("*").alias("n"), (F.covar_pop("_rx", "_ry") / F.nullif(F.stddev_pop("_rx") * F.stddev_pop("_ry"), F.lit(0.0))).alias("rho"))
 
 
@@ -47,8 +55,8 @@ def wilcoxon_signed_rank(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
     ranks only where 25 at most are counted exactly."""
     some = df.where(F.col(x).isNotNull()).select(*by, F.col(x).alias("_x"), F.abs(x).alias("_a"), (F.col(x) == 0).alias("_zero"))
     group = [*by, "_zero"]
-    tied = F.count("*").over(Window.partitionBy(*group, "_a"))
-    ranked = some.withColumns({"_r": average_rank(group, "_a"), "_t": tied * tied - 1, "_n": F.count("*").over(Window.partitionBy(*group))})
+    placed = with_places(some, group, "_a", "_below", "_ties", "_n")
+    ranked = placed.withColumns({"_r": average_rank("_below", "_ties"), "_t": F.col("_ties") * F.col("_ties") - 1})
     use = ~F.col("_zero")
     sums = ranked.groupBy(*by).agg(
         F.count_if(use).alias("n"), F.coalesce(F.sum(F.when(use & (F.col("_x") > 0), F.col("_r"))), F.lit(0.0)).alias("plus"),
@@ -135,7 +143,7 @@ def cliffs_delta(df: DataFrame, value: str, label: str, strata: Sequence[str], w
 
 
 def mann_whitney_u(df: DataFrame, value: str, label: str, by: Sequence[str]) -> DataFrame:
-    ranked = df.where(F.col(value).isNotNull() & F.col(label).isNotNull()).withColumn("_r", average_rank(by, value))
+    ranked = with_ranks(df.where(F.col(value).isNotNull() & F.col(label).isNotNull()), by, {"_r": value})
     sums = ranked.groupBy(*by).agg(F.count_if(label).alias("n1"), F.count_if(~F.col(label)).alias("n0"), F.sum(F.when(F.col(label), F.col("_r"))).alias("_s"))
     return sums.where("n1 > 0 AND n0 > 0").withColumn("u", F.col("_s") - F.col("n1") * (F.col("n1") + 1) / 2).drop("_s")
 

@@ -3,33 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import with_places
+
 
 def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1, rank: str = "_nth") -> DataFrame:
     """The first k rows of each key."""
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= k)
 
 
-def group_percentile(df: DataFrame, group: Sequence[str], value: str, higher_is_better: bool = True, least: int = 5) -> DataFrame:
+def group_percentile(df: DataFrame, group: Sequence[str], value: str, higher_is_better: bool = True, least: int = 5, large: bool | None = None) -> DataFrame:
     """0 to 100, 100 the best, among the rows of a group that have a value; null with a reason in small groups."""
-    has = F.col(value).isNull()
-    order = F.col(value).asc_nulls_last() if higher_is_better else F.col(value).desc_nulls_last()
-    w = Window.partitionBy(*group, has)
-    n = F.count(value).over(Window.partitionBy(*group))
-    shown = (~has) & (n >= least)
-    return df.withColumns({
-        "group_n": n,
-        "percentile": F.when(shown, 100 * F.percent_rank().over(w.orderBy(order))),
-        "percentile_null_reason": F.when(has, "no value").when(n < least, f"group under {least}"),
-    })
-
-
-def average_rank(group: Sequence[str], value: str) -> Column:
-    """Ties share the mean of their ranks."""
-    return F.rank().over(Window.partitionBy(*group).orderBy(value)) + (F.count("*").over(Window.partitionBy(*group, value)) - 1) / 2.0
+    placed = with_places(df, group, value, "_below", "_ties", "_size", large)
+    keys = [F.col(c) for c in group]
+    n = F.coalesce("_size", F.lit(0).cast("long"))
+    if group:  # rows without a value have their group's number too
+        sizes = df.groupBy(*group).agg(F.count(value).alias("group_n")).select(*(F.col(c).alias(f"_g{i}") for i, c in enumerate(group)), "group_n")
+        placed = placed.join(sizes, reduce(lambda a, b: a & b, (k.eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys))))
+        n = F.col("group_n")
+    has = F.col(value).isNotNull()
+    worse = F.col("_below") if higher_is_better else F.col("_size") - F.col("_below") - F.col("_ties")
+    share = F.coalesce(100.0 * worse / F.nullif(F.col("_size") - 1, F.lit(0)), F.lit(0.0))
+    return placed.select(*df.columns, n.alias("group_n"), F.when(has & (n >= least), share).alias("percentile"), F.when(~has, "no value").when(n < least, f"group under {least}").alias("percentile_null_reason"))
 
 
 def value_range(value: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..operators import aggregate as agg
 from ..operators import domain as dom
+from ..operators import stats
 from ..operators import window as win
 from .bindings import CUSTOMER_YEAR, SUPPLIER_YEAR, customer_year, r6, supplier_year, table
 from .questions import _PAIRS, _RESTATED_SQL, _SHARES, _restated, restatement_pairs
@@ -307,7 +308,7 @@ SELECT period, round(corr(ra, rb), 6) AS spearman, count(*) FILTER (WHERE abs(ra
 def j23(spark, sf):
     c = _components(spark, sf)
     s = c.select("entity", "period", *(F.round(clean.reweighted_mean([F.col(x) for x in w], list(w.values()), 1), 9).alias(n) for n, w in (("a", _PARTS), ("b", _OTHER))))
-    k = s.withColumns({"ra": win.average_rank(["period"], "a"), "rb": win.average_rank(["period"], "b")})
+    k = stats.with_ranks(s, ["period"], {"ra": "a", "rb": "b"})
     move = F.abs(F.col("ra") - F.col("rb"))
     return k.groupBy("period").agg(r6(F.corr("ra", "rb")).alias("spearman"), F.count_if(move >= 5).alias("movers"), F.max(move).alias("largest_move"))
 

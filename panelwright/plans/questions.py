@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean
 from ..operators import aggregate as agg
+from ..operators import ordering as order
 from ..operators import window as win
 from ..operators.domain import classify_restatement
 from .bindings import CUSTOMER_YEAR, SUPPLIER_YEAR, customer_year, r6, supplier_year
@@ -206,8 +207,11 @@ def l14(spark, sf):
 @query("l15_grouping_sets_median", SUPPLIER_YEAR + """, m AS (SELECT sector, ownership, period, CAST(grouping(sector) * 2 + grouping(ownership) AS BIGINT) AS level, count(DISTINCT entity) AS n_entities, median(renewable_share) AS mid FROM p GROUP BY GROUPING SETS ((period, sector, ownership), (period, sector), (period, ownership), (period)))
 SELECT sector, ownership, period, level, n_entities, CASE WHEN n_entities >= 5 THEN round(mid, 6) END AS median_share, CASE WHEN n_entities < 5 THEN 'fewer than 5' END AS null_reason FROM m""")
 def l15(spark, sf):
-    s, o, y = F.col("sector"), F.col("ownership"), F.col("period")
-    m = supplier_year(spark, sf).groupingSets([[y, s, o], [y, s], [y, o], [y]], y, s, o).agg((F.grouping("sector").cast("long") * 2 + F.grouping("ownership")).cast("long").alias("level"), F.countDistinct("entity").alias("n_entities"), r6(F.median("renewable_share")).alias("median_share"))
+    p = supplier_year(spark, sf).select("entity", "period", "sector", "ownership", "renewable_share")
+    keys = ["period", "sector", "ownership"]
+    fanned = agg.fanned_sets(p, keys, [keys, keys[:2], keys[::2], keys[:1]])
+    m = fanned.groupBy(*keys, "level").agg(F.countDistinct("entity").alias("n_entities"))
+    m = order.joined_medians(m, fanned, [*keys, "level"], "renewable_share", "median_share").withColumn("median_share", r6("median_share"))
     return agg.suppress_small_groups(m, ["median_share"], "n_entities")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
+from ..operators import ordering as order
 from ..operators import window as win
 from .bindings import CUSTOMER_YEAR, SUPPLIER_YEAR, cents, customer_year, r6, supplier_year, table
 from .registry import query
@@ -104,8 +105,8 @@ def c12(spark, sf):
 def c13(spark, sf):
     p = supplier_year(spark, sf).select("entity", "period", "sector", "turnover")
     # one row for each group, joined back: no row carries its peers
-    peers = p.groupBy("sector", "period").agg(F.median("turnover").alias("_m"), F.countDistinct("entity").alias("_n"))
-    return p.join(peers, ["sector", "period"]).select("entity", "period", r6("_m").alias("peer_median"), (F.col("_n") >= 3).alias("enough_peers"))
+    peers = p.groupBy("sector", "period").agg(F.countDistinct("entity").alias("_n"))
+    return order.with_medians(p, ["sector", "period"], "turnover", "_m").join(peers, ["sector", "period"]).select("entity", "period", r6("_m").alias("peer_median"), (F.col("_n") >= 3).alias("enough_peers"))
 
 
 @query("c14_scalar_subquery", "SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)")
@@ -166,8 +167,8 @@ def d05(spark, sf):
 
 @query("d06_median_and_quantiles", "SELECT l_suppkey, round(median(l_extendedprice), 6) AS p50, round(quantile_cont(l_extendedprice, 0.25), 6) AS p25, round(quantile_cont(l_extendedprice, 0.75), 6) AS p75 FROM lineitem GROUP BY 1")
 def d06(spark, sf):
-    q = F.percentile("l_extendedprice", F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75)))
-    return table(spark, sf, "lineitem").groupBy("l_suppkey").agg(q.alias("q")).select("l_suppkey", *(r6(F.get("q", F.lit(i))).alias(n) for i, n in enumerate(("p50", "p25", "p75"))))
+    x = table(spark, sf, "lineitem").select("l_suppkey", "l_extendedprice")
+    return order.quantiles(x, ["l_suppkey"], "l_extendedprice", [0.5, 0.25, 0.75]).select("l_suppkey", *(r6(F.get("q", F.lit(i))).alias(n) for i, n in enumerate(("p50", "p25", "p75"))))
 
 
 @query("d07_mode", "SELECT c_nationkey, seg AS usual_segment FROM (SELECT c_nationkey, c_mktsegment AS seg, row_number() OVER (PARTITION BY c_nationkey ORDER BY count(*) DESC, c_mktsegment) AS k FROM customer GROUP BY c_nationkey, c_mktsegment) WHERE k = 1")
@@ -209,8 +210,10 @@ def d13(spark, sf):
 
 @query("d14_grouping_sets", "SELECT l_returnflag, l_linestatus, CAST(grouping(l_returnflag) * 2 + grouping(l_linestatus) AS BIGINT) AS level, count(*) AS n, round(median(l_extendedprice), 6) AS mid FROM lineitem GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_returnflag), (l_linestatus), ())")
 def d14(spark, sf):
-    f, s = F.col("l_returnflag"), F.col("l_linestatus")
-    return table(spark, sf, "lineitem").groupingSets([[f, s], [f], [s], []], f, s).agg(F.grouping_id().alias("level"), F.count("*").alias("n"), r6(F.median("l_extendedprice")).alias("mid"))
+    x = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice")
+    fanned = agg.fanned_sets(x, ["l_returnflag", "l_linestatus"], [("l_returnflag", "l_linestatus"), ("l_returnflag",), ("l_linestatus",), ()])
+    counts = fanned.groupBy("l_returnflag", "l_linestatus", "level").agg(F.count("*").alias("n"))
+    return order.joined_medians(counts, fanned, ["l_returnflag", "l_linestatus", "level"], "l_extendedprice", "mid").withColumn("mid", r6("mid"))
 
 
 @query("d15_total_row", "SELECT coalesce(l_returnflag, 'All') AS l_returnflag, count(*) AS n, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY ROLLUP (l_returnflag)")
@@ -268,8 +271,8 @@ def e01(spark, sf):
 
 @query("e02_rank_with_nulls_apart", SUPPLIER_YEAR + "SELECT entity, period, CASE WHEN emissions IS NOT NULL THEN CAST(rank() OVER (PARTITION BY period, emissions IS NULL ORDER BY emissions DESC) AS INTEGER) END AS place FROM p")
 def e02(spark, sf):
-    w = Window.partitionBy("period", F.col("emissions").isNull()).orderBy(F.col("emissions").desc())
-    return supplier_year(spark, sf).select("entity", "period", F.when(F.col("emissions").isNotNull(), F.rank().over(w)).alias("place"))
+    p = supplier_year(spark, sf).select("entity", "period", "emissions")
+    return order.with_places(p, ["period"], "emissions").select("entity", "period", order.descending_rank().cast("int").alias("place"))
 
 
 @query("e03_dense_rank_flag", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, dense_rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC) = 1 AS is_largest FROM lineitem")
@@ -285,8 +288,9 @@ def e04(spark, sf):
 
 @query("e05_ntile", CUSTOMER_YEAR + "SELECT entity, period, CASE WHEN emissions IS NOT NULL THEN CAST(ntile(3) OVER (PARTITION BY sector, period, emissions IS NULL ORDER BY turnover_cents, entity) AS INTEGER) END AS band FROM p")
 def e05(spark, sf):
-    w = Window.partitionBy("sector", "period", F.col("emissions").isNull()).orderBy("turnover_cents", "entity")
-    return customer_year(spark, sf).select("entity", "period", F.when(F.col("emissions").isNotNull(), F.ntile(3).over(w)).alias("band"))
+    p = customer_year(spark, sf).select("entity", "period", "sector", F.when(F.col("emissions").isNotNull(), F.struct("turnover_cents", "entity")).alias("_o"))
+    placed = order.with_places(p, ["sector", "period"], "_o")
+    return placed.select("entity", "period", order.ntile(3, F.col("n_below"), F.col("n_group")).alias("band"))
 
 
 @query("e06_lag_lead", CUSTOMER_YEAR + "SELECT entity, period, lag(turnover) OVER w AS before, lead(turnover) OVER w AS after FROM p WINDOW w AS (PARTITION BY entity ORDER BY period)")
@@ -336,8 +340,7 @@ def e13(spark, sf):
 @query("e14_median_over", SUPPLIER_YEAR + "SELECT entity, period, turnover >= median(turnover) OVER (PARTITION BY sector, period) AS upper_half FROM p")
 def e14(spark, sf):
     p = supplier_year(spark, sf).select("entity", "period", "sector", "turnover")
-    middle = p.groupBy("sector", "period").agg(F.median("turnover").alias("_m"))
-    return p.join(middle, ["sector", "period"]).select("entity", "period", (F.col("turnover") >= F.col("_m")).alias("upper_half"))
+    return order.with_medians(p, ["sector", "period"], "turnover", "_m").select("entity", "period", (F.col("turnover") >= F.col("_m")).alias("upper_half"))
 
 
 @query("e15_filter_on_window", SUPPLIER_YEAR + "SELECT entity, period FROM p QUALIFY row_number() OVER (PARTITION BY period ORDER BY turnover_cents DESC, entity) <= 10")
@@ -353,7 +356,7 @@ def e16(spark, sf):
 
 @query("e17_average_rank", "SELECT p_partkey, rank() OVER (PARTITION BY p_brand ORDER BY p_size) + (count(*) OVER (PARTITION BY p_brand, p_size) - 1) / 2.0::DOUBLE AS mean_rank FROM part")
 def e17(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", win.average_rank(["p_brand"], "p_size").alias("mean_rank"))
+    return order.with_places(table(spark, sf, "part").select("p_partkey", "p_brand", "p_size"), ["p_brand"], "p_size").select("p_partkey", order.average_rank().alias("mean_rank"))
 
 
 @query("e18_rank_over_aggregate", "SELECT o_custkey, n, CAST(rank() OVER (ORDER BY n DESC) AS INTEGER) AS place FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)")
