@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +29,30 @@ def with_total(df: DataFrame, key: str, aggregates: Sequence[Column], total: str
     return df.withColumn(key, F.explode(F.array(F.col(key), F.lit(total)))).groupBy(key).agg(*aggregates)
 
 
-def levels(df: DataFrame, blocks: Sequence[tuple[str, Column, Column | None]], aggregates: Sequence[Column]) -> DataFrame:
-    """Several summaries from one scan. blocks: level, key, and which rows belong to it (None: all)."""
-    rows = [F.when(cond if cond is not None else F.lit(True), F.struct(F.lit(level).alias("level"), key.cast("string").alias("level_key"))) for level, key, cond in blocks]
-    fanned = df.withColumn("_block", F.explode(F.filter(F.array(*rows), lambda b: b.isNotNull())))
-    return fanned.groupBy(F.col("_block.level").alias("level"), F.col("_block.level_key").alias("level_key")).agg(*aggregates)
+#: Entities in a bitmap.
+BITS = 32_768
+
+
+def roll_up(df: DataFrame, fine: Sequence[str], levels: Sequence[tuple[Mapping[str, Column], Column | None]], sums: Mapping[str, Column], entity: str | None = None, distinct: Mapping[str, Column | None] = {}) -> DataFrame:  # noqa: B006
+    """Summaries at several levels, with exact numbers of distinct entities, from one aggregate.
+
+    levels: the columns of a level's rows (over the fine columns), and which fine rows belong to it (None: all). sums: aggregates
+    that may be summed again (counts and sums). distinct: which rows' entities count (None: all); entities are whole numbers.
+
+    Rows are read once and aggregated by the fine columns and blocks of BITS entities, where an entity is a bit of a bitmap;
+    only these aggregates are dealt out to levels, and bitmaps of a block are joined by OR. What is shuffled are bitmaps of
+    BITS / 8 bytes for each fine group and block that has a row, so entity numbers should lie densely, and fine groups
+    should have many rows a block.
+    """
+    block = F.shiftright(F.col(entity).cast("long"), 15) if entity else F.lit(0)
+    place = F.pmod(F.col(entity).cast("long"), F.lit(BITS)) if entity else None
+    marks = {n: F.bitmap_construct_agg(place if c is None else F.when(c, place)) for n, c in distinct.items()}
+    one = df.groupBy(*fine, block.alias("_block")).agg(*(c.alias(f"_s_{n}") for n, c in sums.items()), *(c.alias(f"_d_{n}") for n, c in marks.items()))
+    rows = [F.when(cond if cond is not None else F.lit(True), F.struct(*(c.alias(n) for n, c in keys.items()))) for keys, cond in levels]
+    names = list(levels[0][0])
+    fanned = one.select(F.explode(F.filter(F.array(*rows), lambda b: b.isNotNull())).alias("_l"), "_block", *(f"_s_{n}" for n in sums), *(f"_d_{n}" for n in distinct)).select("_l.*", "_block", *(f"_s_{n}" for n in sums), *(f"_d_{n}" for n in distinct))
+    blocks = fanned.groupBy(*names, "_block").agg(*(F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums), *(F.bitmap_or_agg(f"_d_{n}").alias(f"_d_{n}") for n in distinct))
+    return blocks.groupBy(*names).agg(*(F.sum(f"_s_{n}").alias(n) for n in sums), *(F.sum(F.bitmap_count(f"_d_{n}")).alias(n) for n in distinct))
 
 
 def fanned_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]], level: str = "level") -> DataFrame:

@@ -5,25 +5,67 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from .ordering import quantiles, same
+from .ordering import kept, quantiles, same, with_places
 from .window import pick_one
 
 
-def resolve_aliases(rows: DataFrame, name: str, aliases: DataFrame, key: str) -> DataFrame:
-    """The canonical name of the best alias whose pattern the name holds: by priority, then the longest pattern.
+#: Patterns in one automaton at most, some 100 MB in a worker at 30 letters each.
+PATTERNS = 200_000
 
-    aliases is a rule table that people write (pattern, name, priority); it comes to the driver once, and each row tests
-    its patterns in order, so no join multiplies rows.
+
+def _best_alias(rules: list[tuple[str, str]]):
+    """Of each name, the place of the first of the rules (pattern, label) whose pattern it holds."""
+    first: dict[str, int] = {}
+    for i, (pattern, _) in enumerate(rules):
+        first.setdefault(pattern, i)
+
+    @F.pandas_udf("long")
+    def best(names: pd.Series) -> pd.Series:
+        import ahocorasick
+
+        always = first.get("", len(rules))
+        automaton = ahocorasick.Automaton()
+        for pattern, i in first.items():
+            if pattern:
+                automaton.add_word(pattern, i)
+        automaton.make_automaton()
+        seek = automaton.iter if len(automaton) else lambda _: ()
+        out = [None if x is None or x != x else min((i for _, i in seek(x)), default=len(rules)) for x in names]
+        return pd.Series([None if i is None or min(i, always) == len(rules) else min(i, always) for i in out], dtype="Int64")
+
+    return best
+
+
+def resolve_aliases(rows: DataFrame, name: str, aliases: DataFrame, most: int = PATTERNS) -> DataFrame:
+    """rows with the canonical name (null: none) of the best alias whose pattern the lower-cased name holds: by priority, then the
+    longest pattern, then the pattern itself.
+
+    aliases (pattern, name, priority; null patterns match nothing) become an Aho-Corasick automaton, which finds all patterns of
+    a name in one pass over it. They are counted before they are shipped: of more than `most`, the first so many in that order
+    make the first automaton, and names that it doesn't know pass on to the next, so what a task holds is bounded.
     """
-    rules = [(r.pattern, r.name) for r in sorted(aliases.collect(), key=lambda r: (r.priority, -len(r.pattern), r.pattern))]
-    hit = F.lit(None).cast("string")
-    for pattern, label in reversed(rules):
-        hit = F.when(F.contains(F.lower(F.col(name)), F.lit(pattern)), F.lit(label)).otherwise(hit)
-    return rows.withColumn("name", hit)
+    ranked = aliases.where("pattern is not null").groupBy("pattern").agg(F.min(F.struct("priority", "name")).alias("_b")).select("pattern", "_b.name", "_b.priority")
+    order = F.struct("priority", (-F.length("pattern")).alias("_l"), "pattern")
+    n = ranked.count()
+    parts: list[DataFrame] = [ranked.withColumn("_o", order)]
+    if n > most:
+        placed = kept(with_places(ranked.withColumn("_o", order), [], "_o", large=True))
+        parts = [placed.where((F.col("n_below") >= i) & (F.col("n_below") < i + most)) for i in range(0, n, most)]
+    out = rows.withColumn("_name", F.lit(None).cast("string"))
+    for k, part in enumerate(parts):
+        rules = [(r.pattern, r.name) for r in sorted(part.select("pattern", "name", "priority").collect(), key=lambda r: (r.priority is not None, r.priority or 0, -len(r.pattern), r.pattern))]
+        if not rules:
+            continue
+        labels = rows.sparkSession.createDataFrame([(i, label) for i, (_, label) in enumerate(rules)], "_i long, _label string")
+        asked = out.withColumn("_i", _best_alias(rules)(F.when(F.col("_name").isNull(), F.lower(F.col(name)))))
+        out = asked.join(labels, "_i", "left").withColumn("_name", F.coalesce("_name", "_label")).drop("_i", "_label")
+        out = kept(out) if k + 1 < len(parts) else out
+    return out.withColumn("name", F.col("_name")).drop("_name")
 
 
 def median_of_others(df: DataFrame, keys: Sequence[str], own: str, value: str, out: str) -> DataFrame:

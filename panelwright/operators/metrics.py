@@ -10,7 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import any_large, quantiles
+from .aggregate import roll_up
+from .ordering import any_large, joined_medians, quantiles
 
 KINDS = {"ratio_of_sums", "median", "average", "share", "count", "count_distinct"}
 
@@ -86,6 +87,46 @@ def query_metrics(df: DataFrame, specs: Sequence[MetricSpec], by: Sequence[str],
     return out.withColumns({s.name: F.when(F.col(s.gate) >= least, F.col(s.name)) for s in specs if s.gate})
 
 
+def query_metrics_by_groups(df: DataFrame, specs: Sequence[MetricSpec], groups: Mapping[str, Column], by: Sequence[str], entity: str, least: int | None = None) -> DataFrame:
+    """query_metrics() for several group types at once: group_type, group_value, by and the metrics.
+
+    Rows are read once into sums, counts and bitmaps of entities by all groups' values together; each group type is rolled
+    up from these. Medians can't be summed again, so they alone are asked of fanned-out rows.
+    """
+    validate_specs(specs)
+    if any(s.kind == "count_distinct" and s.column != entity for s in specs):
+        raise ValueError(f"only {entity} may be counted distinct here")
+    named = df.withColumns({f"_g{i}": v.cast("string") for i, v in enumerate(groups.values())})
+    fine = [*(f"_g{i}" for i in range(len(groups))), *by]
+    levels = [({"group_type": F.lit(t), "group_value": F.col(f"_g{i}"), **{c: F.col(c) for c in by}}, None) for i, t in enumerate(groups)]
+    where = lambda s: F.expr(s.condition) if s.condition else F.lit(True)
+    sums, final = {}, {}
+    for s in specs:
+        a, b = f"{s.name}_a", f"{s.name}_b"
+        if s.kind == "ratio_of_sums":
+            both = F.col(s.numerator).isNotNull() & F.col(s.denominator).isNotNull()
+            sums |= {a: F.sum(F.when(both, F.col(s.numerator))), b: F.sum(F.when(both, F.col(s.denominator)))}
+        elif s.kind == "average":
+            sums |= {a: F.sum(s.column), b: F.count(s.column)}
+        elif s.kind == "share":
+            sums |= {a: F.count_if(F.expr(s.column) & where(s)), b: F.count_if(where(s))}
+        elif s.kind == "count":
+            sums |= {s.name: F.count_if(where(s))}
+        if s.kind in ("ratio_of_sums", "average", "share"):
+            final[s.name] = F.col(a) / F.nullif(b, F.lit(0)) * (100.0 if s.percent else 1)
+    out = roll_up(named, fine, levels, sums, entity, {s.name: where(s) if s.condition else None for s in specs if s.kind == "count_distinct"}).withColumns(final)
+    keys = ["group_type", "group_value", *by]
+    for s in specs:
+        if s.kind == "median":
+            pairs = F.explode(F.array(*(F.struct(F.lit(t).alias("group_type"), F.col(f"_g{i}").alias("group_value")) for i, t in enumerate(groups))))
+            rows = named.select(pairs.alias("_g"), *by, s.column).select("_g.*", *by, s.column)
+            out = joined_medians(out, rows, keys, s.column, s.name)
+            out = out.withColumn(s.name, F.col(s.name) * 100.0) if s.percent else out
+    if least is not None:
+        out = out.withColumns({s.name: F.when(F.col(s.gate) >= least, F.col(s.name)) for s in specs if s.gate})
+    return out.select(*keys, *(s.name for s in specs))
+
+
 def later_filing_rule(df: DataFrame, period: str, columns: Sequence[str]) -> DataFrame:
     """What only a later filing can tell: null in the latest period, zero where absent before."""
     latest = F.broadcast(df.agg(F.max(period).alias("_latest")))

@@ -263,8 +263,12 @@ def j14(spark, sf):
 
 @query("j15_restatement_summary", _PAIRS + f"SELECT level, level_key, {_RESTATED_SQL} FROM (SELECT 'overall' AS level, 'all' AS level_key, * FROM r UNION ALL SELECT 'peer', peer, * FROM r UNION ALL SELECT 'period', CAST(period AS VARCHAR), * FROM r UNION ALL SELECT 'flattering', peer, * FROM r WHERE flatters) GROUP BY ALL")
 def j15(spark, sf):
-    blocks = [("overall", F.lit("all"), None), ("peer", F.col("peer"), None), ("period", F.col("period"), None), ("flattering", F.col("peer"), F.coalesce(F.col("flatters"), F.lit(False)))]
-    return agg.levels(restatement_pairs(supplier_year(spark, sf)), blocks, _restated())
+    level = lambda name, key: {"level": F.lit(name), "level_key": key}
+    pairs = restatement_pairs(supplier_year(spark, sf)).withColumn("flatters", F.coalesce("flatters", F.lit(False)))
+    blocks = [(level("overall", F.lit("all")), None), (level("peer", F.col("peer")), None), (level("period", F.col("period").cast("string")), None), (level("flattering", F.col("peer")), F.col("flatters"))]
+    large = F.col("classification").isin("material", "large")
+    sums = {"n_compared": F.count_if("is_compared"), "n_material": F.count_if(large), "n_flattering": F.count_if("flatters")}
+    return agg.roll_up(pairs, ["peer", "period", "flatters"], blocks, sums, "entity", {"n_entities": large})
 
 
 @query("j16_suppress_small_groups", SUPPLIER_YEAR + "SELECT peer, n, CASE WHEN n >= 5 THEN share END AS share, CASE WHEN n < 5 THEN 'fewer than 5' END AS null_reason FROM (SELECT peer, count(DISTINCT entity) AS n, round(count(*) FILTER (WHERE disclosed)::DOUBLE / count(*), 6) AS share FROM p GROUP BY 1)")

@@ -60,9 +60,9 @@ m AS (SELECT group_type, group_value, period, """ + _SQL + """ FROM f GROUP BY A
 """
 
 
-def group_metrics(p):
-    groups = {"all": F.lit("all"), "sector": F.col("sector"), "peer": F.col("peer"), "ownership": F.col("ownership")}
-    return _rounded(met.query_metrics(dom.fan_out(p, groups), SPECS, ["group_type", "group_value", "period"], least=5))
+def group_metrics(p, types=("all", "sector", "peer", "ownership")):
+    groups = {t: F.lit("all") if t == "all" else F.col(t) for t in types}
+    return _rounded(met.query_metrics_by_groups(p, SPECS, groups, ["period"], "entity", least=5))
 
 
 @query("j21_group_metrics", SUPPLIER_YEAR + _GROUPS + f"SELECT group_type, group_value, period, {_GATED} FROM m")
@@ -85,7 +85,7 @@ def k10(spark, sf):
 
 @query("k11_lookup_group_metric", SUPPLIER_YEAR + _GROUPS + "SELECT group_value, period, CASE WHEN n_entities >= 5 THEN women_pct END AS women_pct FROM m WHERE group_type = 'sector' AND group_value = 'ASIA'")
 def k11a(spark, sf):
-    return met.lookup(group_metrics(supplier_year(spark, sf)), {"group_type": "sector", "group_value": "ASIA"}, ["group_value", "period", "women_pct"])
+    return met.lookup(group_metrics(supplier_year(spark, sf).where("sector = 'ASIA'"), ["sector"]), {"group_value": "ASIA"}, ["group_value", "period", "women_pct"])
 
 
 @query("k11_lookup_entity_card", SUPPLIER_YEAR + "SELECT entity, period, name, turnover FROM p WHERE entity = 7 ORDER BY period DESC LIMIT 3")

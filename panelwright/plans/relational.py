@@ -68,7 +68,7 @@ _ALIASES = [("gizmo", "Gizmo works", 1), ("new gizmo", "New gizmo works", 1), ("
 def c08(spark, sf):
     from ..operators.domain import resolve_aliases
 
-    return resolve_aliases(table(spark, sf, "part"), "p_name", spark.createDataFrame(_ALIASES, "pattern string, name string, priority int"), "p_partkey").select("p_partkey", "name")
+    return resolve_aliases(table(spark, sf, "part"), "p_name", spark.createDataFrame(_ALIASES, "pattern string, name string, priority int")).select("p_partkey", "name")
 
 
 @query("c09_self_join_with_band", SUPPLIER_YEAR + "SELECT a.entity, a.period FROM p a JOIN p b ON a.entity = b.entity AND b.period = a.period + 1 WHERE a.restated BETWEEN 0.95 * b.original AND 1.05 * b.original")
@@ -132,9 +132,9 @@ def c15(spark, sf):
 @query("c17_fan_out_to_groups", CUSTOMER_YEAR + """SELECT group_type, group_value, period, count(*) AS n, count(DISTINCT entity) AS n_entities FROM (
 SELECT 'all' AS group_type, 'all' AS group_value, * FROM p UNION ALL SELECT 'sector', sector, * FROM p UNION ALL SELECT 'peer', peer, * FROM p UNION ALL SELECT 'ownership', ownership, * FROM p) GROUP BY ALL""")
 def c17(spark, sf):
-    from ..operators.domain import fan_out
-
-    return fan_out(customer_year(spark, sf), {"all": F.lit("all"), "sector": F.col("sector"), "peer": F.col("peer"), "ownership": F.col("ownership")}).groupBy("group_type", "group_value", "period").agg(F.count("*").alias("n"), F.countDistinct("entity").alias("n_entities"))
+    groups = {"all": F.lit("all"), **{c: F.col(c) for c in ("sector", "peer", "ownership")}}
+    levels = [({"group_type": F.lit(t), "group_value": v, "period": F.col("period")}, None) for t, v in groups.items()]
+    return agg.roll_up(customer_year(spark, sf), ["sector", "peer", "ownership", "period"], levels, {"n": F.count("*")}, "entity", {"n_entities": None})
 
 
 # ---------------------------------------------------------------- aggregations
@@ -224,8 +224,10 @@ def d15(spark, sf):
 @query("d16_summary_levels", CUSTOMER_YEAR + """SELECT level, level_key, count(*) AS n, count(*) FILTER (WHERE has_event) AS with_event, count(DISTINCT entity) AS n_entities FROM (
 SELECT 'overall' AS level, 'all' AS level_key, * FROM p UNION ALL SELECT 'peer', peer, * FROM p UNION ALL SELECT 'period', CAST(period AS VARCHAR), * FROM p UNION ALL SELECT 'disclosed only', sector, * FROM p WHERE disclosed) GROUP BY ALL""")
 def d16(spark, sf):
-    blocks = [("overall", F.lit("all"), None), ("peer", F.col("peer"), None), ("period", F.col("period"), None), ("disclosed only", F.col("sector"), F.col("disclosed"))]
-    return agg.levels(customer_year(spark, sf), blocks, [F.count("*").alias("n"), F.count_if("has_event").alias("with_event"), F.countDistinct("entity").alias("n_entities")])
+    level = lambda name, key: {"level": F.lit(name), "level_key": key}
+    blocks = [(level("overall", F.lit("all")), None), (level("peer", F.col("peer")), None), (level("period", F.col("period").cast("string")), None), (level("disclosed only", F.col("sector")), F.col("disclosed"))]
+    sums = {"n": F.count("*"), "with_event": F.count_if("has_event")}
+    return agg.roll_up(customer_year(spark, sf), ["peer", "sector", "period", "disclosed"], blocks, sums, "entity", {"n_entities": None})
 
 
 @query("d17_pivot_two_aggregates", "SELECT l_suppkey, " + ", ".join(f"count(*) FILTER (WHERE l_returnflag = '{f}') AS {f}_n, CAST(sum(l_quantity) FILTER (WHERE l_returnflag = '{f}') AS BIGINT) AS {f}_q" for f in "ANR") + " FROM lineitem GROUP BY 1")
