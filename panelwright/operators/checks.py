@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from . import equality
 from pyspark.sql.types import StructType
 
 
@@ -107,7 +109,11 @@ def groups_min_size(df: DataFrame, group: str, entity: str, least: int = 5) -> D
 
 
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, tolerance: float = 1e-9) -> DataFrame:
-    """Keys that only one side has, and values that differ by more than the tolerance."""
+    """Keys that only one side has, and values that differ by more than the tolerance. Keys are joined only in buckets whose hash
+    sums differ, so what is equal to the last bit isn't shuffled."""
+    a, b = (d.select(*keys, F.col(value).alias("_v")) for d in (a, b))
+    buckets = equality.differing_buckets(a, b, [*keys, "_v"], list(keys))
+    a, b = (equality.in_buckets(d, list(keys), buckets).withColumnRenamed("_v", value) for d in (a, b))
     left, right = a.select(*keys, F.col(value).alias("left_value"), F.lit(True).alias("_l")), b.select(*keys, F.col(value).alias("right_value"), F.lit(True).alias("_r"))
     both = left.join(right, list(keys), "full_outer")
     kind = F.when(F.col("_r").isNull(), "left only").when(F.col("_l").isNull(), "right only").when(~F.col("left_value").eqNullSafe(F.col("right_value")) & F.coalesce(F.abs(F.col("left_value") - F.col("right_value")) > tolerance, F.lit(True)), "differs")

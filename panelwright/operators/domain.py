@@ -97,13 +97,6 @@ def global_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     return df.join(places, value).select(*df.columns, out)
 
 
-def multiset_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows that one side has more often than the other, with how often."""
-    columns = a.columns
-    counted = a.withColumn("_d", F.lit(1)).unionByName(b.withColumn("_d", F.lit(-1))).groupBy(*columns).agg(F.sum("_d").alias("_d")).where("_d <> 0")
-    return counted.select(F.when(F.col("_d") > 0, "left").otherwise("right").alias("side"), *columns, F.abs("_d").alias("n"))
-
-
 def rank_revisions(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Place of each filing among those of its key, from the latest; how many there are; whether it is the latest."""
     w = Window.partitionBy(*keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import files
-from ..streaming.inbox import process_inbox
+from ..streaming.inbox import process_inbox, upsert_inbox
 from .bindings import SUPPLIER_YEAR, supplier_year, table
 from .registry import query
 
@@ -189,3 +189,40 @@ def a24(spark, sf):
     table(spark, sf, "events").select("event_id", "event_type").repartition(4).write.parquet(inbox)
     process_inbox(spark, inbox, schema, lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch={i}"), files.workspace(spark))
     return spark.read.schema(schema).parquet(out).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("a24_inbox_upsert", """WITH r AS (SELECT o_orderkey, o_custkey, o_totalprice, year(o_orderdate)::INTEGER AS period, unnest(range(0, 1 + (o_orderkey % 3)::BIGINT))::INTEGER AS revision FROM orders)
+SELECT o_orderkey, o_custkey, period, max(revision)::INTEGER AS revision, round(arg_max(o_totalprice + revision, revision), 2) AS price FROM r GROUP BY ALL""")
+def a24b(spark, sf):
+    """Orders arrive as JSON files, in several revisions, some of them late and some files twice."""
+    inbox, table_, manifest, checkpoint = (files.workspace(spark) for _ in range(4))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("period"), "o_totalprice")
+    rows = o.withColumn("revision", F.explode(F.sequence(F.lit(0), (F.col("o_orderkey") % 3).cast("int")))).withColumn("price", F.round(F.col("o_totalprice") + F.col("revision"), 2)).drop("o_totalprice")
+    schema = rows.schema
+    out = None
+    for send in ([2], [0, 2], [1]):  # the last revisions first; the second call sends the first one's rows again
+        rows.where(F.col("revision").isin(send)).repartition(3, "revision", "o_orderkey").sortWithinPartitions("revision", "o_orderkey").write.mode("append").json(inbox)
+        parse = lambda f: f.select(F.explode(F.split(F.trim(F.col("content").cast("string")), "\n")).alias("j")).select(F.from_json("j", schema).alias("r")).select("r.*")
+        out = upsert_inbox(spark, inbox, parse, table_, manifest, checkpoint, "o_orderkey", ["revision", "price"], "period", 4)
+    return out.select("o_orderkey", "o_custkey", "period", "revision", "price")
+
+
+_EDGES = """e AS (SELECT 'world' AS parent, 'r' || r_regionkey AS child, -r_regionkey::INTEGER AS ord FROM region UNION ALL SELECT 'r' || n_regionkey, 'n' || n_nationkey, n_nationkey::INTEGER FROM nation
+UNION ALL SELECT 'n' || c_nationkey, 'c' || c_custkey, (c_custkey % 7)::INTEGER FROM customer UNION ALL SELECT 'r' || n_regionkey, 'c' || c_custkey, 1000 FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_acctbal < 0)"""
+
+
+@query("a17_tree_rows", f"""WITH RECURSIVE {_EDGES}, d AS (SELECT child AS indicator, child AS node, [{{'ord': ord, 'name': child}}] AS path FROM e WHERE parent = 'world' AND NOT regexp_matches(child, '^r3$')
+UNION ALL SELECT indicator, child, list_append(path, {{'ord': ord, 'name': child}}) FROM d JOIN e ON e.parent = d.node),
+m AS (SELECT indicator, node, min(path) AS path FROM d WHERE node NOT LIKE '%9' AND node IN (SELECT 'c' || c_custkey FROM customer UNION ALL SELECT 'n' || n_nationkey FROM nation) GROUP BY ALL),
+f AS (SELECT indicator, row_number() OVER (ORDER BY min(path[1]))::INTEGER AS indicator_seq FROM m GROUP BY 1)
+SELECT indicator, indicator_seq, node AS concept, row_number() OVER (PARTITION BY indicator ORDER BY path)::INTEGER AS position FROM m JOIN f USING (indicator)""")
+def a17b(spark, sf):
+    edge = lambda d, parent, child, ord: d.select(parent.alias("parent"), child.alias("child"), ord.cast("int").alias("ord"))
+    region, nation, customer = (table(spark, sf, t) for t in ("region", "nation", "customer"))
+    c = F.concat(F.lit("c"), "c_custkey")
+    edges = edge(region, F.lit("world"), F.concat(F.lit("r"), "r_regionkey"), -F.col("r_regionkey")).unionByName(edge(nation, F.concat(F.lit("r"), "n_regionkey"), F.concat(F.lit("n"), "n_nationkey"), F.col("n_nationkey")))
+    edges = edges.unionByName(edge(customer, F.concat(F.lit("n"), "c_nationkey"), c, F.col("c_custkey") % 7))
+    # customers in debt hang under their region too
+    edges = edges.unionByName(edge(customer.where("c_acctbal < 0").join(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), "c_nationkey"), F.concat(F.lit("r"), "n_regionkey"), c, F.lit(1000)))
+    reportable = customer.select(c.alias("node")).unionByName(nation.select(F.concat(F.lit("n"), "n_nationkey").alias("node")))
+    return files.tree_rows(spark, edges, "world", reportable, "^r3$|9$")

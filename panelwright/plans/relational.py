@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
+from ..operators import equality
 from ..operators import ordering as order
 from ..operators import window as win
 from .bindings import CUSTOMER_YEAR, SUPPLIER_YEAR, cents, customer_year, r6, supplier_year, table
@@ -409,12 +410,22 @@ def g02(spark, sf):
     return table(spark, sf, "lineitem").select("l_partkey", "l_returnflag").distinct()
 
 
-@query("g03_multiset_difference", """SELECT side, l_partkey, l_quantity, count(*) AS n FROM (
+_SETS = """(SELECT side, l_partkey, l_quantity, count(*) AS n FROM (
 SELECT 'left' AS side, * FROM (SELECT l_partkey, l_quantity FROM lineitem WHERE l_linestatus = 'O' EXCEPT ALL SELECT l_partkey, l_quantity FROM lineitem WHERE l_linestatus = 'F')
-UNION ALL SELECT 'right', * FROM (SELECT l_partkey, l_quantity FROM lineitem WHERE l_linestatus = 'F' EXCEPT ALL SELECT l_partkey, l_quantity FROM lineitem WHERE l_linestatus = 'O')) GROUP BY ALL""")
-def g03(spark, sf):
-    from ..operators.domain import multiset_difference
+UNION ALL SELECT 'right', * FROM (SELECT l_partkey, l_quantity FROM lineitem WHERE l_linestatus = 'F' EXCEPT ALL SELECT l_partkey, l_quantity FROM lineitem WHERE l_linestatus = 'O')) GROUP BY ALL)"""
+
 
+def _sets(spark, sf):
     x = table(spark, sf, "lineitem")
-    a, b = (x.where(F.col("l_linestatus") == s).select("l_partkey", "l_quantity") for s in "OF")
-    return multiset_difference(a, b)
+    return (x.where(F.col("l_linestatus") == s).select("l_partkey", "l_quantity") for s in "OF")
+
+
+@query("g03_multiset_difference", f"SELECT * FROM {_SETS}")
+def g03(spark, sf):
+    return equality.difference(*_sets(spark, sf))
+
+
+@query("g03_sampled_differences", f"SELECT * FROM {_SETS} ORDER BY md5(side || '|' || l_partkey || '|' || CAST(l_quantity AS INTEGER)), side, l_partkey, l_quantity LIMIT 20")
+def g03b(spark, sf):
+    rows = equality.difference(*_sets(spark, sf)).withColumn("q", F.col("l_quantity").cast("int"))
+    return equality.sample(rows, ["l_partkey", "q"]).drop("q")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -184,26 +185,42 @@ def intake(files: DataFrame, listing: DataFrame, universe: DataFrame) -> DataFra
     return out.select("file_name", "sha256", "symbol", status.alias("status"), isin.alias("isin"), source.alias("isin_source"), conflict.alias("isin_conflict"))
 
 
-def take_in(spark: SparkSession, manifest: str, received: DataFrame, order: Sequence[str]) -> DataFrame:
+def take_in(spark: SparkSession, manifest: str, received: DataFrame, order: Sequence[str], batch: int | None = None) -> DataFrame:
     """Received files (file_name, content) against the manifest of what was taken in before, by the hash of their content:
     taken in before, duplicate (of an earlier one of this batch), or new; nth is a file's place among those of its
-    content. What is new is added to the manifest, so the same batch may come again."""
+    content. What is new becomes the batch's part of the manifest.
+
+    A batch that comes again (after a failure behind this step) is held against the other batches alone and replaces its own
+    part, so its files are new again. Without a number a batch is a new one.
+    """
     hashed = received.withColumn("sha256", F.sha2("content", 256)).drop("content")
     hashed = hashed.withColumn("nth", F.row_number().over(Window.partitionBy("sha256").orderBy(*order)))
-    schema = "sha256 string, file_name string"
-    if exists(spark, manifest):
-        known = spark.read.schema(schema).parquet(manifest).select("sha256").distinct().withColumn("_known", F.lit(True))
-        hashed = hashed.join(known, "sha256", "left")
-    else:
-        hashed = hashed.withColumn("_known", F.lit(None).cast("boolean"))
+    schema = "sha256 string, file_name string, batch long"
+    known = spark.read.schema(schema).parquet(manifest) if exists(spark, manifest) else spark.createDataFrame([], schema)
+    batch = known.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0] if batch is None else batch
+    known = known.where(F.col("batch") != batch)
+    hashed = hashed.join(known.select("sha256").distinct().withColumn("_known", F.lit(True)), "sha256", "left")
     status = F.when(F.col("_known"), "taken in before").when(F.col("nth") > 1, "duplicate").otherwise("new")
     path = workspace(spark)
     hashed.withColumn("status", status).drop("_known").write.parquet(path)  # the manifest is read before it grows
     out = spark.read.parquet(path)
-    out.where("status = 'new'").select("sha256", "file_name").write.mode("append").parquet(manifest)
+    out.where("status = 'new'").select("sha256", "file_name").write.mode("overwrite").parquet(f"{manifest}/batch={batch}")
     return out
 
 
+def replace_newer(spark: SparkSession, path: str, new: DataFrame, key: str, revision: Sequence[str], partition: str) -> DataFrame:
+    """replace_keys() with the latest row of each key, by the revision columns (nulls last), of those that come and the one that
+    is there: a late, older revision changes nothing."""
+    rows = new
+    if exists(spark, path):
+        old = spark.read.schema(new.schema).parquet(path)
+        rows = new.unionByName(old.join(new.select(key).distinct(), key, "left_semi").select(*new.columns))
+    order = Window.partitionBy(key).orderBy(*(F.col(c).desc_nulls_last() for c in revision))
+    best = workspace(spark)
+    rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*new.columns).write.parquet(best)  # read before the table changes
+    return replace_keys(spark, path, spark.read.schema(new.schema).parquet(best), key, partition)
+
+
 def star_export(spark: SparkSession, path: str, tables: Mapping[str, DataFrame], facts: str, period: str, periods: DataFrame) -> None:
     """Each table in a folder of its own; the facts only for periods that have data, in order inside each file."""
     for name, df in tables.items():
@@ -244,6 +261,43 @@ def tree_leaves(spark: SparkSession, edges: DataFrame, root: str, most_levels: i
     return (out if out is not None else level).join(edges.select(F.col("parent").alias("node")), "node", "left_anti")
 
 
+def tree_rows(spark: SparkSession, edges: DataFrame, heading: str, reportable: DataFrame, excluded: str | None = None, most_levels: int = 1000) -> DataFrame:
+    """What can be reported under a heading: indicator (a child of the heading), indicator_seq, concept (the indicator or one of
+    its descendants) and position (its place under the indicator). edges: parent, child, ord; reportable: node.
+
+    Places follow the tree from top to bottom: a node's key is the path of (ord, name) that leads to it, so a whole level is
+    made by one join, and the order comes from the keys alone. A child of several parents stands once under each indicator, at
+    its first place. Names that match `excluded` are left out (as indicators with all that is below them), and so are
+    indicators without anything to report. A circle is an error.
+    """
+    edges = edges.select("parent", "child", "ord")
+    step = F.struct("ord", F.col("child").alias("name"))
+    level = edges.where(F.col("parent") == heading).select(F.col("child").alias("indicator"), F.col("child").alias("node"), F.array(step).alias("path"))
+    level = level.where(~F.col("node").rlike(excluded)) if excluded else level
+    schema, base, levels = level.schema, workspace(spark), []
+    for depth in range(most_levels):
+        level.groupBy("indicator", "node").agg(F.min("path").alias("path")).write.parquet(f"{base}/{depth}")  # shared children once a level
+        level = spark.read.schema(schema).parquet(f"{base}/{depth}")
+        if level.isEmpty():
+            break
+        levels.append(level)
+        nxt = edges.join(level, edges["parent"] == level["node"])
+        level = nxt.select("indicator", F.col("child").alias("node"), F.concat("path", F.array(step)).alias("path"))
+        if not nxt.where(F.array_contains(F.transform("path", lambda p: p["name"]), F.col("child"))).isEmpty():
+            raise ValueError(f"a circle below {heading}")
+    else:
+        raise ValueError(f"more than {most_levels} levels below {heading}")
+    if not levels:
+        return spark.createDataFrame([], "indicator string, indicator_seq int, concept string, position int")
+    rows = reduce(DataFrame.unionByName, levels).groupBy("indicator", "node").agg(F.min("path").alias("path"))
+    rows = rows.join(reportable.select("node").distinct(), "node", "left_semi")
+    rows = rows.where(~F.col("node").rlike(excluded)) if excluded else rows
+    first = rows.groupBy("indicator").agg(F.min(F.get("path", F.lit(0))).alias("_first"))  # children of one heading
+    seq = first.withColumn("indicator_seq", F.row_number().over(Window.orderBy("_first"))).drop("_first")
+    placed = rows.withColumn("position", F.row_number().over(Window.partitionBy("indicator").orderBy("path")))
+    return placed.join(seq, "indicator").select("indicator", "indicator_seq", F.col("node").alias("concept"), "position")
+
+
 def build_concept_map(shortlist: DataFrame, defined: DataFrame, used: DataFrame, renames: DataFrame) -> DataFrame:
     """For each version and wanted concept: itself if defined and used there, else its renamed predecessor if that is."""
     both = defined.join(used, ["version", "concept"], "left_semi").select("version", "concept")
