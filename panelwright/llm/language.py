@@ -11,14 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import held_out, others, short_batches, table, text_map
 from .textvec import SPACE, Words, buffers, chunks
 
-#: Training documents of each language at most (chosen by a hash), n-grams that the model keeps at most.
-DOCS_EACH, MOST_GRAMS = 1500, 200_000
+#: Training documents of each language at most (chosen by a hash), n-grams of each language that the model keeps at most.
+DOCS_EACH, GRAMS_EACH = 1500, 100_000
 #: Longest n-gram; added to each count; share of a language's letters from which a script counts as its own.
 ORDER, ALPHA, SCRIPT_SHARE = 3, 0.5, 0.01
 #: Cost, in log-probability, of going from one language to another; cost of a word in a script that isn't the language's.
@@ -83,7 +83,8 @@ def train(docs: DataFrame) -> dict:
     """The model, from documents with a text and a language: n-gram log-probabilities and scripts by language.
 
     At most DOCS_EACH documents of each language, chosen by a hash of their text, are counted; n-grams are summed by
-    Spark and the MOST_GRAMS most frequent ones make the model.
+    Spark, and the GRAMS_EACH most frequent ones of each language make the model, so one with few documents keeps its own.
+    How many letters of each script a language has is kept apart from these, and whole.
     """
     short_batches(docs.sparkSession)
     docs = docs.where("lang is not null and text is not null")
@@ -108,7 +109,8 @@ def train(docs: DataFrame) -> dict:
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "gram", "n"])
 
     sums = some.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    rows = sums.orderBy(F.desc("n"), "lang", "gram").limit(MOST_GRAMS).collect()
+    nth = F.row_number().over(Window.partitionBy("lang", F.col("gram").startswith("#")).orderBy(F.desc("n"), "gram"))
+    rows = sums.withColumn("nth", nth).where(F.col("gram").startswith("#") | (F.col("nth") <= GRAMS_EACH)).select("lang", "gram", "n").collect()
     langs = sorted(share)
     at = {lang: k for k, lang in enumerate(langs)}
     counts: dict[str, np.ndarray] = {}

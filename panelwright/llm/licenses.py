@@ -34,18 +34,45 @@ TEMPLATES = [
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
+    ("gpl", "GNU General Public License"),
+    ("gpl", "Licensed under the GPL version 2"),
+    ("gpl", "Licensed under the GPL version 3"),
+    ("lgpl", "GNU Lesser General Public License"),
+    ("lgpl", "GNU Library General Public License"),
+    ("agpl", "GNU Affero General Public License"),
+    ("gfdl", "GNU Free Documentation License"),
+    ("mit", "Released under the MIT License"),
+    ("mit", "Distributed under the MIT License"),
+    ("apache-2", "Licensed under the Apache License 2.0"),
+    ("bsd", "under the BSD License"),
+    ("bsd", "BSD 3-Clause License"),
+    ("bsd", "BSD 2-Clause License"),
+    ("isc", "under the ISC License"),
+    ("mpl-2", "Mozilla Public License"),
+    ("epl", "Eclipse Public License"),
+    ("eupl", "European Union Public Licence"),
+    ("cddl", "Common Development and Distribution License"),
+    ("boost", "Boost Software License"),
+    ("odbl", "Open Database License"),
+    ("ofl", "SIL Open Font License"),
+    ("artistic", "under the Artistic License"),
+    ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("cc0", "CC0 1.0 Universal"),
+    ("cc-by", "Licensed under CC BY 4.0"),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("cc-by-sa", "Creative Commons Attribution-ShareAlike"),
+    ("cc-by-nc", "Creative Commons Attribution-NonCommercial"),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher"),
 ]
-#: Whole license texts, which public packages put there; a file's name is its label (Apache-2.0: apache-2).
-FOLDER = "/usr/share/common-licenses"
 #: A run counts from so many words; runs of one chain lie at most so many words apart, in the text and in the template; a
-#: label needs so many words of its template, or this share of it.
-LEAST_RUN, GAP, LEAST_WORDS, LEAST_SHARE = 3, 12, 10, 0.8
+#: label needs so many words of its template, or this share of it. A template of fewer words than LEAST_WORDS has to stand whole,
+#: and one of fewer than LONG words without a gap: in short notices each word tells licenses apart.
+LEAST_RUN, GAP, LEAST_WORDS, LEAST_SHARE, LONG = 3, 12, 10, 0.8, 20
 
 
-def read_templates(folder: str = FOLDER) -> list[tuple[str, str]]:
-    """(label, text) of each whole license text in a folder, on the driver; none where there is no such folder. Links are
-    other names of the same texts."""
+def read_templates(folder: str) -> list[tuple[str, str]]:
+    """(label, text) of each whole license text in a folder that a caller names, on the driver; none where there is no such
+    folder. A file's name is its label (Apache-2.0: apache-2); links are other names of the same texts."""
     files = sorted(f for f in Path(folder).glob("*") if f.is_file() and not f.is_symlink())
     return [(f.name.lower().removesuffix(".0"), f.read_text(encoding="utf-8", errors="replace")) for f in files]
 
@@ -68,17 +95,25 @@ class SuffixAutomaton:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         self.ends: list[dict[int, int]] = [{}]
+        self.whole: dict[int, list[tuple[int, int]]] = {}  # by state: sequences that end there with their first word in it
         for k, words in enumerate(sequences):
             last = 0
             for i, w in enumerate(words):
                 last = self._extend(last, w)
                 self.ends[last].setdefault(k, i + 1)
+            self.whole.setdefault(last, []).append((k, len(words)))
         for s in sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True):
             if self.link[s] > 0:
                 up = self.ends[self.link[s]]
                 for k, i in self.ends[s].items():
                     up[k] = min(i, up.get(k, i))
 
+        # the nearest state on the way to shorter runs where a whole sequence ends
+        self.above = [0] * len(self.length)
+        for s in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+            up = self.link[s]
+            self.above[s] = up if up in self.whole else self.above[up] if up > 0 else 0
+
     def _state(self, length: int) -> int:
         self.next.append({})
         self.link.append(-1)
@@ -128,6 +163,21 @@ class SuffixAutomaton:
         if n:
             yield len(words), n, s
 
+    def wholes(self, words) -> Iterator[tuple[int, int, int]]:
+        """(end, length, sequence) of every place where a whole sequence stands, inside longer runs too."""
+        s, n = 0, 0
+        for i, w in enumerate(words):
+            while s and w not in self.next[s]:
+                s = self.link[s]
+                n = self.length[s]
+            s, n = (self.next[s][w], n + 1) if w in self.next[s] else (0, 0)
+            at = s if s in self.whole else self.above[s]
+            while at:
+                for k, size in self.whole[at]:
+                    if size <= n:
+                        yield i + 1, size, k
+                at = self.above[at]
+
 
 class Scanner:
     """Finds phrases and template spans in many texts at once."""
@@ -137,6 +187,7 @@ class Scanner:
         sequences = [_hashes(t) for _, t in templates]
         self.alphabet = np.unique(np.concatenate([*sequences, *(p for _, p in self.phrases), np.zeros(0, np.uint64)]))
         self.labels, self.sizes = [label for label, _ in templates], [len(s) for s in sequences]
+        self.gaps = [GAP if n >= LONG else 0 for n in self.sizes]
         self.automaton = SuffixAutomaton([np.searchsorted(self.alphabet, s).tolist() for s in sequences])
         self.phrases = [(label, np.searchsorted(self.alphabet, p)) for label, p in self.phrases]
         # the shortest runs that count: only where one of them stands is the automaton asked
@@ -164,21 +215,24 @@ class Scanner:
             if n < LEAST_RUN:
                 continue
             for k, at in self.automaton.ends[state].items():
+                if self.sizes[k] < LEAST_WORDS:
+                    continue
                 chains = found.setdefault(k, [])
                 best = None
                 for c in reversed(chains):
-                    if end - n - c[1] > GAP:
+                    if end - n - c[1] > self.gaps[k]:
                         break
                     over = max(0, c[1] - (end - n), c[2] - (at - n))
-                    if over < n and c[2] <= at and at - n - c[2] <= GAP and (best is None or c[3] - over > best[3] - best[4]):
+                    if over < n and c[2] <= at and at - n - c[2] <= self.gaps[k] and (best is None or c[3] - over > best[3] - best[4]):
                         best = [*c[:4], over, c]
                 if best:
                     best[5][4] = True  # it goes on, so it is no whole chain
                 chains.append([best[0] if best else end - n, end, at, n + (best[3] - best[4] if best else 0), False])
-        out = []
+        # short notices stand whole
+        out = [(self.labels[k], shift + end - n, shift + end - 1, 1.0) for end, n, k in self.automaton.wholes(ids.tolist()) if n < LEAST_WORDS]
         for k, chains in found.items():
             for first, end, _, covered, goes_on in chains:
-                if not goes_on and covered >= min(LEAST_WORDS, max(LEAST_RUN, LEAST_SHARE * self.sizes[k])):
+                if not goes_on and covered >= min(LEAST_WORDS, LEAST_SHARE * self.sizes[k]):
                     out.append((self.labels[k], shift + first, shift + end - 1, min(1.0, covered / self.sizes[k])))
         return self._widest(out)
 
@@ -239,14 +293,15 @@ def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels, score and spans (the chains found).
 
-    templates: (label, text), a list that people keep; by default the sentences here and the whole texts of FOLDER.
+    templates: (label, text), a list that people keep; by default the sentences and short notices of TEMPLATES, the same on
+    every machine (read_templates() takes whole texts from a folder).
     Words run from 0. Null texts count as empty: no words, no labels (empty strings), score 0. Score is 1 where a phrase
     stands, else the largest share of a template that one chain covers. Columns with these names are replaced, all
     others stay; repeated rows are scanned one by one.
     """
     kinds = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("share", pa.float64())]))
 
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(templates if templates is not None else [*TEMPLATES, *read_templates()]))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(templates if templates is not None else TEMPLATES))
 
     def start():
         scanner = _scanner(shared.value)

@@ -115,3 +115,15 @@ def test_whole_query_is_brute_force(spark, sf, sf_docs):
             k = int(b[k])
         assert got[r.doc_id].lang_pred == langs[int(share.argmax())]
         assert abs(got[r.doc_id].score - share.max() / share.sum()) < 1e-9
+
+
+def test_a_language_with_few_documents_keeps_its_grams(spark, monkeypatch):
+    """The bound on n-grams holds for each language, and scripts don't count against it."""
+    monkeypatch.setattr(language, "GRAMS_EACH", 12)
+    rows = [("en", "the quick brown fox jumps over the lazy dog and the cat " * 50)] * 40 + [("el", "και το σπίτι είναι μεγάλο")]
+    model = language.train(spark.createDataFrame(rows, "lang string, text string"))
+    at = model["langs"].index("el")
+    greek = [g for g in model["grams"] if any("α" <= c <= "ω" for c in g)]
+    assert len(greek) == 12 and set(model["scripts"]) == {"Latin", "Greek"} and model["scripts"]["Greek"][at]
+    got = language.identify(spark.createDataFrame([(1, "το σπίτι"), (2, "the dog")], "doc_id long, text string"), model).collect()
+    assert [r.lang_pred for r in sorted(got, key=lambda r: r.doc_id)] == ["el", "en"]
