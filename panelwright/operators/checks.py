@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import equality
-from pyspark.sql.types import StructType
 
 
 def unique(df: DataFrame, *columns: str) -> DataFrame:
@@ -148,6 +148,13 @@ def matches_one(overrides: DataFrame, filed: DataFrame, keys: Sequence[str]) ->
 RAW_NAME = r"^_|_raw$|^raw_|_cents$|_id_hash$"
 
 
+def far_from_neighbours(overrides: DataFrame, panel: DataFrame, entity: str, period: str, override: str, value: str, factor: float = 3.0) -> DataFrame:
+    """Overrides more than `factor` times off a value of the entity's period before or after. One join by two equal keys."""
+    near = panel.select(entity, F.explode(F.array(F.col(period) - 1, F.col(period) + 1)).alias(period), F.col(value).alias("_near"))
+    off = ~F.col(override).between(F.col("_near") / factor, F.col("_near") * factor)
+    return overrides.join(near, [entity, period]).where(off).select(*overrides.columns).distinct()
+
+
 def publication_problems(tables: Mapping[str, DataFrame], classes: Mapping[str, Sequence[str]]) -> DataFrame:
     """Columns that may not be published, with the number of values that they would show: any column of a table that
     `classes` doesn't have, columns that aren't allowed in their table, and allowed ones with names of working tables."""

@@ -51,25 +51,48 @@ class MetricSpec:
         return (out * 100.0 if self.percent else out).alias(self.name)
 
 
-def validate_specs(specs: Sequence[MetricSpec]) -> None:
-    """Refuse what a group figure must not be: above all an average of ratios."""
+def problems_of(specs: Sequence[MetricSpec]) -> list[tuple[str, str]]:
+    """(metric, problem): what a group figure must not be, above all an average of ratios."""
     names = [s.name for s in specs]
-    problems = [f"{n} is there twice" for n in {n for n in names if names.count(n) > 1}]
+    out = [(n, f"{n} is there twice") for n in {n for n in names if names.count(n) > 1}]
     for s in specs:
         if not re.fullmatch(r"[a-z][a-z0-9_]*", s.name):
-            problems.append(f"{s.name}: not a plain name")
+            out.append((s.name, f"{s.name}: not a plain name"))
         if s.kind not in KINDS:
-            problems.append(f"{s.name}: no kind {s.kind}")
+            out.append((s.name, f"{s.name}: no kind {s.kind}"))
         if s.kind == "ratio_of_sums" and not (s.numerator and s.denominator):
-            problems.append(f"{s.name}: a ratio needs a numerator and a denominator")
+            out.append((s.name, f"{s.name}: a ratio needs a numerator and a denominator"))
         if s.kind in ("median", "average", "share", "count_distinct") and not s.column:
-            problems.append(f"{s.name}: no column")
+            out.append((s.name, f"{s.name}: no column"))
         if s.kind == "average" and (s.is_ratio or not s.is_score):
-            problems.append(f"{s.name}: only scores may be averaged")
+            out.append((s.name, f"{s.name}: only scores may be averaged"))
         if s.gate and s.gate not in names:
-            problems.append(f"{s.name}: its gate {s.gate} isn't in the catalogue")
-    if problems:
-        raise ValueError("; ".join(sorted(problems)))
+            out.append((s.name, f"{s.name}: its gate {s.gate} isn't in the catalogue"))
+    return sorted(out, key=lambda x: x[1])
+
+
+def validate_specs(specs: Sequence[MetricSpec]) -> None:
+    """Refuse a catalogue with problems."""
+    if problems := problems_of(specs):
+        raise ValueError("; ".join(p for _, p in problems))
+
+
+def check_catalogue(df: DataFrame, specs: Sequence[MetricSpec]) -> DataFrame:
+    """Each metric against the table it is meant for: its problem (null: none; a column that isn't there is one) and how many
+    rows have all that it needs, from one scan."""
+    found: dict[str, str] = {}
+    for name, problem in problems_of(specs):
+        found.setdefault(name, problem)
+    rows = []
+    for s in specs:
+        needs = [c for c in (s.column, s.numerator, s.denominator) if c]
+        missing = [c for c in needs if c not in df.columns]
+        problem = found.get(s.name) or (f"{s.name}: no columns {missing}" if missing else None)
+        there = F.lit(True)
+        for c in needs:
+            there = there & (F.col(c).isNotNull() if c in df.columns else F.lit(False))
+        rows.append(F.struct(F.lit(s.name).alias("name"), F.lit(s.kind).alias("kind"), F.lit(problem).cast("string").alias("problem"), F.count_if(there).alias("n_rows")))
+    return df.agg(F.array(*rows).alias("_r")).select(F.explode("_r").alias("_r")).select("_r.*")
 
 
 def query_metrics(df: DataFrame, specs: Sequence[MetricSpec], by: Sequence[str], least: int | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import exists, workspace
+from ..sources.files import exists, states, workspace
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +62,11 @@ _stored: dict[tuple, str] = {}
 
 def stored(make):
     """A panel is made once in a session and kept as Parquet in the shared folder: the questions read it, not the lines.
-    It is made anew when the files that it comes from are others."""
+    It is made anew when the files that it comes from are others, also under the same names: their lengths and times count."""
 
     def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         built = make(spark, sf_dir)
-        key = (make.__name__, spark.sparkContext.applicationId, tuple(sorted(built.inputFiles())))
+        key = (make.__name__, spark.sparkContext.applicationId, states(spark, built.inputFiles()))
         if key not in _stored or not exists(spark, _stored[key]):
             path = workspace(spark)
             built.write.parquet(path)

@@ -44,6 +44,17 @@ _one("k05_count", MetricSpec("n", "count", condition="disclosed"), "count(*) FIL
 _one("k06_count_distinct", MetricSpec("n", "count_distinct", column="entity", condition="disclosed"), "count(DISTINCT entity) FILTER (WHERE disclosed)")
 
 
+#: A catalogue with faults: an average of ratios, a gate and a column that don't exist.
+_FAULTY = [*SPECS, MetricSpec("mean_intensity", "average", column="intensity", is_ratio=True), MetricSpec("gated", "count", condition="has_event", gate="nobody"), MetricSpec("lost", "median", column="no_such_column")]
+_NEEDS = {"intensity": "emissions IS NOT NULL AND turnover IS NOT NULL", "women_pct": "women IS NOT NULL AND staff IS NOT NULL", "median_renewable": "renewable_share IS NOT NULL", "disclosed_pct": "disclosed IS NOT NULL", "mean_intensity": "intensity IS NOT NULL", "lost": "false"}
+_FAULTS = {"mean_intensity": "mean_intensity: only scores may be averaged", "gated": "gated: its gate nobody isn''t in the catalogue", "lost": "lost: no columns [''no_such_column'']"}
+
+
+@query("k07_validate_specs", CUSTOMER_YEAR + " UNION ALL ".join(f"SELECT '{s.name}' AS name, '{s.kind}' AS kind, {chr(39) + _FAULTS[s.name] + chr(39) if s.name in _FAULTS else 'NULL'}::VARCHAR AS problem, count(*) FILTER (WHERE {_NEEDS.get(s.name, 'entity IS NOT NULL')}) AS n_rows FROM p" for s in _FAULTY))
+def k07(spark, sf):
+    return met.check_catalogue(customer_year(spark, sf), _FAULTY)
+
+
 @query("k08_query_metrics", CUSTOMER_YEAR + f"SELECT sector, ownership, {_SQL} FROM p GROUP BY ALL")
 def k08(spark, sf):
     return _rounded(met.query_metrics(customer_year(spark, sf), SPECS, ["sector", "ownership"]))

@@ -147,17 +147,23 @@ def l09(spark, sf):
     return customer_year(spark, sf).withColumn("_b", before).where("_b < 50 AND renewable_share >= 50").groupBy("entity").agg(F.min("period").alias("first_crossing"))
 
 
-_DECOUPLE = CUSTOMER_YEAR + """, d AS (SELECT entity, any_value(sector) AS sector, max(emissions) FILTER (WHERE period = 1996) AS e0, max(emissions) FILTER (WHERE period = 2000) AS e1, max(turnover) FILTER (WHERE period = 1996) AS t0, max(turnover) FILTER (WHERE period = 2000) AS t1, bool_or(coalesce(has_event, false)) AS any_event FROM p GROUP BY 1),
+_DECOUPLE = CUSTOMER_YEAR + """, d AS (SELECT entity, any_value(sector) AS sector, max(emissions) FILTER (WHERE period = first) AS e0, max(emissions) FILTER (WHERE period = last) AS e1, max(turnover) FILTER (WHERE period = first) AS t0, max(turnover) FILTER (WHERE period = last) AS t1, bool_or(coalesce(has_event, false)) AS any_event FROM p, (SELECT min(period) AS first, max(period) AS last FROM p) GROUP BY 1),
 k AS (SELECT *, e1 / nullif(e0, 0) - 1 AS de, t1 / nullif(t0, 0) - 1 AS dt FROM d),
 j AS (SELECT *, CASE WHEN de IS NULL OR dt IS NULL THEN 'no pair' WHEN de < 0 AND dt > 0 THEN 'absolute' WHEN de < dt AND dt > 0 THEN 'relative' WHEN dt <= 0 THEN 'shrinking' ELSE 'none' END AS class, nullif(concat_ws('|', CASE WHEN abs(de) > 5 THEN 'emissions jump' END, CASE WHEN abs(dt) > 5 THEN 'turnover jump' END), '') AS review FROM k),
 f AS (SELECT *, CASE WHEN review IS NULL THEN class ELSE 'needs review' END AS screened FROM j)
 """
 
 
-def decoupling(p: DataFrame, first: int = 1996, last: int = 2000) -> DataFrame:
-    """Changes of emissions and turnover between two years, and what they amount to before and after a plausibility screen."""
-    at = lambda c, y: F.max(F.when(F.col("period") == y, F.col(c)))
-    d = p.groupBy("entity").agg(F.min("sector").alias("sector"), at("emissions", first).alias("e0"), at("emissions", last).alias("e1"), at("turnover", first).alias("t0"), at("turnover", last).alias("t1"))
+def with_ends(p: DataFrame) -> DataFrame:
+    """p with the panel's first and last period, first and last."""
+    return p.crossJoin(F.broadcast(p.agg(F.min("period").alias("first"), F.max("period").alias("last"))))  # one row
+
+
+def decoupling(p: DataFrame) -> DataFrame:
+    """Changes of emissions and turnover between the panel's first and last year, and what they amount to before and after a
+    plausibility screen."""
+    at = lambda c, end: F.max(F.when(F.col("period") == F.col(end), F.col(c)))
+    d = with_ends(p).groupBy("entity").agg(F.min("sector").alias("sector"), at("emissions", "first").alias("e0"), at("emissions", "last").alias("e1"), at("turnover", "first").alias("t0"), at("turnover", "last").alias("t1"))
     d = d.withColumns({"de": clean.safe_ratio(F.col("e1"), F.col("e0")) - 1, "dt": clean.safe_ratio(F.col("t1"), F.col("t0")) - 1})
     de, dt = F.col("de"), F.col("dt")
     label = F.when(de.isNull() | dt.isNull(), "no pair").when((de < 0) & (dt > 0), "absolute").when((de < dt) & (dt > 0), "relative").when(dt <= 0, "shrinking").otherwise("none")
@@ -186,11 +192,11 @@ def l12(spark, sf):
     return g.withColumns({"since_first": r6(F.col("women_share") - F.first("women_share").over(w)), "since_before": r6(F.col("women_share") - F.lag("women_share").over(w))})
 
 
-@query("l13_pay_gap_narrowing", CUSTOMER_YEAR + """, g AS (SELECT entity, any_value(ownership) AS ownership, abs(max(pay_gap) FILTER (WHERE period = 1996)) AS g0, abs(max(pay_gap) FILTER (WHERE period = 2000)) AS g1 FROM p GROUP BY 1)
+@query("l13_pay_gap_narrowing", CUSTOMER_YEAR + """, g AS (SELECT entity, any_value(ownership) AS ownership, abs(max(pay_gap) FILTER (WHERE period = first)) AS g0, abs(max(pay_gap) FILTER (WHERE period = last)) AS g1 FROM p, (SELECT min(period) AS first, max(period) AS last FROM p) GROUP BY 1)
 SELECT ownership, count(*) FILTER (WHERE g1 - g0 < -0.5) AS closer, count(*) FILTER (WHERE g1 - g0 > 0.5) AS away, count(*) FILTER (WHERE abs(g1 - g0) <= 0.5) AS unchanged, count(*) FILTER (WHERE g1 - g0 IS NULL) AS no_pair FROM g GROUP BY 1""")
 def l13(spark, sf):
-    at = lambda y: F.abs(F.max(F.when(F.col("period") == y, F.col("pay_gap"))))
-    g = customer_year(spark, sf).groupBy("entity").agg(F.min("ownership").alias("ownership"), (at(2000) - at(1996)).alias("d"))
+    at = lambda end: F.abs(F.max(F.when(F.col("period") == F.col(end), F.col("pay_gap"))))
+    g = with_ends(customer_year(spark, sf)).groupBy("entity").agg(F.min("ownership").alias("ownership"), (at("last") - at("first")).alias("d"))
     d = F.col("d")
     return g.groupBy("ownership").agg(F.count_if(d < -0.5).alias("closer"), F.count_if(d > 0.5).alias("away"), F.count_if(F.abs(d) <= 0.5).alias("unchanged"), F.count_if(d.isNull()).alias("no_pair"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator, Mapping, Sequence
@@ -33,6 +34,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def states(spark: SparkSession, paths: Sequence[str]) -> tuple:
+    """(path, length, time of the last change) of files, by one listing of each folder."""
+    wanted, out = set(paths), []
+    for folder in sorted({p.rsplit("/", 1)[0] for p in paths}):
+        fs, at = hadoop(spark, folder)
+        out += [(path, s.getLen(), s.getModificationTime()) for s in fs.listStatus(at) if (path := s.getPath().toUri().toString()) in wanted or s.getPath().toString() in wanted]
+    return tuple(sorted(out)) if len(out) == len(wanted) else (tuple(sorted(wanted)), time.time_ns())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = hadoop(spark, path)
     fs.delete(p, True)

@@ -212,3 +212,29 @@ def test_no_import_of_the_llm_folder():
     for path in root.rglob("*.py"):
         if "llm" not in path.parts:
             assert not re.search(r"^\s*(from|import)\b.*\bllm\b", path.read_text(), re.M), path
+
+
+def test_panels_are_made_anew_when_a_table_is_written_in_place(spark, tmp_path):
+    """Same file names, other contents: the panel that is kept from before is not read again."""
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from panelwright.plans import bindings
+
+    for t in ("lineitem", "supplier", "nation", "region"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
+    count = lambda: bindings.supplier_year(spark, str(tmp_path)).agg(F.sum("n_lines")).first()[0]
+    before, made = count(), len(bindings._stored)
+    assert count() == before and len(bindings._stored) == made
+    lines = pq.read_table("/root/testdata/sf0.001/lineitem.parquet")
+    (tmp_path / "lineitem.parquet").unlink()
+    pq.write_table(lines.slice(0, lines.num_rows // 2), tmp_path / "lineitem.parquet")
+    assert 0 < count() < before and len(bindings._stored) == made + 1
+
+
+def test_catalogues_are_held_against_their_table(spark):
+    spec = metrics.MetricSpec
+    df = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "a double, b double")
+    got = {r.name: (r.problem, r.n_rows) for r in metrics.check_catalogue(df, [spec("r", "ratio_of_sums", numerator="a", denominator="b"), spec("m", "median", column="z"), spec("n", "count")]).collect()}
+    assert got == {"r": (None, 1), "m": ("m: no columns ['z']", 0), "n": (None, 2)}
