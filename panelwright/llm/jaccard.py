@@ -18,9 +18,13 @@ from .textvec import SPACE, Words, buffers, chunks, mix, windows
 SIZE, LEAST = 5, (4, 5)
 #: Of pairs at the least similarity, the share that the bands may miss; minima in a band.
 MISS, ROWS = 1e-5, 6
-#: Documents of one component that are compared in one task, and texts of one bucket whose minima are; larger components
-#: and buckets are dealt out as pairs of blocks.
-BLOCK = 256
+#: Texts and n-grams (32 MB of them) that are compared in one task, or as two such blocks; texts of one bucket whose minima are.
+#: Larger components and buckets are dealt out as pairs of blocks. A longer text is a block of its own.
+BLOCK, GRAMS = 256, 4_000_000
+#: From so many screened pairs of one bucket on, two blocks are compared whole.
+DENSE = 16
+#: Tasks that a large bucket's first text is sent to.
+SALTS = 16
 #: Columns of the incidence matrix that are in memory at once.
 COLUMNS = 8192
 
@@ -70,15 +74,18 @@ def _parameters(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
-    """(doc_id, digest, bands, minima): one 64-bit number for each band, null for texts without a word; a byte of each minimum."""
+    """(doc_id, digest, bands, minima, n_grams): one 64-bit number for each band, null for texts without a word; a byte of each
+    minimum; how many n-grams the text has."""
     mul, add = _parameters(rows * bands)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list[int] | None] = []
             minima: list[bytes] = []
+            sizes: list[int] = []
             for h, doc, n, _ in shingles(b.column("text"), size):
                 border = np.searchsorted(doc, np.arange(n + 1))
+                sizes += np.diff(border).tolist()
                 low = np.full((n, rows * bands), np.iinfo(np.uint64).max, np.uint64)
                 for d in np.flatnonzero(np.diff(border)):
                     own = h[border[d] : border[d + 1]]
@@ -92,9 +99,9 @@ def signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
                 empty = np.diff(border) == 0
                 out += [None if e else x for e, x in zip(empty.tolist(), band, strict=True)]
                 minima += map(bytes, (low >> np.uint64(16)).astype(np.uint8))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(out, pa.list_(pa.int64())), pa.array(minima, pa.binary())], names=["doc_id", "digest", "bands", "minima"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("digest"), pa.array(out, pa.list_(pa.int64())), pa.array(minima, pa.binary()), pa.array(sizes, pa.int64())], names=["doc_id", "digest", "bands", "minima", "n_grams"])
 
-    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>, minima binary")
+    return docs.select("doc_id", "digest", "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>, minima binary, n_grams long")
 
 
 def _screen(least: int):
@@ -136,20 +143,58 @@ def _like_first(least: int):
     return run
 
 
+def _between(link: np.ndarray, node: np.ndarray, block: np.ndarray, dense: int) -> Iterator[pa.RecordBatch]:
+    """Screened pairs of one bucket, or part of one, by the blocks (i, j) of their texts: the pairs (a, b), or a row with a = -1
+    where `dense` or more lie between two blocks."""
+    a, b = np.nonzero(np.triu(link, 1))
+    if not len(a):
+        return
+    ends = np.stack([np.minimum(block[a], block[b]), np.maximum(block[a], block[b])], axis=1)
+    pairs, at, times = np.unique(ends, axis=0, return_inverse=True, return_counts=True)
+    at = at.reshape(-1)
+    few, many = np.flatnonzero(times[at] < dense), np.flatnonzero(times >= dense)
+    rows = np.concatenate([np.column_stack([ends[few], np.minimum(node[a[few]], node[b[few]]), np.maximum(node[a[few]], node[b[few]])]), np.column_stack([pairs[many], np.full((len(many), 2), -1)])])
+    yield pa.RecordBatch.from_arrays([pa.array(rows[:, c]) for c in range(4)], names=["i", "j", "a", "b"])
+
+
+def _held(batches: list[pa.RecordBatch], *columns: str) -> tuple[np.ndarray, ...]:
+    """Different nodes, their minima, and further columns of each."""
+    node, first = np.unique(np.concatenate([b.column("node").to_numpy() for b in batches]), return_index=True)
+    minima = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for b in batches for x in b.column("minima")])
+    return node, minima[first], *(np.concatenate([b.column(c).to_numpy() for b in batches])[first] for c in columns)
+
+
+def _pairs(least: int):
+    """Screened pairs of the texts of one bucket that lie in large components."""
+    dense = DENSE
+
+    def run(key, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, minima, block = _held(batches, "block")
+        yield from _between(np.stack([(minima[k] == minima).sum(axis=1) >= least for k in range(len(node))]), node, block, dense)
+
+    return run
+
+
+def _across(batches: list[pa.RecordBatch], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, links between the strangers (side 0) and all rows, and the place of each row's node."""
+    raw = np.concatenate([b.column("node").to_numpy() for b in batches])
+    side = np.concatenate([b.column("side").to_numpy() for b in batches])
+    node, minima = _held(batches)
+    at = np.searchsorted(node, raw)
+    stranger = np.zeros(len(node), bool)
+    stranger[at[side == 0]] = True
+    link = np.zeros((len(node), len(node)), bool)
+    for k in np.flatnonzero(stranger):
+        link[k] = (minima[k] == minima).sum(axis=1) >= least
+    return node, link | link.T, at
+
+
 def _screen_across(least: int):
     """Like _screen, between the rows of a block of strangers (side 0) and those of a block of the bucket (side 1)."""
 
     def run(key, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node = np.concatenate([b.column("node").to_numpy() for b in batches])
-        side = np.concatenate([b.column("side").to_numpy() for b in batches])
-        minima = np.stack([np.frombuffer(x.as_buffer(), np.uint8) for b in batches for x in b.column("minima")])
-        node, first, at = np.unique(node, return_index=True, return_inverse=True)
-        stranger = np.zeros(len(node), bool)
-        stranger[at[side == 0]] = True
-        link = np.zeros((len(node), len(node)), bool)
-        for k in np.flatnonzero(stranger):
-            link[k] = (minima[first[k]] == minima[first]).sum(axis=1) >= least
-        root = _least_reached(link | link.T)
+        node, link, _ = _across(batches, least)
+        root = _least_reached(link)
         moved = np.flatnonzero(root != np.arange(len(node)))
         if len(moved):
             yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
@@ -157,40 +202,88 @@ def _screen_across(least: int):
     return run
 
 
-def _large(held: DataFrame, texts: DataFrame, least: int) -> DataFrame:
-    """Links of the buckets of more than BLOCK texts. Texts that share `least` minima with the bucket's first text hang
-    together through it, so pairs of them need no look; all other texts (strangers) are compared with every text of the
-    bucket, in pairs of blocks. A bucket of near copies costs one comparison a text, and one of unlike texts links only
-    those that may be similar enough."""
-    minima = texts.select("node", "minima")
-    rows = held.join(minima, "node").join(minima.select(F.col("node").alias("low"), F.col("minima").alias("first")), "low")
-    marked = materialize(rows.select("band", "node", "low", "minima", "first").mapInArrow(_like_first(least), "band long, node long, low long, minima binary, near boolean"))
+def _pairs_across(least: int):
+    """Like _pairs, between the rows of a block of strangers and those of a block of the bucket."""
+    dense = DENSE
+
+    def run(key, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, link, _ = _across(batches, least)
+        _, _, block = _held(batches, "block")
+        yield from _between(link, node, block, dense)
+
+    return run
+
+
+def _strangers(marked: DataFrame, *more: str) -> DataFrame:
+    """The texts of large buckets that are unlike their bucket's first one, beside all texts of the bucket, as pairs of blocks
+    (band, i, j): side 0 and side 1."""
     parts = marked.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.ceil(F.count_if(~F.col("near")) / BLOCK).alias("strange"))
     dealt = marked.join(parts.where("strange > 0"), "band")
-    first = dealt.where(~F.col("near")).select("band", F.pmod(F.xxhash64("node", F.lit(2)), "strange").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"), "node", "minima")
-    second = dealt.select("band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strange") - 1)).alias("i"), F.pmod(F.xxhash64("node", F.lit(3)), "blocks").alias("j"), F.lit(1).alias("side"), "node", "minima")
-    across = grouped(first.unionByName(second), ["band", "i", "j"], _screen_across(least), "a long, b long")
-    return marked.where(F.col("near") & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(across)
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    first = dealt.where(~F.col("near")).select("band", F.pmod(F.xxhash64("node", F.lit(2)), "strange").alias("i"), F.explode(upto("blocks")).alias("j"), F.lit(0).alias("side"), "node", "minima", *more)
+    second = dealt.select("band", F.explode(upto("strange")).alias("i"), F.pmod(F.xxhash64("node", F.lit(3)), "blocks").alias("j"), F.lit(1).alias("side"), "node", "minima", *more)
+    return first.unionByName(second)
 
 
-def _candidates(texts: DataFrame, bands: int, rows: int, similarity: float) -> DataFrame:
-    """Links (a, b) whose components hold every pair to verify: texts of one bucket whose minima say that they are similar
-    enough. Buckets with the same texts count once; one of more than BLOCK texts is screened in blocks."""
-    least = equal_minima(bands * rows, similarity)
+def _mark(held: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """Texts of the buckets of more than BLOCK texts, and whether they share `least` minima with the bucket's first text. Such
+    ones hang together through it. The first text is sent to SALTS tasks, so no bucket's texts need meet in one."""
+    minima = texts.select("node", "minima")
+    salted = held.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    firsts = held.select("low").distinct().join(minima.withColumnRenamed("node", "low"), "low").select("low", F.col("minima").alias("first"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    rows = salted.join(firsts, ["low", "salt"]).join(minima, "node")
+    return materialize(rows.select("band", "node", "low", "minima", "first").mapInArrow(_like_first(least), "band long, node long, low long, minima binary, near boolean"))
+
+
+def _buckets(texts: DataFrame) -> DataFrame:
+    """Texts by bucket (band, node), with the bucket's smallest text and its number of texts. Buckets with the same texts count
+    once."""
     band = texts.select("node", F.explode("bands").alias("band"))
     buckets = band.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.shiftright(F.xxhash64(F.lit(1), "node"), 20)).alias("y"))
     buckets = buckets.where("low < high").groupBy("low", "n", "x", "y").agg(F.min("band").alias("band"))
-    held = materialize(band.join(buckets.select("band", "low", "n"), "band"))
+    return materialize(band.join(buckets.select("band", "low", "n"), "band"))
+
+
+def _links(held: DataFrame, marked: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """Links (a, b) along which all screened pairs hang together. A bucket of near copies costs one comparison a text."""
     small = held.where(F.col("n") <= BLOCK).join(texts.select("node", "minima"), "node").select("band", "node", "minima")
     near = grouped(small, ["band"], _screen(least), "a long, b long")
-    return _large(held.where(F.col("n") > BLOCK), texts, least).unionByName(near)
+    across = grouped(_strangers(marked), ["band", "i", "j"], _screen_across(least), "a long, b long")
+    return marked.where(F.col("near") & (F.col("node") != F.col("low"))).select(F.col("node").alias("a"), F.col("low").alias("b")).unionByName(across).unionByName(near)
+
+
+def _in_blocks(candidates: DataFrame, held: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, block, large): a component of BLOCK texts and GRAMS n-grams at most is one block. The texts of a larger one lie by
+    the smallest text that one of their buckets holds, so near copies are together and a chain's texts near each other."""
+    sized = candidates.join(texts.select("node", "n_grams"), "node")
+    sizes = sized.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_grams").alias("g"))
+    large = (F.col("n") > BLOCK) | (F.col("g") > GRAMS)
+    members = sized.join(sizes.select("root", large.alias("large")), "root")
+    near = held.groupBy("node").agg(F.min("low").alias("key"))
+    spread = members.where("large").join(near, "node")
+    parts = spread.groupBy("root", "key").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_grams") / GRAMS)).alias("parts"))
+    spread = spread.join(parts, ["root", "key"]).select("node", F.xxhash64("root", "key", F.pmod(F.xxhash64("node"), "parts")).alias("block"), F.lit(True).alias("large"))
+    return members.where("NOT large").select("node", F.xxhash64("root").alias("block"), F.lit(False).alias("large")).unionByName(spread)
+
+
+def _screened(held: DataFrame, marked: DataFrame, blocks: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """What has to be verified in large components: blocks (i, j) to compare whole (a = -1), and pairs (a, b) of texts."""
+    large = blocks.where("large").select("node", "block")
+    small = held.where(F.col("n") <= BLOCK).join(large, "node").join(texts.select("node", "minima"), "node").select("band", "node", "block", "minima")
+    pairs = grouped(small, ["band"], _pairs(least), "i long, j long, a long, b long")
+    rows = marked.join(large, "node")
+    across = grouped(_strangers(rows, "block"), ["band", "i", "j"], _pairs_across(least), "i long, j long, a long, b long")
+    # texts that are like the first one of a large bucket are likely like each other: all pairs of their blocks
+    alike = rows.where("near").select("band", "block").distinct()
+    each = alike.select("band", F.col("block").alias("i")).join(alike.select("band", F.col("block").alias("j")), "band").where("i <= j").select("i", "j", F.lit(-1).cast("long").alias("a"), F.lit(-1).cast("long").alias("b"))
+    return materialize(pairs.unionByName(across).unionByName(each).distinct())
 
 
 def _verify(least: tuple[int, int]):
-    """Counts links of one group, in which i = j means all pairs and i < j pairs across two blocks."""
+    """Counts links of one group, in which i = j means all pairs of a block and i < j pairs across two blocks."""
 
     def run(key, batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, i, j = key
+        i, j = key
         node = np.concatenate([b.column("node").to_numpy() for b in batches])
         copies = np.concatenate([b.column("copies").to_numpy() for b in batches])
         block = np.concatenate([b.column("block").to_numpy() for b in batches])
@@ -229,6 +322,23 @@ def _verify(least: tuple[int, int]):
     return run
 
 
+def _verify_pairs(least: tuple[int, int]):
+    """Links of single pairs (a, b, their copies and n-grams), told from both ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for a, b, ca, cb, x, y in zip(*(batch.column(c) for c in ("a", "b", "copies_a", "copies_b", "grams_a", "grams_b")), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both * (least[0] + least[1]) >= least[0] * (len(x) + len(y)):
+                    a, b = a.as_py(), b.as_py()
+                    rows += [(a, min(a, b), cb.as_py()), (b, min(a, b), ca.as_py())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["node", "root", "links"])
+
+    return run
+
+
 def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss: float = MISS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """Links of all documents whose sets of word n-grams have a Jaccard similarity of `least` (a fraction) or more.
 
@@ -239,9 +349,11 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
 
     Words are split at ASCII white space. Copies are one node, so a text that a third of all rows share costs no more
     than any other. Candidates are texts that share a band and, by their minima, may be similar enough; candidates that
-    hang together form a component, and each component's pairs are all verified on their full sets, in blocks of BLOCK
-    texts that are dealt out over tasks. Null, empty and
-    wordless texts link with nothing, not even with each other. Rows with a null doc_id take part; a class of such rows
+    hang together form a component. A component of at most BLOCK texts and GRAMS n-grams is verified whole on the full sets. In a
+    larger one only screened pairs are: two blocks with many of them are compared whole in one task, and other pairs one by
+    one, so a group of near copies goes in blocks and a long chain costs in proportion to its length. Null, empty and
+    wordless texts link with nothing, not even with each other. A long text is compared whole; an empty table gives empty
+    tables; columns beside doc_id and text are not read. Rows with a null doc_id take part; a class of such rows
     alone has a null id.
     """
     spark = docs.sparkSession
@@ -250,13 +362,15 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
     docs = docs.select("doc_id", F.unhex(F.md5(text.cast("binary"))).alias("digest"), text.cast("binary").alias("text"))
     bands = bands_for(least[0] / least[1], rows, miss)
     signed = signatures(docs, size, rows, bands)
-    texts = signed.groupBy("digest").agg(F.first("bands").alias("bands"), F.first("minima").alias("minima"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    texts = signed.groupBy("digest").agg(F.first("bands").alias("bands"), F.first("minima").alias("minima"), F.first("n_grams").alias("n_grams"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     texts = materialize(texts.where("bands is not null").withColumn("node", F.monotonically_increasing_id()))
-    candidates = components(_candidates(texts, bands, rows, least[0] / least[1]))
-    blocks = candidates.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    members = candidates.join(blocks, "root").join(texts.select("node", "digest", "first_id", "copies"), "node")
-    wanted = members.select("digest", F.col("first_id").alias("id"), "node", "root", "copies", "blocks")
-    rows_of = docs.join(wanted, (docs["digest"] == wanted["digest"]) & docs["doc_id"].eqNullSafe(wanted["id"])).select("text", "node", "root", "copies", "blocks")
+    screen = equal_minima(bands * rows, least[0] / least[1])
+    held = _buckets(texts)
+    marked = _mark(held.where(F.col("n") > BLOCK), texts, screen)
+    candidates = components(_links(held, marked, texts, screen))
+    blocks = materialize(_in_blocks(candidates, held, texts))
+    wanted = blocks.join(texts.select("node", "digest", F.col("first_id").alias("id"), "copies"), "node")
+    rows_of = docs.join(wanted, (docs["digest"] == wanted["digest"]) & docs["doc_id"].eqNullSafe(wanted["id"])).select("text", "node", "copies", "block", "large")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -264,15 +378,25 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
             for h, doc, n, _ in shingles(b.column("text"), size):
                 border = np.searchsorted(doc, np.arange(n + 1))
                 out += [np.unique(h[border[d] : border[d + 1]]).tobytes() for d in range(n)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("node", "root", "copies", "blocks")), pa.array(out, pa.binary())], names=["node", "root", "copies", "blocks", "grams"])
-
-    sets = rows_of.mapInArrow(grams, "node long, root long, copies long, blocks long, grams binary")
-    sets = sets.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    sets = sets.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "copies", "block", "grams")
-    found = materialize(grouped(sets, ["root", "i", "j"], _verify(least), "node long, root long, links long"))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("node", "copies", "block")), pa.array(out, pa.binary())], names=["node", "copies", "block", "grams"])
+
+    made = "node long, copies long, block long, grams binary"
+    whole = rows_of.where("NOT large").select("text", "node", "copies", "block").mapInArrow(grams, made).select(F.col("block").alias("i"), F.col("block").alias("j"), *(c.split()[0] for c in made.split(", ")))
+    pairs = None
+    if not blocks.where("large").isEmpty():
+        sets = materialize(rows_of.where("large").select("text", "node", "copies", "block").mapInArrow(grams, made))
+        screened = _screened(held, marked, blocks, texts, screen)
+        dense = screened.where("a < 0").select("i", "j").distinct()
+        ends = dense.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
+        whole = whole.unionByName(sets.join(ends, "block").select("i", "j", "node", "copies", "block", "grams"))
+        single = screened.where("a >= 0").join(dense, ["i", "j"], "left_anti").select("a", "b").distinct()
+        end = lambda c: sets.select(F.col("node").alias(c), F.col("copies").alias(f"copies_{c}"), F.col("grams").alias(f"grams_{c}"))
+        pairs = single.join(end("a"), "a").join(end("b"), "b").mapInArrow(_verify_pairs(least), "node long, root long, links long")
+    found = grouped(whole, ["i", "j"], _verify(least), "node long, root long, links long")
+    found = materialize(found if pairs is None else found.unionByName(pairs))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    whole = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    classed = texts.select("node", "digest", "first_id", "copies").join(whole, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    reached = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    classed = texts.select("node", "digest", "first_id", "copies").join(reached, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classed = materialize(classed)
     discard(found)
     discard(texts)

@@ -54,9 +54,12 @@ def test_odd_rows(odd, clashing, none):
     assert got(odd) == want and got(clashing) == want and got(none) == []
 
 
-@pytest.mark.parametrize("block", [4, jaccard.BLOCK])
-def test_near_copies_in_blocks(spark, block, monkeypatch):
+@pytest.mark.parametrize("block,grams,dense", [(4, 1000, 1), (4, 1000, 3), (4, 10**6, 10**6), (16, 500, 4), (jaccard.BLOCK, jaccard.GRAMS, jaccard.DENSE)])
+def test_near_copies_in_blocks(spark, block, grams, dense, monkeypatch):
+    """Whole blocks only, blocks and pairs, pairs only, blocks cut by their n-grams, one block."""
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "GRAMS", grams)
+    monkeypatch.setattr(jaccard, "DENSE", dense)
     monkeypatch.setattr(jaccard, "COLUMNS", 16)
     docs = near(spark)
     assert got(docs) == brute(docs.collect())
@@ -72,8 +75,29 @@ def test_large_bucket_of_unlike_texts(spark):
         minima = np.where(rng.random(228) < 0.1, rng.integers(0, 256, 228, np.uint8), kinds[kind])
         rows.append((node, [7], bytes(minima.astype(np.uint8))))
     texts = spark.createDataFrame(rows, "node long, bands array<long>, minima binary")
-    found = {r.node: r.root for r in components(jaccard._candidates(texts, 38, 6, 0.8)).collect()}
+    least, held = jaccard.equal_minima(228, 0.8), jaccard._buckets(texts)
+    marked = jaccard._mark(held, texts, least)
+    found = {r.node: r.root for r in components(jaccard._links(held, marked, texts, least)).collect()}
     assert found == {n: n % 4 or 4 for n in range(1, 900)}
+    # what is to be verified holds every pair of a group, and no pair of two
+    blocks = texts.select("node", (F.col("node") % 7).alias("block"), F.lit(True).alias("large"))
+    rows = jaccard._screened(held, marked, blocks, texts, least).collect()
+    single, dense = {(r.a, r.b) for r in rows if r.a >= 0}, {(r.i, r.j) for r in rows if r.a < 0}
+    assert all((a - b) % 4 == 0 for a, b in single)
+    assert all((a, b) in single or tuple(sorted((a % 7, b % 7))) in dense for a in range(1, 900, 5) for b in range(a + 4, 900, 4))
+
+
+def test_a_chain_costs_in_proportion_to_its_length(spark, monkeypatch):
+    """4,000 texts, each like the next one alone: one component, whose pairs are verified one by one."""
+    monkeypatch.setattr(jaccard, "BLOCK", 64)
+    n, seen, materialize = 4000, [], jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, *a, **k: seen.append(materialize(df, *a, **k)) or seen[-1])
+    docs = spark.range(n).select((F.col("id") * 7919 % n).alias("doc_id"), F.array_join(F.transform(F.sequence(F.col("id") * 3, F.col("id") * 3 + 39), lambda x: F.concat(F.lit("w"), x)), " ").alias("text"))
+    place = {i * 7919 % n: i for i in range(n)}
+    out = got(docs.repartition(8))
+    assert len(out) == n and all(links == (1 if place[i] in (0, n - 1) else 2) and low == 0 for i, links, low in out)
+    (marks,) = [d for d in seen if d.columns == ["i", "j", "a", "b"]]
+    assert marks.where("a >= 0").select("a", "b").distinct().count() + marks.where("a < 0").count() < 4 * n
 
 
 def test_families_that_share_half_their_words(spark, monkeypatch):
