@@ -311,7 +311,8 @@ def _dictionary(docs: DataFrame, path: str) -> dict[str, list[int]]:
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """docs with ids (array of int), the whole text's ids without special tokens; null texts count as empty.
 
-    Columns named like the new ones are replaced, all others stay; repeated rows are encoded one by one.
+    Columns named like the new ones are replaced, all others stay; repeated rows are encoded one by one. A long text is
+    encoded whole; bytes that are no UTF-8 are read as U+FFFD; an empty table gives an empty table.
     """
     path = path or public_tokenizers.path(VOCABULARY)
     shared = docs.sparkSession.sparkContext.broadcast(_dictionary(docs, path))

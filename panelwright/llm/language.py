@@ -308,6 +308,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_known(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The stage: documents without letters go, and those in which no language has LEAST_SCORE of the letters."""
+    """The stage: documents without letters go (null and empty texts too), and those in which no language has LEAST_SCORE of the
+    letters. Rows are judged one by one, repeated ones alike; an empty table stays empty; all columns stay as they are."""
     kept = identify(docs.select(F.struct(*others(docs, [])).alias("_doc"), "text"), _learn(docs)).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
     return kept.select("_doc.*")

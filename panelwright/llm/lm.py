@@ -297,7 +297,8 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     score is the log10 probability of the text: over its tokens (words, then one end), log10 of the class transition
     (ALPHA added to each count) times the word within its class (one added to each count, and one unseen word). Texts
     that are null count as empty: one token, the end. With no training text all counts are zero. Rows are scored one by
-    one, repeated ids too; other columns stay, ones named like the new ones are replaced.
+    one, repeated ids too; other columns of any type stay, ones named like the new ones are replaced. A long text is scored
+    whole, in batches of one text if need be; an empty table gives an empty table.
     """
     spark = docs.sparkSession
     short_batches(spark)
@@ -348,7 +349,7 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     joined = parts.join(counts.select("hash", "n").withColumn("cold", F.lit(True)), (parts["hash"] == counts["hash"]) & (parts["times"] > 0), "left").select("row", "doc", "n_tokens", "times", F.coalesce("n", F.lit(0)).alias("n"), "n_known", "base", "score")
     cold = F.col("times") > 0
     summed = joined.groupBy("row").agg(
-        F.max(F.when(~cold, F.col("doc"))).alias("doc"),
+        F.any_value(F.when(~cold, F.col("doc")), True).alias("doc"),  # one row for each document, so any type will do
         F.max("n_tokens").alias("n_tokens"),
         F.sum(F.when(cold, F.when(F.col("n") > 0, F.col("times")).otherwise(0)).otherwise(F.col("n_known"))).alias("n_known"),
         F.sum(F.when(cold, F.col("times") * F.log10((F.col("n") + 1) / F.lit(model.base_total))).otherwise(F.col("base"))).alias("base_score"),

@@ -189,5 +189,6 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: the packed pieces of the documents that are left."""
+    """The last stage: the packed pieces of the documents that are left. Null and empty texts are one piece of one token, repeated
+    rows are packed one by one, an empty table gives no pieces."""
     return pack(docs.select("doc_id", "text"))

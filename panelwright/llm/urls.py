@@ -156,7 +156,8 @@ def judge(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str, str]], d
 
     A rule fits its host and all subdomains if the path starts with the rule's. A null url or one without :// has an
     empty host and path, which no rule fits. Equally long rules: the one with the longer host wins. Columns named like
-    the new ones are replaced; all others stay.
+    the new ones are replaced; all others stay. Repeated pages are judged one by one, a long url whole; an empty table gives
+    an empty table, and without rules every page gets the default.
 
     rules is a table (host, path, verdict) of any size that an executor's disk holds, or a short list of such rows, whose
     first one holds where keys repeat. Spark hashes and groups the rules; none of them passes through the driver.

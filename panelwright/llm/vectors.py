@@ -158,6 +158,7 @@ def near(vectors: DataFrame, least: float = LEAST, trees: int = TREES, leaf: int
     link; each length is compared in a pass of its own. Every node is indexed in every tree; a pair is found if one leaf
     of one tree holds both, and linked if its cosine in double precision is `least` or more. A row with a null vec_id
     takes part and has its own null as component unless links reach an id. Repeated rows count as vectors of their own.
+    Vectors at exactly `least` link; an empty table gives an empty one; other columns are not read.
     """
     spark = vectors.sparkSession
     short_batches(spark)

@@ -101,3 +101,11 @@ def test_exchange_finds_planted_classes():
             pairs[i, j], pairs[j, i] = rng.integers(1, 9, 2)
     of = lm.exchange(pairs, 20, classes=2)
     assert len(set(of[:10])) == 1 and len(set(of[10:20])) == 1 and of[0] != of[10] and of[20] == 2
+
+
+def test_columns_of_any_type_stay(spark):
+    from panelwright.llm import lm
+
+    docs = spark.sql("SELECT * FROM VALUES (1L, 'a b', map('k', 1)), (2L, 'a c', map('k', 2)), (3L, null, null) AS t(doc_id, text, m)")
+    got = {r.doc_id: r.m for r in lm.score(docs, docs).collect()}
+    assert got == {1: {"k": 1}, 2: {"k": 2}, 3: None}
