@@ -73,6 +73,7 @@ def stored(make):
             _stored[key] = path
         return spark.read.schema(built.schema).parquet(_stored[key])
 
+    panel.__name__ = make.__name__
     return panel
 
 

@@ -81,6 +81,16 @@ def s06(spark, sf):
     return out.withColumns({c: r6(c) for c in ("median", "low", "high")})
 
 
+@query("s06_bootstrap_interval", SUPPLIER_YEAR + f""", e AS (SELECT entity, period, renewable_share AS v FROM p WHERE renewable_share IS NOT NULL),
+  d AS (SELECT r, v, {_WEIGHT} AS w FROM {_drawn("e", "entity", "period")}), c AS (SELECT r, v, sum(w) OVER (PARTITION BY r ORDER BY v) AS upto, sum(w) OVER (PARTITION BY r) AS total FROM d),
+  m AS (SELECT r, (min(v) FILTER (WHERE upto >= floor((total + 1) / 2.0::DOUBLE)) + min(v) FILTER (WHERE upto >= ceil((total + 1) / 2.0::DOUBLE))) / 2 AS x FROM c WHERE total > 0 GROUP BY ALL)
+  SELECT round(quantile_cont(x, 0.025), 6) AS low, round(quantile_cont(x, 0.975), 6) AS high FROM m""")
+def s06c(spark, sf):
+    """The median over all rows: one group."""
+    out = again.bootstrap_median(supplier_year(spark, sf), "renewable_share", [], ["entity", "period"], N, SEED)
+    return out.select(r6("low").alias("low"), r6("high").alias("high"))
+
+
 @query("s06_bootstrap_pooled_rho")
 def s06b(spark, sf):
     out = again.bootstrap_pooled_rho(supplier_year(spark, sf), "emissions", "renewable_share", ["sector", "period"], "entity", N, SEED)
