@@ -378,19 +378,20 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
             for h, doc, n, _ in shingles(b.column("text"), size):
                 border = np.searchsorted(doc, np.arange(n + 1))
                 out += [np.unique(h[border[d] : border[d + 1]]).tobytes() for d in range(n)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("node", "copies", "block")), pa.array(out, pa.binary())], names=["node", "copies", "block", "grams"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("node", "copies", "block", "large")), pa.array(out, pa.binary())], names=["node", "copies", "block", "large", "grams"])
 
-    made = "node long, copies long, block long, grams binary"
-    whole = rows_of.where("NOT large").select("text", "node", "copies", "block").mapInArrow(grams, made).select(F.col("block").alias("i"), F.col("block").alias("j"), *(c.split()[0] for c in made.split(", ")))
-    pairs = None
+    # texts are brought to their candidates once; what follows reads the candidates' n-grams alone
+    sets = materialize(rows_of.mapInArrow(grams, "node long, copies long, block long, large boolean, grams binary"))
+    columns, pairs = ["node", "copies", "block", "grams"], None
+    whole = sets.where("NOT large").select(F.col("block").alias("i"), F.col("block").alias("j"), *columns)
     if not blocks.where("large").isEmpty():
-        sets = materialize(rows_of.where("large").select("text", "node", "copies", "block").mapInArrow(grams, made))
+        spread = sets.where("large").select(*columns)
         screened = _screened(held, marked, blocks, texts, screen)
         dense = screened.where("a < 0").select("i", "j").distinct()
         ends = dense.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
-        whole = whole.unionByName(sets.join(ends, "block").select("i", "j", "node", "copies", "block", "grams"))
+        whole = whole.unionByName(spread.join(ends, "block").select("i", "j", *columns))
         single = screened.where("a >= 0").join(dense, ["i", "j"], "left_anti").select("a", "b").distinct()
-        end = lambda c: sets.select(F.col("node").alias(c), F.col("copies").alias(f"copies_{c}"), F.col("grams").alias(f"grams_{c}"))
+        end = lambda c: spread.select(F.col("node").alias(c), F.col("copies").alias(f"copies_{c}"), F.col("grams").alias(f"grams_{c}"))
         pairs = single.join(end("a"), "a").join(end("b"), "b").mapInArrow(_verify_pairs(least), "node long, root long, links long")
     found = grouped(whole, ["i", "j"], _verify(least), "node long, root long, links long")
     found = materialize(found if pairs is None else found.unionByName(pairs))
@@ -398,8 +399,8 @@ def join(docs: DataFrame, size: int = SIZE, least: tuple[int, int] = LEAST, miss
     reached = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     classed = texts.select("node", "digest", "first_id", "copies").join(reached, "node", "left").join(links, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classed = materialize(classed)
-    discard(found)
-    discard(texts)
+    for done in (found, texts, sets):
+        discard(done)
     low = F.struct(F.col("first_id").isNull().alias("a"), F.col("first_id").alias("b"), F.col("digest").alias("c"))
     heads = classed.groupBy("root").agg(F.min(low).alias("low")).select("root", F.col("low.b").alias("class_id"), F.col("low.c").alias("class_digest"))
     classes = classed.join(heads, "root").select("digest", "first_id", "copies", "class_id", "class_digest", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
