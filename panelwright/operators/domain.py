@@ -139,7 +139,7 @@ def normalise_values(df: DataFrame, units: DataFrame, value: str = "raw_value",
     """Numbers brought to standard units by a rule table (unit_label_raw, unit_std, multiplier), percents to 0-100 and
     durations to days; every change leaves a flag, and the raw value stays."""
     number = F.coalesce(clean.iso_duration_days(F.col(value)), clean.number_from_text(F.col(value)))
-    joined = df.join(F.broadcast(units), F.col(unit) == F.col("unit_label_raw"), "left")
+    joined = df.join(units, F.col(unit) == F.col("unit_label_raw"), "left")
     percent = (F.col("unit_std") == "percent") & (F.abs(number) <= 1)
     out = F.when(percent, number * 100).otherwise(number * F.coalesce("multiplier", F.lit(1.0)))
     flags = clean.pack_flags([

@@ -115,7 +115,7 @@ def indicator_disclosure(answers: DataFrame, entity: Sequence[str], element: str
     """An indicator (indicators: element, indicator) is disclosed if any of its elements has an answer that says something:
     "not applicable" doesn't, a zero does."""
     says = (F.length(clean.strip_html(F.col(text))) > 0) & ~clean.is_na_text(F.col(text))
-    return answers.join(F.broadcast(indicators), F.col(element) == indicators["element"]).groupBy(*entity, "indicator").agg(F.coalesce(F.bool_or(says), F.lit(False)).alias("disclosed"), F.count("*").alias("n_elements"))
+    return answers.join(indicators, F.col(element) == indicators["element"]).groupBy(*entity, "indicator").agg(F.coalesce(F.bool_or(says), F.lit(False)).alias("disclosed"), F.count("*").alias("n_elements"))
 
 
 def assurance_score(marks: DataFrame, reasonable: str, limited: str, wide: str, total: str, points: Mapping[str, float], share: float = 0.1) -> DataFrame:
