@@ -39,7 +39,7 @@ def number(key: Column | str, seed: int, *more: Column | str) -> Column:
     """What a row's key brings to all its draws."""
     x = F.lit(fifth(seed + 1)).cast("long")
     for k in (key, *more):
-        x = fifth((x + F.pmod((F.col(k) if isinstance(k, str) else k).cast("long"), F.lit(P)) + 1) % P)
+        x = fifth((x + F.coalesce(F.pmod((F.col(k) if isinstance(k, str) else k).cast("long"), F.lit(P)), F.lit(0)) + 1) % P)  # no key: as 0
     return x
 
 
