@@ -402,15 +402,18 @@ def bootstrap_median(df: DataFrame, value: str, by: Sequence[str], key: Sequence
     def totals(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        kind, held = to_arrow_schema(schema), {}
+        kind, now, sums = to_arrow_schema(schema), None, np.zeros(n)
+        told = lambda: pa.RecordBatch.from_pylist([dict(zip(kind.names, (*now, sums.tolist()), strict=True))], kind)
         for group, b in _segments(batches, keys):
-            sums, k = held.setdefault(group, np.zeros(n)), b.column("_k").to_numpy()
+            if group != now:
+                if now is not None:
+                    yield told()
+                now, sums = group, np.zeros(n)
+            k = b.column("_k").to_numpy()
             for first, last in _chunks(n, len(k)):
                 sums[first - 1 : last - 1] += poisson(draws(k, first, last)).sum(axis=1)
-            if len(held) > 8:  # rows come in order, so earlier ranges are done
-                yield from (pa.RecordBatch.from_pylist([dict(zip(kind.names, (*g, s.tolist()), strict=True))], kind) for g, s in held.items() if g != group)
-                held = {group: sums}
-        yield from (pa.RecordBatch.from_pylist([dict(zip(kind.names, (*g, s.tolist()), strict=True))], kind) for g, s in held.items())
+        if now is not None:
+            yield told()
 
     schema = StructType.fromDDL(_fields(ranged, keys) + ", drawn array<double>")
     parts = ranged.select(*keys, "_v", "_k").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(totals, schema)
