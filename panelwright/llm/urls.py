@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import shutil
 import tempfile
@@ -91,9 +92,12 @@ class Index:
 
     @staticmethod
     def of(name: str, tables: tuple[list[str], list[str]]) -> Index:
-        """From the files that Spark wrote and fetched to this machine; the first worker there makes the arrays."""
-        done = f"{SparkFiles.getRootDirectory()}/{name}"
-        if not os.path.exists(done):
+        """From the files that Spark wrote and fetched to this machine. The first worker there makes the arrays and the others
+        open them; a worker that can't open them, or can't share its own, goes on with its own."""
+        done = f"{os.path.abspath(SparkFiles.getRootDirectory())}/{name}"
+        try:
+            return Index(done)
+        except OSError:  # not there yet, or not whole
             made = tempfile.mkdtemp(dir=os.path.dirname(done))
             keys, hosts = (pa.concat_tables([pq.read_table(SparkFiles.get(f)) for f in own]) for own in tables)
             raw = lambda t: t["digest"].to_numpy().view(np.uint64)
@@ -103,11 +107,14 @@ class Index:
             lengths = hosts["lengths"].take(pa.array(order)).combine_chunks() if hosts.num_rows else pa.array([], pa.list_(pa.int32()))
             lengths.flatten().to_numpy(zero_copy_only=False).astype(np.int64).tofile(f"{made}/lengths")
             np.cumsum(np.append(0, lengths.value_lengths().to_numpy(zero_copy_only=False)), dtype=np.int64).tofile(f"{made}/lengths_at")
+            index = Index(made)  # mapped before it moves, so it holds whatever becomes of the names
             try:
                 os.rename(made, done)
-            except OSError:  # another worker was faster
-                shutil.rmtree(made)
-        return Index(done)
+            except OSError:
+                with contextlib.suppress(OSError):  # another worker was faster
+                    index = Index(done)
+                shutil.rmtree(made, ignore_errors=True)
+            return index
 
     def best(self, hosts: list[str], paths: list[str]) -> list[tuple[str, bool] | None]:
         """For each url the longest rule that fits (the longer host of equal ones) and whether it allows."""
