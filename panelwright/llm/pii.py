@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,14 +19,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import others, short_batches, table, text_map
+from .common import discard, materialize, others, short_batches, table, text_map
 
 KINDS = ["email", "ip", "card", "phone"]
-#: Different texts (chosen by a hash) whose candidates train the trees, candidates used at most.
-DOCS, CANDIDATES = 20_000, 20_000
 TREES, DEPTH = 30, 4
-#: Precision that a kind's threshold must reach on the held-out half of the candidates; the least threshold.
-PRECISION, LEAST = 0.95, 0.5
+#: Precision that a kind's threshold must reach on the held-out half of the candidates; the least threshold; steps that thresholds go by.
+PRECISION, LEAST, STEPS = 0.95, 0.5, 10_000
+#: Different candidates in a task that fits the trees: their number sets the number of tasks.
+IN_TASK = 20_000
 #: Digits that joined groups may have.
 DIGITS = 19
 
@@ -41,6 +42,8 @@ _SIGN = re.compile(r"\s?(?:@|\(at\)|\[at\])\s?", re.I)
 _BEFORE, _AFTER = re.compile(r"[^\s@<>\"]+\Z"), re.compile(r"[^\s@<>\"]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _RUN_BEFORE, _RUN_AFTER = re.compile(r"[0-9\x20().-]*\Z"), re.compile(r"[0-9\x20().-]*")
+#: Where classes of the largest dotted part begin.
+_PART = [0, 10, 100, 256, 1000, 1900, 2100]
 _CONTEXT = re.compile(r"tel|phone|call|fax|mobile|mail|contact|card|visa|account|pay|address|server|host|ip\b", re.I)
 
 
@@ -150,18 +153,27 @@ def _rest(digits: str) -> tuple[int, bool]:
     return min(len(digits), DIGITS + 1), 13 <= len(digits) <= DIGITS and luhn(digits)
 
 
-def features(text: str, kind: int, a: int, b: int) -> list[float]:
+def _step(n: int) -> int:
+    """A count up to 24 as it is, a larger one by its order of magnitude: 32 values at most."""
+    return n if n < 25 else 25 + min(6, (n // 25).bit_length())
+
+
+def features(text: str, kind: int, a: int, b: int) -> list[int]:
+    """Format and context as whole numbers below 32, so that most candidates share theirs with others and can be counted."""
     span = text[a:b]
     left, right = (_NOT_DIGIT.sub("", x) for x in (_RUN_BEFORE.search(text[max(0, a - 40) : a])[0], _RUN_AFTER.match(text, b, b + 40)[0]))
     digits = _NOT_DIGIT.sub("", span)
     parts = span.split(".")
     local, _, domain = span.partition("@")
     top = domain.rsplit(".", 1)[-1]
+    counts = [
+        b - a, len(digits), span.count(" "), span.count("."), span.count("-"), span.count("("), span.count("@"), len(parts),
+        max((len(g) for g in re.findall("[0-9]+", span)), default=0), len(local), len(domain), len(top) if top.isalpha() else 0,
+    ]
     return [
-        kind, b - a, len(digits), span.count(" "), span.count("."), span.count("-"), span.count("("), span.startswith("+"), span.count("@"),
-        sum(map(str.isalpha, span)) / (b - a), luhn(digits) if digits else 0, max((int(p[:6]) for p in parts if p.isdigit()), default=-1), len(parts),
-        max((len(g) for g in re.findall("[0-9]+", span)), default=0), len(local), len(domain), len(top) if top.isalpha() else 0, _side(text, a - 1), _side(text, b),
-        text[a - 1 : a] == "+", bool(_CONTEXT.search(text, max(0, a - 24), a)), digits[:1] in ("4", "5"), *_rest(left), *_rest(right),
+        kind, *map(_step, counts), int(span.startswith("+")), 16 * sum(map(str.isalpha, span)) // (b - a), int(luhn(digits)) if digits else 0,
+        bisect_right(_PART, max((int(p[:6]) for p in parts if p.isdecimal()), default=-1)), _side(text, a - 1), _side(text, b),
+        int(text[a - 1 : a] == "+"), int(bool(_CONTEXT.search(text, max(0, a - 24), a))), int(digits[:1] in ("4", "5")), *map(int, (*_rest(left), *_rest(right))),
     ]
 
 
@@ -230,9 +242,9 @@ class Trees:
         visit(node)
         return out
 
-    def chances(self, x: list[list[float]]) -> list[float]:
+    def chances(self, x: list[list[float]] | np.ndarray) -> list[float]:
         """For many candidates at once: all of them go down each tree step by step."""
-        rows = np.array(x, np.float64).reshape(-1, WIDTH)
+        rows = np.asarray(x, np.float64).reshape(-1, WIDTH)
         margin, each = np.zeros(len(rows)), np.arange(len(rows))
         for weight, (feature, value, left, right) in zip(self.weights, self.arrays, strict=True):
             at = np.zeros(len(rows), np.int64)
@@ -244,46 +256,74 @@ class Trees:
         return (1 / (1 + np.exp(-2 * margin))).tolist()
 
 
-def train(docs: DataFrame) -> Trees | None:
-    """Trees over the candidates of about DOCS different texts at most, CANDIDATES at most (by a hash of text and place);
-    those that equal a base span are the right ones. Half of the texts train; numbers of theirs are also set beside made
-    cards (`crowded`). The other half is held out, as it is: each kind's threshold is the least chance from which PRECISION
-    of its candidates are right. None where there are too few candidates, or none of one sort."""
-    spark = docs.sparkSession
-    short_batches(spark)
-    n = docs.count()
-    share = min(1.0, DOCS / max(n, 1))
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000).select(F.coalesce("text", F.lit("")).alias("text")).distinct().withColumn("d", F.xxhash64("text")).withColumn("half", F.pmod(F.xxhash64("d", F.lit(1)), F.lit(2)))
+def _unpacked(x: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, WIDTH)
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """(half, label, x, w): how often the candidates of all different texts have the features x (a byte each) and are right
+    (label 1: equal to a base span) or not. A text's half goes by a hash. Numbers of half 0 are also set beside made ones (`crowded`)."""
+    short_batches(docs.sparkSession)
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("d", F.xxhash64("text"))
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for text, d, half in zip(*(b.column(c).to_pylist() for c in ("text", "d", "half")), strict=True):
+                found = candidates(text)
+                if not found:
+                    continue
                 base = base_spans(text)
-                each = [(text, set(base)), *(crowded(text, base, d & 0xFFFFFFFFFFFF) if half == 0 else ())]
-                rows += [(float(c in right), [float(v) for v in features(t, *c)], d, half, n, *c) for n, (t, right) in enumerate(each) for c in candidates(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.float64(), pa.list_(pa.float64()), *[pa.int64()] * 6))], names=["label", "x", "d", "half", "n", "kind", "a", "b"])
-
-    place = ["d", "n", "kind", "a", "b"]
-    proposed = some.mapInArrow(propose, "label double, x array<double>, d long, half long, n long, kind long, a long, b long").withColumn("h", F.xxhash64(*place))
-    rows = proposed.orderBy("h", *place).limit(CANDIDATES).select("label", "x", "half").collect()
-    half = [r for r in rows if r.half == 0]
-    if len({r.label for r in half}) < 2 or len(half) < 20:
+                right = set(base)
+                own = Counter((int(c in right), bytes(features(text, *c))) for c in found)
+                for t, spans in crowded(text, base, d & 0xFFFFFFFFFFFF) if half == 0 else ():
+                    own.update((int(c in spans), bytes(features(t, *c))) for c in candidates(t))
+                rows += [(d, half, *key, n) for key, n in own.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))], names=["d", "half", "label", "x", "n"])
+
+    found = texts.withColumn("half", F.pmod(F.xxhash64("d", F.lit(1)), F.lit(2))).mapInArrow(propose, "d long, half long, label long, x binary, n long")
+    # copies of a text count once
+    return found.groupBy("d", "half", "label", "x").agg(F.min("n").alias("n")).groupBy("half", "label", "x").agg(F.sum("n").alias("w"))
+
+
+def train(docs: DataFrame) -> Trees | None:
+    """Trees over the candidates of all different texts, each as often as it was counted; those that equal a base span are the
+    right ones. Half of the texts train, with made numbers beside theirs. The other half is held out, as it is: each kind's
+    threshold is the least of STEPS steps from which PRECISION of all its candidates are right. None where there are too few
+    candidates, or none of one sort. Only sums by step of chance come to the driver."""
+    tallied = materialize(counted(docs))
+    sums = tallied.where("half = 0").groupBy("label").agg(F.sum("w").alias("w"), F.count("*").alias("n")).collect()
+    if len(sums) < 2 or sum(r.w for r in sums) < 20:
+        discard(tallied)
         return None
-    data = spark.createDataFrame([(r.label, r.x) for r in half], "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
-    held = data.coalesce(1).cache()
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=5, stepSize=0.3).fit(held)
-    held.unpersist()
-    trees = Trees(model, [1.0] * len(KINDS))
-    other = [r for r in rows if r.half]
-    rest = [(int(r.x[0]), c, r.label) for r, c in zip(other, trees.chances([r.x for r in other]), strict=True)]
-    for kind in range(len(KINDS)):
-        own = sorted(((c, y) for k, c, y in rest if k == kind), reverse=True)
-        right = 0.0
-        for i, (c, y) in enumerate(own, 1):
-            right += y
-            if c >= LEAST and right >= PRECISION * i and (i == len(own) or own[i][0] < c):
-                trees.thresholds[kind] = c
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = pa.FixedSizeListArray.from_arrays(pa.array(_unpacked(b.column("x")).astype(np.float64).ravel()), WIDTH)
+            yield pa.RecordBatch.from_arrays([b.column("label").cast(pa.float64()), x.cast(pa.list_(pa.float64())), b.column("w").cast(pa.float64())], names=["label", "x", "w"])
+
+    # in the order of their features, so the same counts give the same sums
+    rows = tallied.where("half = 0").coalesce(1 + sum(r.n for r in sums) // IN_TASK).sortWithinPartitions("x", "label")
+    data = rows.select("label", "x", "w").mapInArrow(unpack, "label double, x array<double>, w double").select("label", array_to_vector("x").alias("features"), "w").cache()
+    trees = Trees(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=5, stepSize=0.3, weightCol="w").fit(data), [1.0] * len(KINDS))
+    data.unpersist()
+    edges = np.arange(STEPS) / STEPS
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _unpacked(b.column("x"))
+            steps = np.searchsorted(edges, trees.chances(x), side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].astype(np.int64)), pa.array(steps.astype(np.int64)), b.column("label"), b.column("w")], names=["kind", "step", "label", "w"])
+
+    held = tallied.where("half = 1").select("x", "label", "w").mapInArrow(weigh, "kind long, step long, label long, w long")
+    steps = held.where(F.col("step") >= LEAST * STEPS).groupBy("kind", "step").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("label")).alias("right")).collect()
+    every, right = [0] * len(KINDS), [0] * len(KINDS)
+    for r in sorted(steps, key=lambda r: -r.step):
+        every[r.kind] += r.w
+        right[r.kind] += r.right
+        if right[r.kind] >= PRECISION * every[r.kind]:
+            trees.thresholds[r.kind] = float(edges[r.step])
+    discard(tallied)
     return trees
 
 
@@ -296,7 +336,7 @@ def find(text: str, trees: Trees | None) -> tuple[list[tuple[int, int, int]], li
     free = [c for c in candidates(text) if not any(c[1] < b and a < c[2] for a, b in taken)] if len(taken) < 50 else _free(candidates(text), taken)
     if not free:
         return base, base
-    chances = trees.chances([[float(v) for v in features(text, *c)] for c in free])
+    chances = trees.chances([features(text, *c) for c in free])
     more: list[tuple[int, int, int]] = []
     begins: list[int] = []
     for _, c in sorted((-p, c) for p, c in zip(chances, free, strict=True) if p >= trees.thresholds[c[0]] and trees.thresholds[c[0]] < 1):

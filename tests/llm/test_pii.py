@@ -143,3 +143,22 @@ def test_spans_are_brute_force(spark, sf):
         assert pii.find(text, trees) == (taken, sorted([*taken, *more]))
         added += len(more)
     assert added
+
+
+def test_all_candidates_train(spark, monkeypatch):
+    """More texts and candidates than any bound of a sample: the weights that the trees get add up to every candidate of that half."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(30_000).selectExpr("concat('row ', 1000000 + id, ' of 3') as text").unionByName(spark.range(60).selectExpr("concat('call +33 1 23 45 67 ', 10 + id) as text"))
+    seen = []
+
+    class Fits(pii.GBTClassifier):
+        def fit(self, data):
+            seen.append(data.agg(F.sum("w") if "w" in data.columns else F.count("*")).first()[0])
+            return super().fit(data)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Fits)
+    assert pii.train(docs) is not None
+    half = docs.withColumn("d", F.xxhash64("text")).where(F.pmod(F.xxhash64("d", F.lit(1)), F.lit(2)) == 0).collect()
+    made = [t for r in half for t, _ in pii.crowded(r.text, pii.base_spans(r.text), r.d & 0xFFFFFFFFFFFF)]
+    assert seen == [sum(len(pii.candidates(t)) for t in [*(r.text for r in half), *made])]
