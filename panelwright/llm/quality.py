@@ -9,15 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import others, short_batches, table, text_map
+from ..operators.ordering import quantiles
+from .common import discard, materialize, others, short_batches, table, text_map
 from .textvec import NEWLINE, SPACE, Words, buffers, chunks, mix, per_doc, windows
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: At most so many labelled documents fit the forest and its threshold; at most so many of them of poor quality, as a share.
-LABELLED, CONTAMINATION = 8000, 0.03
+#: Documents of poor quality weigh at most so much in the forest, as a share of what the good ones weigh.
+CONTAMINATION = 0.03
 TREES, SAMPLE, SHRINK = 100, 256, 30
+#: Steps that the threshold goes by; different rows in a task that counts leaves (their number sets the number of tasks).
+STEPS, IN_TASK = 10_000, 20_000
 #: Share of good labelled documents that the threshold may reject.
 FALSE_REJECTS = 0.003
+#: The columns of features.
+_X = [f"x{k}" for k in range(4)]
+_X_DDL = ", ".join(f"{c} double" for c in _X)
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -82,31 +88,30 @@ def features(t: np.ndarray) -> np.ndarray:
 
 
 class IsolationForest:
-    """Random splits between the least and the largest value of a random feature, over small samples.
+    """Random splits between the least and the largest value of a random feature, over small draws of all rows (SAMPLE rows a tree:
+    without them the method fails, as extreme rows hide the others).
 
-    usual: for each feature, the value below which differences don't count.
+    usual: for each feature, the value below which differences don't count. Rows are given with their values raised to it.
     """
 
-    def __init__(self, x: np.ndarray, usual: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 7):
-        rng = np.random.default_rng(seed)
-        self.usual, x = usual, np.maximum(x, usual)
-        self.sample = min(sample, len(x))
-        self.depth = max(1, int(np.ceil(np.log2(max(2, self.sample)))))
+    def __init__(self, drawn: list[np.ndarray], usual: np.ndarray, sample: float, seed: int = 7):
+        self.usual, self.sample = usual, sample
+        self.depth = max(1, int(np.ceil(np.log2(max(2, sample)))))
         size = 2 ** (self.depth + 1) - 1
-        self.feature = np.full((trees, size), -1, np.int16)
-        self.cut = np.zeros((trees, size))
-        self.length = np.zeros((trees, size))
-        for t in range(trees):
-            self._grow(t, 0, 0, x[rng.choice(len(x), self.sample, replace=False)], rng)
+        self.feature = np.full((len(drawn), size), -1, np.int8)
+        self.cut, self.length = np.zeros((len(drawn), size)), np.zeros((len(drawn), size))
+        rng = np.random.default_rng(seed)
+        for t, x in enumerate(drawn):
+            self._grow(t, 0, 0, x, rng)
 
     @staticmethod
     def _mean_path(n: float) -> float:
-        return 0.0 if n <= 1 else 1.0 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+        """Mean depth at which one of n rows stands alone."""
+        return max(0.0, 2 * (np.log(n - 0.5) + np.euler_gamma) - 2 * (n - 1) / n) if n > 1 else 0.0
 
     def _grow(self, t: int, node: int, depth: int, x: np.ndarray, rng) -> None:
         wide = np.flatnonzero(x.max(axis=0) > x.min(axis=0)) if len(x) else np.zeros(0, int)
-        if depth >= self.depth or len(x) <= 1 or not len(wide):
-            self.length[t, node] = depth + self._mean_path(len(x))
+        if depth >= self.depth or not len(wide):
             return
         f = int(rng.choice(wide))
         cut = rng.uniform(x[:, f].min(), x[:, f].max())
@@ -114,54 +119,125 @@ class IsolationForest:
         self._grow(t, 2 * node + 1, depth + 1, x[x[:, f] <= cut], rng)
         self._grow(t, 2 * node + 2, depth + 1, x[x[:, f] > cut], rng)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """2 ** (-mean path / expected path): near 1 for what few splits set apart."""
-        x, total, rows = np.maximum(x, self.usual), np.zeros(len(x)), np.arange(len(x))
-        for t in range(len(self.feature)):
+    def nodes(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """For each tree, the leaf of each row."""
+        rows = np.arange(len(x))
+        for feature, cut in zip(self.feature, self.cut, strict=True):
             node = np.zeros(len(x), np.int64)
             for _ in range(self.depth):
-                f = self.feature[t, node]
-                node = np.where(f < 0, node, 2 * node + 1 + (x[rows, f] > self.cut[t, node]))
-            total += self.length[t, node]
-        return 2.0 ** (-total / len(self.feature) / max(self._mean_path(self.sample), 1e-9))
+                f = feature[node]
+                node = np.where(f < 0, node, 2 * node + 1 + (x[rows, f] > cut[node]))
+            yield node
 
+    def weigh(self, leaves: np.ndarray, weights: tuple[float, float]) -> None:
+        """Tree, node, and how many of all rows are in that leaf, of both weights (1 for all together): its path length is its depth
+        and what its share of a draw would take to stand alone."""
+        for tree, node, *n in leaves:
+            self.length[int(tree), int(node)] = int(node + 1).bit_length() - 1 + self._mean_path(self.sample * float(np.dot(n, weights)))
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[IsolationForest | None, float]:
-    """The forest and the score above which a document goes, from a bounded sample of labelled documents.
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """2 ** (-mean path / expected path): near 1 for what few splits set apart."""
+        found = self.nodes(np.maximum(x, self.usual))
+        return 2.0 ** (-sum(length[node] for length, node in zip(self.length, found, strict=True)) / len(self.length) / max(self._mean_path(self.sample), 1e-9))
 
-    At most LABELLED labelled documents, chosen by a hash of their id, come to the driver as nine counts each;
-    those that the plain rules already reject are left out. The forest sees CONTAMINATION of poor ones among the good ones, so that they are rare and early to be set apart. The
-    threshold is the one with the most poor documents above it, less good ones, with at most FALSE_REJECTS of the good
-    ones above. Without labelled rows of both kinds nothing is rejected.
-    """
-    chosen = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, good, x0 to x3): a hash of the id and the features of every labelled document that the plain rules pass. An id that is labelled or stands
+    several times is one row, with its lowest quality and smallest counts. Texts are counted where they lie, and only counts are joined."""
+    chosen = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    tallies = [f"t{k}" for k in range(9)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             t = tally(b.column("text"))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), *(pa.array(t[:, k]) for k in range(9))], names=["doc_id", "quality", *(f"t{k}" for k in range(9))])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(t[:, k]) for k in range(9))], names=["doc_id", *tallies])
 
-    tallies = [f"t{k}" for k in range(9)]
-    counted = rows.mapInArrow(count, "doc_id long, quality int, " + ", ".join(f"{t} long" for t in tallies))
-    # one row for each labelled id, so what comes to the driver is bounded by LABELLED however often an id stands in the table
-    got = counted.groupBy("doc_id", "quality").agg(F.min(F.struct(*tallies)).alias("t")).select("doc_id", "quality", "t.*").toPandas().sort_values("doc_id")
-    t = got[[f"t{k}" for k in range(9)]].to_numpy()
-    passed = ~fails(t)
-    x, good = features(t[passed]), got["quality"].to_numpy()[passed] == 1
-    if not good.any() or good.all():
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = np.stack([b.column(c).to_numpy() for c in tallies], axis=1) if b.num_rows else np.zeros((0, 9), np.int64)
+            passed = ~fails(t)
+            x = features(t[passed])
+            yield pa.RecordBatch.from_arrays([*(b.column(c).filter(pa.array(passed)) for c in ("key", "good")), *(pa.array(x[:, k]) for k in range(4))], names=["key", "good", *_X])
+
+    counted = rows.mapInArrow(count, "doc_id long, " + ", ".join(f"{t} long" for t in tallies)).groupBy("doc_id").agg(F.min(F.struct(*tallies)).alias("t"))
+    return counted.join(chosen, "doc_id").select(F.xxhash64("doc_id").alias("key"), (F.col("quality") == 1).alias("good"), "t.*").mapInArrow(measure, "key long, good boolean, " + _X_DDL)
+
+
+def _values(b: pa.RecordBatch) -> np.ndarray:
+    return np.stack([b.column(c).to_numpy() for c in _X], axis=1)
+
+
+def grow(each: DataFrame, rows: DataFrame, usual: np.ndarray, weights: tuple[float, float], total: float) -> IsolationForest:
+    """The forest. each: every labelled row, of which each tree draws SAMPLE or so by weight and a hash of tree and id. rows: all of
+    them (x0 to x3, good, poor: how many there are of each), whose numbers in the leaves give the path lengths. weights: of a good
+    and a poor row, total their sum. What comes to the driver goes with the size of the forest, not with the rows."""
+    seeds = mix(np.arange(1, TREES + 1, dtype=np.uint64))
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            chance = SAMPLE / total * np.where(b.column("good").to_numpy(zero_copy_only=False), *weights)
+            key = b.column("key").to_numpy().view(np.uint64)
+            tree, row = np.nonzero((mix(key[None, :] ^ seeds[:, None]) >> np.uint64(11)) / 2.0**53 < chance[None, :])
+            x = np.maximum(_values(b), usual)[row]
+            yield pa.RecordBatch.from_arrays([pa.array(tree), *(pa.array(x[:, k]) for k in range(len(_X)))], names=["tree", *_X])
+
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((2, *forest.feature.shape), np.int64)
+        for b in batches:
+            of = [b.column(c).to_numpy() for c in ("good", "poor")]
+            for t, node in enumerate(forest.nodes(_values(b))):
+                for k, counts in zip(n, of, strict=True):
+                    np.add.at(k[t], node, counts)
+        tree, node = np.nonzero(n.sum(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(node), *(pa.array(k[tree, node]) for k in n)], names=["tree", "node", "good", "poor"])
+
+    got = each.mapInArrow(draw, "tree long, " + _X_DDL).toPandas().to_numpy(np.float64)
+    got = got[np.lexsort(got.T[::-1])]
+    forest = IsolationForest([got[got[:, 0] == t, 1:] for t in range(TREES)], usual, min(SAMPLE, total))
+    counts = rows.mapInArrow(leaves, "tree long, node long, good long, poor long").groupBy("tree", "node").agg(F.sum("good"), F.sum("poor"))
+    forest.weigh(counts.toPandas().to_numpy(np.float64), (weights[0] / total, weights[1] / total))
+    return forest
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[IsolationForest | None, float]:
+    """The forest and the score above which a document goes, from all labelled documents that the plain rules pass.
+
+    Poor ones weigh CONTAMINATION of the good ones at most, so that they are rare and early to be set apart. The threshold is
+    the one (of STEPS) with the most poor documents above it, less good ones, with at most FALSE_REJECTS of the good ones
+    above; it lies midway between the scores beside it. Without labelled rows of both kinds nothing is rejected.
+    """
+    each = materialize(labelled(docs, labels))
+    n = {r.good: r.n for r in each.groupBy("good").agg(F.count("*").alias("n")).collect()}
+    if len(n) < 2:
+        discard(each)
         return None, np.inf
-    ok, poor = np.flatnonzero(good), np.flatnonzero(~good)
-    some = poor[np.random.default_rng(11).permutation(len(poor))[: max(1, int(CONTAMINATION * len(ok)))]]
-    forest = IsolationForest(np.concatenate([x[ok], x[some]]), np.quantile(x[ok], 1 - FALSE_REJECTS, axis=0))
-    s = forest.score(x)
-    cuts = np.unique(s)
-    above_good = 1 - np.searchsorted(np.sort(s[ok]), cuts, side="right") / len(ok)
-    above_poor = 1 - np.searchsorted(np.sort(s[poor]), cuts, side="right") / len(poor)
+    values = each.where("good").select(F.posexplode(F.array(*_X)).alias("k", "x"))
+    # the value that at most FALSE_REJECTS of the good ones exceed: none of few
+    last = max(1, n[True] - 1)
+    found = {r.k: r.q[0] for r in quantiles(values, ["k"], "x", [min(1.0, np.ceil((1 - FALSE_REJECTS) * last) / last)]).collect()}
+    usual = np.array([found[k] for k in range(len(_X))])
+    raised = [F.greatest(c, F.lit(float(u))).alias(c) for c, u in zip(_X, usual, strict=True)]
+    # rows without anything unusual are one
+    rows = materialize(each.select("good", *raised).groupBy(*_X).agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("poor")))
+    some = rows.coalesce(1 + rows.count() // IN_TASK)
+    weight = min(1.0, CONTAMINATION * n[True] / n[False])
+    forest = grow(each, some, usual, (1.0, weight), n[True] + weight * n[False])
+    discard(each)
+    edges = np.arange(STEPS + 1) / STEPS
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.searchsorted(edges, forest.score(_values(b)), side="left")  # the first edge that is no smaller
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), b.column("good"), b.column("poor")], names=["step", "good", "poor"])
+
+    got = some.mapInArrow(steps, "step long, good long, poor long").groupBy("step").agg(F.sum("good").alias("good"), F.sum("poor").alias("poor")).toPandas().sort_values("step")
+    discard(rows)
+    cuts = got["step"].to_numpy()
+    above_good, above_poor = (1 - np.cumsum(got[c].to_numpy()) / got[c].sum() for c in ("good", "poor"))
     fits = np.flatnonzero(above_good <= FALSE_REJECTS)
     best = fits[np.argmax((above_poor - above_good)[fits])]
-    higher = s[s > cuts[best]]
-    return forest, float((cuts[best] + higher.min()) / 2) if len(higher) else np.inf
+    return forest, float(edges[(cuts[best] + cuts[best + 1] - 1) // 2]) if best + 1 < len(cuts) else np.inf
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -61,3 +61,17 @@ def test_repeated_ids_train_once(spark, sf):
     first = labels.orderBy("doc_id").first().doc_id
     again = docs.unionByName(docs.where(docs.doc_id == first).crossJoin(spark.range(500)).drop("id"))
     assert quality.fit(docs, labels)[1] == quality.fit(again, labels)[1]
+
+
+def test_all_labelled_documents_fit(spark):
+    """More labelled documents than any bound of a sample: all that pass are weighed, and only rows beyond such a bound say that
+    shouting is poor."""
+    from pyspark.sql import functions as F
+
+    order = spark.range(12_000).withColumnRenamed("id", "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    late = [r.doc_id for r in order[-2000:] if r.doc_id % 2]
+    text = F.concat_ws(" ", *(F.concat(F.lit(f"w{k}x"), "doc_id") for k in range(30)), F.when(F.col("doc_id").isin(late), "! ! ! ! ! ! ! !"))
+    docs = spark.range(12_000).withColumnRenamed("id", "doc_id").withColumn("text", text)
+    labels = docs.select("doc_id", F.when(F.col("doc_id").isin(late), 0).otherwise(1).alias("quality"))
+    got = quality.judge(docs, labels).join(labels, "doc_id").groupBy("quality").agg(F.min(F.col("kept").cast("int")), F.max(F.col("kept").cast("int"))).collect()
+    assert sorted(map(tuple, got)) == [(0, 0, 0), (1, 1, 1)]
