@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -118,13 +119,19 @@ def strip_html(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^>]*>|&nbsp;", " "), r"\s+", " "))
 
 
+#: RE2's word ends and white space, which Java's \b and \s aren't: Java knows more letters, and the vertical tab.
+_EDGE, _DARK = r"(?:(?<!\w)(?=\w)|(?<=\w)(?!\w))", r"[^\t\n\f\r ]"
+
+
 def keyword_snippet(c: Column, words: str, before: int = 120, after: int = 170, most: int = 300) -> Column:
-    """The first whole-word match with its surroundings, links masked; null where nothing matches."""
-    word = rf"(?i)\b(?:{words})\b"
-    at, size = F.regexp_instr(c, F.lit(word)), F.length(F.regexp_extract(c, word, 0))
-    start = F.greatest(at - before, F.lit(1))
-    found = F.when(at > 0, F.substr(c, start, at - start + size + after))
-    return F.left(F.regexp_replace(found, r"https?://\S+", "[link]"), F.lit(most))
+    """The leftmost match of at most `before` characters, one of `words` (plain words, parted by |) as a whole word and at most
+    `after` characters, links masked; null where nothing matches. As in a regular expression that takes what it can, a text with
+    several of the words near its start goes on after the last that begins within `before` characters. Characters are code points."""
+    word = _EDGE + "(?:" + re.sub(r"(?<!\\)[ksKS]", lambda m: "[s\u017f]" if m[0] in "sS" else "[k\u212a]", words) + ")" + _EDGE
+    head = F.split(c, f"(?i){word}", 2)  # what stands before the first word: its length counts code points, regexp_instr doesn't
+    start = F.greatest(F.length(F.get(head, F.lit(0))) + 1 - before, F.lit(1))
+    found = F.when(F.size(head) > 1, F.regexp_extract(F.substr(c, start), f"(?si)^.{{0,{before}}}{word}.{{0,{after}}}", 0))
+    return F.left(F.regexp_replace(found, rf"https?://{_DARK}+", "[link]"), F.lit(most))
 
 
 def pack_flags(flags: Sequence[tuple[Column, str]]) -> Column:

@@ -46,6 +46,22 @@ def test_snippet_masks_links(spark):
     assert one(spark, lambda c: clean.keyword_snippet(c, "restated"), text) is None
 
 
+def test_snippets_are_those_of_the_sql(spark):
+    """Two words near the start, characters beyond 16 bits, letters that fold, letters and white space that only Java knows."""
+    import duckdb
+
+    from panelwright.plans import catalogue
+
+    texts = ["a license, and so on; the token " + "b " * 150, "x " * 70 + "Licensed " + "y " * 40 + "token " + "z " * 150, "\U0001f600" * 200 + " token " + "\U0001f600" * 200, "a to\u212aen", "licen\u017fe", "l\u0131cense", "\u00e9license\u00e9 c", "token_ tokens", "license http://a\x0bb http://c\xa0d", "xlicense" + "a" * 112 + " token", "license" * 18 + " license " + "n" * 300, "\ntoken\n" * 60, "", None]
+    rows = list(enumerate(texts))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = dict(con.execute(catalogue.oracle_sql()["b25_keyword_snippet"]).fetchall())
+    df = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", clean.keyword_snippet(F.col("text"), "license|licensed|token").alias("snippet"))
+    assert {r.doc_id: r.snippet for r in df.where("snippet is not null").collect()} == want
+
+
 def test_reweighted_mean_needs_two_parts(spark):
     df = spark.createDataFrame([(1.0, 0.5, None), (1.0, None, None), (None, None, None)], "a double, b double, c double")
     got = [r.x for r in df.select(clean.reweighted_mean([F.col(c) for c in "abc"], [0.5, 0.3, 0.2]).alias("x")).collect()]
