@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .ordering import any_large, average_rank, with_places
 
@@ -69,15 +71,23 @@ def wilcoxon_signed_rank(df: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
             yield f[[*by, "n", "plus", "ties", "p"]]
 
     told = sums.mapInPandas(run, "".join(f"{f.name} {f.dataType.simpleString()}, " for f in sums.select(*by).schema) + "n long, plus double, ties double, p double")
-    off, spread = F.abs(F.col("plus") - F.col("n") * (F.col("n") + 1) / 4) - 0.5, F.sqrt(F.col("n") * (F.col("n") + 1) * (2 * F.col("n") + 1) / 24 - F.col("ties") / 48)
+    m = F.col("n").cast("double")  # its third power may be beyond whole numbers
+    off, spread = F.abs(F.col("plus") - m * (m + 1) / 4) - 0.5, F.sqrt(m * (m + 1) * (2 * m + 1) / 24 - F.col("ties") / 48)
     return told.withColumn("z", F.greatest(off, F.lit(0.0)) / F.nullif(spread, F.lit(0.0)))
 
 
+@F.pandas_udf(DoubleType())
+def natural_log(x: pd.Series) -> pd.Series:
+    """The C library's logarithm, which SQL engines use. Java's differs from it in the last digit here and there, and so in whether
+    the changes of two entities, one the other's inverse, are a tie."""
+    return x.where(x > 0).map(math.log, na_action="ignore").astype("float64")
+
+
 def pair_changes(df: DataFrame, entity: Sequence[str], period: str, value: str, first, last) -> DataFrame:
     """Log change between two periods of the entities that have a positive value in both."""
     at = lambda y: F.max(F.when(F.col(period) == y, F.col(value)))
     ends = df.where(F.col(period).isin(first, last)).groupBy(*entity).agg(at(first).alias("_a"), at(last).alias("_b"))
-    return ends.where("_a > 0 AND _b > 0").withColumn("log_change", F.log(F.col("_b") / F.col("_a"))).drop("_a", "_b")
+    return ends.where("_a > 0 AND _b > 0").withColumn("log_change", natural_log(F.col("_b") / F.col("_a"))).drop("_a", "_b")
 
 
 def binomial_exact(k: int, n: int, p0: float = 0.5) -> float:

@@ -254,3 +254,21 @@ def test_catalogues_are_held_against_their_table(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, 3.0)], "a double, b double")
     got = {r.name: (r.problem, r.n_rows) for r in metrics.check_catalogue(df, [spec("r", "ratio_of_sums", numerator="a", denominator="b"), spec("m", "median", column="z"), spec("n", "count")]).collect()}
     assert got == {"r": (None, 1), "m": ("m: no columns ['z']", 0), "n": (None, 2)}
+
+
+def test_inverse_changes_tie_as_in_the_sql(spark):
+    """ln(b / a) and ln(a / b) differ in the last digit or not, by the library's logarithm; ranks and ties follow it."""
+    import duckdb
+
+    from panelwright.plans import catalogue
+    from panelwright.plans.bindings import SUPPLIER_YEAR
+
+    pairs = [(float(a), float(b)) for a in range(1, 41) for b in range(1, 41)]
+    rows = [(e, f"s{e % 2}", year, v) for e, pair in enumerate(pairs) for year, v in zip((1996, 2000), pair)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE panel (entity BIGINT, sector VARCHAR, period INTEGER, emissions DOUBLE)")
+    con.executemany("INSERT INTO panel VALUES (?, ?, ?, ?)", rows)
+    want = con.execute("WITH p AS (SELECT * FROM panel)" + catalogue.oracle_sql()["s07_wilcoxon_signed_rank"].removeprefix(SUPPLIER_YEAR)).fetchall()
+    df = spark.createDataFrame(rows, "entity long, sector string, period int, emissions double").repartition(3)
+    got = stats.wilcoxon_signed_rank(stats.pair_changes(df, ["entity", "sector"], "period", "emissions", 1996, 2000), "log_change", ["sector"])
+    assert sorted((r.sector, r.n, r.plus, r.ties, round(r.z, 6)) for r in got.collect()) == sorted(want)
