@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..sources.files import workspace
+from .ordering import any_large
 from .stats import cliffs_delta, pooled_rho, spearman, with_ranks
 
 #: Draws are below this prime; a number added between two powers.
 P, STEP = (1 << 31) - 1, 40692
-#: Rows that are dealt out together, at most about so many; numbers in a matrix of replicates by rows.
-LEAF, CELLS = 4096, 1 << 21
+#: Rows that are dealt out together, at most about so many; numbers in a matrix of replicates by rows; of a group whose x are
+#: dealt out by a task (16 MB for x and weights); numbers that are drawn and sorted at a time, so that they stay in the cache.
+LEAF, CELLS, HELD, CACHED = 4096, 1 << 21, 1 << 20, 1 << 14
 #: Cumulative chances of 0, 1, 2, ... events of a Poisson distribution with mean 1.
 POISSON_1 = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676, 0.99998975, 0.99999887]
 #: How many draws of P reach each count of a Poisson number with mean 1.
@@ -49,8 +51,29 @@ def draw(numbers, replicate):
 
 
 def draws(numbers: np.ndarray, first: int, last: int) -> np.ndarray:
-    """Replicates first to last - 1 by rows."""
-    return draw(numbers[None, :].astype(np.int64), np.arange(first, last, dtype=np.int64)[:, None])
+    """draw(): replicates first to last - 1 by rows. As 2 ** 31 is 1 modulo P, what is above 31 bits is added to what is below them
+    instead of dividing; bounds are such that no product reaches 2 ** 64."""
+    x = numbers.astype(np.uint64)[None, :] + fifth(np.arange(first, last, dtype=np.int64)).astype(np.uint64)[:, None]
+    y, high = np.empty_like(x), np.empty_like(x)
+
+    def fold(z):
+        np.right_shift(z, 31, out=high)
+        np.bitwise_and(z, P, out=z)
+        np.add(z, high, out=z)
+
+    for step in (0, STEP):
+        x += np.uint64(step)
+        fold(x)  # 2 ** 31 at most
+        np.multiply(x, x, out=y)
+        fold(y)  # below 2 ** 32
+        np.multiply(y, y, out=y)
+        fold(y)
+        fold(y)  # 2 ** 31 + 3 at most
+        np.multiply(x, y, out=x)
+        fold(x)  # 2 ** 32 + 3 at most
+    fold(x)
+    np.subtract(x, P, out=x, where=x >= P)
+    return x.view(np.int64)
 
 
 def poisson(drawn: np.ndarray) -> np.ndarray:
@@ -229,12 +252,57 @@ def hash_ranks(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str,
     return ranged.withColumn("_nth", nth).join(before, [*by, "_range"]).withColumn(out, F.col("_before") + F.col("_nth")).drop("_range", "_nth", "_before")
 
 
-def stratified_permutation(df: DataFrame, x: str, y: str, by: Sequence[str], key: str, n: int = 10_000, seed: int = 1, least: int = 5) -> DataFrame:
+def paired(numbers: np.ndarray, weights: np.ndarray, x: np.ndarray, first: int, last: int) -> np.ndarray:
+    """For each replicate the sum of weights times x, when the x of rank i goes to the row with the i-th draw (of equal draws the
+    earlier row first). A draw and the row's place in one number sort faster than places by draws."""
+    x, places, out = np.sort(x), np.arange(len(numbers)), np.empty(last - first)
+    size = max(1, CACHED // len(numbers))
+    for r in range(first, last, size):
+        end = min(r + size, last)
+        both = draws(numbers, r, end)
+        np.left_shift(both, 32, out=both)
+        np.bitwise_or(both, places, out=both)
+        both.sort(axis=1)
+        np.bitwise_and(both, (1 << 32) - 1, out=both)
+        out[r - first : end - first] = np.take(weights, both) @ x
+    return out
+
+
+def _paired_sums(rows: DataFrame, by: Sequence[str], n: int, block: int) -> DataFrame:
+    """(replicate, _x): paired() over all groups. A task holds a group for `block` replicates of it, so a group is copied once for
+    each block, and emits one number for each replicate of its blocks."""
+    blocks = F.explode(F.sequence(F.lit(0), F.lit((n - 1) // block))).alias("_block")
+    copies = rows.select(F.to_json(F.struct(*by)).alias("_g"), blocks, "_key", "_k", "_rx", "_w").repartition("_g", "_block").sortWithinPartitions("_g", "_block", "_key")
+
+    def run(batches):
+        sums, held, now = {}, [], None
+
+        def close():
+            first, last = now[1] * block + 1, min((now[1] + 1) * block, n) + 1
+            k, w, x = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in ("_k", "_w", "_rx"))
+            sums[now[1]] = sums.get(now[1], 0.0) + paired(k, w, x, first, last)
+
+        for key, b in _segments(batches, ["_g", "_block"]):
+            if key != now:
+                if held:
+                    close()
+                now, held = key, []
+            held.append(b)
+        if held:
+            close()
+        for at, own in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(own)) + at * block + 1), pa.array(own)], names=["replicate", "_x"])
+
+    return copies.mapInArrow(run, "replicate long, _x double")
+
+
+def stratified_permutation(df: DataFrame, x: str, y: str, by: Sequence[str], key: str, n: int = 10_000, seed: int = 1, least: int = 5, block: int = 1000) -> DataFrame:
     """The pooled rank correlation of x and y, and its p when x is dealt out anew inside each group: the x of rank i goes to the
     row with the i-th draw.
 
-    A group of at most LEAF rows is dealt out in a task, for all replicates at once. The x of a larger one may be all
-    different, so there each replicate has rows of its own, and places are counted over ranges of draws: no task sorts a group.
+    A group of at most HELD rows is dealt out in tasks of `block` replicates, which draw by themselves: no rows are made for
+    replicates. In a larger group each replicate has rows of its own, and places are counted over ranges of draws: no task
+    holds or sorts such a group.
     """
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(key).cast("long").alias("_key"), x, y)
     ranked = with_ranks(both, by, {"_rx": x, "_ry": y}).withColumn("_k", number("_key", seed)).drop(x, y)
@@ -243,13 +311,14 @@ def stratified_permutation(df: DataFrame, x: str, y: str, by: Sequence[str], key
     # the pooled correlation of a replicate is a sum over rows of its rank of x times a number of the row, less a constant
     each = (F.col("_n") - 1) / (F.col("_sx") * F.col("_sy"))
     rows = ranked.join(whole, list(by)).withColumn("_w", F.col("_ry") * each / F.col("_n"))
-    sums = permuted_sums(rows.where(F.col("_n") <= LEAF), by, "_key", F.array("_rx"), F.array("_w"), n, seed).select("replicate", F.get("sums", F.lit(0)).alias("_x"))
-    large = rows.where(F.col("_n") > LEAF)
-    low, ties = F.col("_rx") - (F.col("_t") - 1) / 2.0, large.groupBy(*by, "_rx").agg(F.count("*").alias("_t"))
-    items = ties.select(*by, F.col("_rx").alias("_got"), F.explode(F.sequence(F.round(low).cast("long"), F.round(low).cast("long") + F.col("_t") - 1)).alias("_place"))
-    drawn = large.select(*by, "_key", "_k", "_w", "_n", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long"))).alias("replicate"))
-    placed = hash_ranks(drawn.withColumn("_h", draw(F.col("_k"), F.col("replicate"))), ["replicate", *by], ["_h", "_key"], "_place", "_n")
-    sums = sums.unionByName(placed.join(items, [*by, "_place"]).groupBy("replicate").agg(F.sum(F.col("_got") * F.col("_w")).alias("_x")))
+    sums = _paired_sums(rows.where(F.col("_n") <= HELD), by, n, block)
+    if any_large(both, by, HELD):
+        large = rows.where(F.col("_n") > HELD)
+        low, ties = F.col("_rx") - (F.col("_t") - 1) / 2.0, large.groupBy(*by, "_rx").agg(F.count("*").alias("_t"))
+        items = ties.select(*by, F.col("_rx").alias("_got"), F.explode(F.sequence(F.round(low).cast("long"), F.round(low).cast("long") + F.col("_t") - 1)).alias("_place"))
+        drawn = large.select(*by, "_key", "_k", "_w", "_n", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long"))).alias("replicate"))
+        placed = hash_ranks(drawn.withColumn("_h", draw(F.col("_k"), F.col("replicate"))), ["replicate", *by], ["_h", "_key"], "_place", "_n")
+        sums = sums.unionByName(placed.join(items, [*by, "_place"]).groupBy("replicate").agg(F.sum(F.col("_got") * F.col("_w")).alias("_x")))
     const = F.broadcast(whole.agg(F.sum(F.col("_mx") * F.col("_my") * each).alias("_c"), F.sum(F.col("_n") - 1).alias("_all")))  # one row
     pooled = sums.groupBy("replicate").agg(F.sum("_x").alias("_x")).crossJoin(const).select(((F.col("_x") - F.col("_c")) / F.col("_all")).alias("pooled_rho"))
     return permutation_p(pooled_rho(df, x, y, by, least=least), pooled, "pooled_rho", n)

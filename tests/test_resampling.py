@@ -98,6 +98,27 @@ def test_large_groups_of_different_values_get_the_same_draws(spark, monkeypatch)
     assert one.pooled_rho == pytest.approx(seen) and one.p == pytest.approx((far + 1) / 301)
 
 
+def test_draws_without_division_are_the_same():
+    k = np.r_[0, 1, again.P - 2, again.P - 1, [k_of(3, i) for i in range(500)]].astype(np.int64)
+    want = [[again.fifth((again.fifth((int(x) + again.fifth(r)) % again.P) + again.STEP) % again.P) for x in k] for r in (0, 1, 2, 9_999, 10_000)]
+    got = [again.draws(k, r, r + 1)[0].tolist() for r in (0, 1, 2, 9_999, 10_000)]
+    assert got == want
+    ends = np.array([(x - again.fifth(1)) % again.P for x in range(-3, 3)], np.int64)  # sums next to P
+    assert again.draws(ends, 1, 2)[0].tolist() == [int(again.draw(int(x), 1)) for x in ends]
+
+
+def test_no_rows_are_made_for_replicates_of_a_group_that_a_task_holds(spark, monkeypatch):
+    """Groups of 5,000 and 40 rows and one that is flat: the same as with rows for each replicate, which only larger groups need."""
+    df = spark.range(5047).select(F.when(F.col("id") < 5000, 0).when(F.col("id") < 5040, 1).otherwise(2).alias("g"), "id", F.when(F.col("id") < 5040, F.col("id") * 7919 % 4999).otherwise(1).cast("double").alias("x"), (F.col("id") * F.col("id") % 97).cast("double").alias("y"))
+    with monkeypatch.context() as m:
+        m.setattr(again, "HELD", 3, raising=False)
+        m.setattr(again, "LEAF", 3)
+        rows = again.stratified_permutation(df, "x", "y", ["g"], "id", 45, 7).first()
+    monkeypatch.setattr(again, "hash_ranks", lambda *a: pytest.fail("rows for each replicate"))
+    held = [again.stratified_permutation(df.repartition(k), "x", "y", ["g"], "id", 45, 7, block=b).first() for k, b in ((1, 1000), (6, 7))]
+    assert {(r.p, r.n_groups) for r in held} == {(rows.p, 2)} and [r.pooled_rho for r in held] == pytest.approx([rows.pooled_rho] * 2)
+
+
 def test_effects_are_found_and_their_absence_is_not(spark):
     rows = [(g, i, float(i), float(i % 4 + i)) for g in range(4) for i in range(8)]
     df = spark.createDataFrame(rows, "g int, i int, x double, y double")
