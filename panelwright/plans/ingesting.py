@@ -202,8 +202,8 @@ def a24b(spark, sf):
     out = None
     for send in ([2], [0, 2], [1]):  # the last revisions first; the second call sends the first one's rows again
         rows.where(F.col("revision").isin(send)).repartition(3, "revision", "o_orderkey").sortWithinPartitions("revision", "o_orderkey").write.mode("append").json(inbox)
-        parse = lambda f: f.select(F.explode(F.split(F.trim(F.col("content").cast("string")), "\n")).alias("j")).select(F.from_json("j", schema).alias("r")).select("r.*")
-        out = upsert_inbox(spark, inbox, parse, table_, manifest, checkpoint, "o_orderkey", ["revision", "price"], "period", 4)
+        parse = lambda f: f.select(F.from_json("line", schema).alias("r")).select("r.*")
+        out = upsert_inbox(spark, inbox, parse, table_, manifest, checkpoint, "o_orderkey", ["revision", "price"], "period", 4, lines=True)
     return out.select("o_orderkey", "o_custkey", "period", "revision", "price")
 
 

@@ -159,7 +159,9 @@ def replace_keys(spark: SparkSession, path: str, new: DataFrame, key: str, parti
     if exists(spark, path):
         old = spark.read.schema(new.schema).parquet(path)
         keys = new.select(key).distinct()
-        touched = touched.unionByName(old.join(keys, key, "left_semi").select(partition))
+        told = workspace(spark)
+        touched.unionByName(old.join(keys, key, "left_semi").select(partition)).distinct().write.parquet(told)  # found once, read twice
+        touched = spark.read.schema(touched.schema).parquet(told)
         rows = old.join(touched.distinct(), partition, "left_semi").join(keys, key, "left_anti").select(*new.columns).unionByName(new)
     rows.write.partitionBy(partition).parquet(f"{stage}/rows")
     touched.distinct().write.parquet(f"{stage}/touched")  # written last: with it the stage is whole
@@ -195,15 +197,22 @@ def intake(files: DataFrame, listing: DataFrame, universe: DataFrame) -> DataFra
     return out.select("file_name", "sha256", "symbol", status.alias("status"), isin.alias("isin"), source.alias("isin_source"), conflict.alias("isin_conflict"))
 
 
+def digests(lines: DataFrame) -> DataFrame:
+    """(file_name, sha256) of files that come as lines (file_name, line): of the number of lines and the sums of two 64-bit hashes of
+    each, so no task holds a file, and the lines' order doesn't count."""
+    sums = (F.sum(F.xxhash64(F.lit(i), "line").cast("decimal(38,0)")) for i in range(2))
+    return lines.groupBy("file_name").agg(F.sha2(F.concat_ws("/", F.count("*").cast("string"), *(s.cast("string") for s in sums)), 256).alias("sha256"))
+
+
 def take_in(spark: SparkSession, manifest: str, received: DataFrame, order: Sequence[str], batch: int | None = None) -> DataFrame:
-    """Received files (file_name, content) against the manifest of what was taken in before, by the hash of their content:
+    """Received files (file_name, content, or sha256 instead) against the manifest of what was taken in before, by the hash of their content:
     taken in before, duplicate (of an earlier one of this batch), or new; nth is a file's place among those of its
     content. What is new becomes the batch's part of the manifest.
 
     A batch that comes again (after a failure behind this step) is held against the other batches alone and replaces its own
     part, so its files are new again. Without a number a batch is a new one.
     """
-    hashed = received.withColumn("sha256", F.sha2("content", 256)).drop("content")
+    hashed = received if "sha256" in received.columns else received.withColumn("sha256", F.sha2("content", 256)).drop("content")
     hashed = hashed.withColumn("nth", F.row_number().over(Window.partitionBy("sha256").orderBy(*order)))
     schema = "sha256 string, file_name string, batch long"
     known = spark.read.schema(schema).parquet(manifest) if exists(spark, manifest) else spark.createDataFrame([], schema)
@@ -221,14 +230,18 @@ def take_in(spark: SparkSession, manifest: str, received: DataFrame, order: Sequ
 def replace_newer(spark: SparkSession, path: str, new: DataFrame, key: str, revision: Sequence[str], partition: str) -> DataFrame:
     """replace_keys() with the latest row of each key, by the revision columns (nulls last), of those that come and the one that
     is there: a late, older revision changes nothing."""
+    came, best = workspace(spark), workspace(spark)
     rows = new
     if exists(spark, path):
-        old = spark.read.schema(new.schema).parquet(path)
+        new.write.parquet(came)  # read twice below, and files may be costly to parse
+        new, old = (spark.read.schema(new.schema).parquet(p) for p in (came, path))
         rows = new.unionByName(old.join(new.select(key).distinct(), key, "left_semi").select(*new.columns))
     order = Window.partitionBy(key).orderBy(*(F.col(c).desc_nulls_last() for c in revision))
-    best = workspace(spark)
     rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*new.columns).write.parquet(best)  # read before the table changes
-    return replace_keys(spark, path, spark.read.schema(new.schema).parquet(best), key, partition)
+    out = replace_keys(spark, path, spark.read.schema(new.schema).parquet(best), key, partition)
+    for folder in (came, best):
+        remove(spark, folder)
+    return out
 
 
 def star_export(spark: SparkSession, path: str, tables: Mapping[str, DataFrame], facts: str, period: str, periods: DataFrame) -> None:

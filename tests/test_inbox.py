@@ -47,6 +47,31 @@ def test_a_batch_that_fails_and_comes_again_leaves_one_copy(spark, tmp_path, mon
     assert spark.read.parquet(folder["manifest"]).count() == 3  # a, b, late: the copy isn't taken in
 
 
+def test_files_of_lines_may_be_longer_than_a_task_can_hold(spark, tmp_path):
+    """Spark refuses whole files of over 1,000 bytes here, and reads lines in short splits."""
+    from panelwright.plans import catalogue
+
+    short = {"spark.sql.sources.binaryFile.maxLength": "1000", "spark.sql.files.maxPartitionBytes": "100000"}
+    before = {name: spark.conf.get(name) for name in short}
+    for name, value in short.items():
+        spark.conf.set(name, value)
+    try:
+        assert catalogue.queries()["a24_inbox_upsert"](spark, "/root/testdata/sf0.001").count() == 1500
+        folder = {n: str(tmp_path / n) for n in ("inbox", "table", "manifest", "checkpoint")}
+        (tmp_path / "inbox").mkdir()
+        rows = ['{"k":%d,"v":"a","rev":1,"part":"x"}' % k for k in range(5000)]
+        put = lambda name, lines: (tmp_path / "inbox" / name).write_text("\n".join(lines) + "\n")
+        run = lambda: stream.upsert_inbox(spark, folder["inbox"], lambda f: f.select(F.from_json("line", SCHEMA).alias("r")).select("r.*"), folder["table"], folder["manifest"], folder["checkpoint"], "k", ["rev", "v"], "part", lines=True)
+        put("a b.json", rows), put("copy.json", rows)
+        assert run().count() == 5000 and spark.read.parquet(folder["manifest"]).count() == 1
+        put("again.json", rows[::-1]), put("one more.json", [*rows, '{"k":7,"v":"b","rev":2,"part":"y"}'])
+        assert run().count() == 5000 and spark.read.parquet(folder["manifest"]).count() == 2
+        assert [(r.k, r.v) for r in run().where("part = 'y'").collect()] == [(7, "b")]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_differences_tell_repeated_rows_and_nulls_apart(spark):
     a = [(1, "x"), (1, "x"), (2, None), (None, "2"), *((i, "same") for i in range(500))]
     b = [(1, "x"), (2, None), (2, None), ("2", None), *((i, "same") for i in range(500))]
